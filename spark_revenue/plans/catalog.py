@@ -1,9 +1,10 @@
 """All registered queries and their SQL counterparts."""
 
-from . import jobs_kpi  # noqa: F401  (registers its queries)
+from . import jobs_kpi, jobs_quality  # noqa: F401  (each registers its queries)
 from .oracle_kpi import KPI
+from .oracle_quality import QUALITY
 from .registry import JOBS, run
 
-ORACLE: dict[str, str] = {**KPI}
+ORACLE: dict[str, str] = {**KPI, **QUALITY}
 
 __all__ = ["JOBS", "ORACLE", "run"]
