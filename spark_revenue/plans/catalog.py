@@ -1,10 +1,11 @@
 """All registered queries and their SQL counterparts."""
 
-from . import jobs_kpi, jobs_quality  # noqa: F401  (each registers its queries)
+from . import jobs_analysis, jobs_kpi, jobs_quality  # noqa: F401  (each registers its queries)
+from .oracle_analysis import ANALYSIS
 from .oracle_kpi import KPI
 from .oracle_quality import QUALITY
 from .registry import JOBS, run
 
-ORACLE: dict[str, str] = {**KPI, **QUALITY}
+ORACLE: dict[str, str] = {**KPI, **QUALITY, **ANALYSIS}
 
 __all__ = ["JOBS", "ORACLE", "run"]

@@ -28,7 +28,7 @@ def _cell(value):
     if isinstance(value, bool):
         return str(value)
     if isinstance(value, (int, float)):
-        return f"{float(value):.9g}"
+        return repr(float(value) + 0.0)
     return str(value)
 
 
