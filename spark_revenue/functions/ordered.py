@@ -106,11 +106,14 @@ def ordered_measures(
     for i, column in enumerate(running.values()):
         local = local.withColumn(f"__run{i}", F.sum(column).over(upto))
 
-    totals = [F.max("__rn").alias("__n")]
-    if dense_rank:
-        totals.append(F.max("__dense").alias("__d"))
-    totals += [F.sum(c).alias(f"__s{i}") for i, c in enumerate(running.values())]
-    per_slice = local.filter("__cut").groupBy(*part).agg(*totals)
+    # Totals of the cut groups only, counted per value first so copies combine before the shuffle.
+    sums = list(enumerate(running.values()))
+    per_value = sliced.filter("__cut").groupBy(*part, F.col(value).alias("__value")).agg(
+        F.count("*").alias("__n"), *[F.sum(c).alias(f"__s{i}") for i, c in sums]
+    )
+    per_slice = per_value.groupBy(*part).agg(
+        F.sum("__n").alias("__n"), F.count("*").alias("__d"), *[F.sum(f"__s{i}").alias(f"__s{i}") for i, _ in sums]
+    )
 
     group = Window.partitionBy(*keys)
     earlier = group.orderBy("__vs", "__ts").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,11 +1,12 @@
 """All registered queries and their SQL counterparts."""
 
-from . import jobs_analysis, jobs_kpi, jobs_quality  # noqa: F401  (each registers its queries)
+from . import jobs_analysis, jobs_kpi, jobs_marts, jobs_quality  # noqa: F401  (each registers its queries)
 from .oracle_analysis import ANALYSIS
 from .oracle_kpi import KPI
+from .oracle_marts import MARTS
 from .oracle_quality import QUALITY
 from .registry import JOBS, run
 
-ORACLE: dict[str, str] = {**KPI, **QUALITY, **ANALYSIS}
+ORACLE: dict[str, str] = {**KPI, **QUALITY, **ANALYSIS, **MARTS}
 
 __all__ = ["JOBS", "ORACLE", "run"]

@@ -26,7 +26,7 @@ _VISIT = f"""SELECT specialty, {n(DONE)} AS completed, {rnd(avg('billed_amount',
     {rnd(f"(100e0*{avg(MARGIN, DONE)}/nullif({avg('billed_amount', DONE)},0))")} AS margin_pct
     FROM appointments GROUP BY specialty"""
 
-KPI: dict[str, str] = {
+KPI_BODIES: dict[str, str] = {
     "k01_monthly_revenue": f"""SELECT month, {n(DONE)} AS completed_appointments, {n(MISS)} AS no_shows,
         {total('billed_amount', DONE)} AS gross_revenue, {_type('bulk_bill')} AS bulk_bill_revenue,
         {_type('gap_payment')} AS gap_payment_revenue, {_type('private')} AS private_revenue,
@@ -140,4 +140,4 @@ KPI: dict[str, str] = {
         FROM appointments GROUP BY month, billing_type""",
 }
 
-KPI = {name: oracle(body) for name, body in KPI.items()}
+KPI = {name: oracle(body) for name, body in KPI_BODIES.items()}

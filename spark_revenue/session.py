@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "spark-revenue", master: str | None = None, **conf: str) -> SparkSession:
@@ -25,9 +28,27 @@ def build_session(app: str = "spark-revenue", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
-    """Use the checkpoint folder the cluster names; ``fallback`` serves only where none is set."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if named and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
-    return spark.sparkContext.getCheckpointDir()
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session that names none gets a temporary folder of its own.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if named is None and context.master.startswith("local"):
+            named = tempfile.mkdtemp(prefix="spark-revenue-")
+        if named:
+            context.setCheckpointDir(named)
+    return context.getCheckpointDir()
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Compute a frame once that several branches of a job read.
+
+    A reliable checkpoint survives lost executors; without a shared folder the rows are kept on
+    the executors' disks and recomputed where one is lost.
+    """
+    if ensure_checkpoint_dir(df.sparkSession):
+        return df.checkpoint()
+    return df.persist(StorageLevel.DISK_ONLY)
