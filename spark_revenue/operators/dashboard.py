@@ -30,15 +30,17 @@ def kpi_cards(appointments: DataFrame, patients: DataFrame) -> DataFrame:
     """B1: the six headline numbers, one row."""
     cards = appointments.agg(
         money(sum_if(done(), "billed_amount")).alias("total_revenue"),
-        F.count_distinct(F.when(done(), F.col("appointment_id"))).alias("completed_appointments"),
         rate_pct(F.count_if(done() & is_bulk()), F.count_if(done())).alias("bulk_billing_rate"),
         round_half_up(mean_if(done(), "wait_days")).alias("avg_wait_days"),
         rate_pct(F.count_if(missed()), F.count("*")).alias("no_show_rate"),
     )
+    visits = appointments.filter(done()).select("appointment_id").distinct().agg(
+        F.count("appointment_id").alias("completed_appointments")
+    )
     churn = patients.agg(
         F.coalesce(rate_pct(F.sum("churn_flag"), F.count("*")), F.lit(0.0)).alias("churn_rate")
     )
-    return with_scalars(cards, churn)
+    return with_scalars(with_scalars(cards, visits), churn)
 
 
 def revenue_trend(appointments: DataFrame) -> DataFrame:

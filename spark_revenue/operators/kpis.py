@@ -22,6 +22,7 @@ from ..functions.exprs import (
     normalised,
     pct,
     rate_pct,
+    ratio,
     round_half_up,
     sum_if,
     with_scalars,
@@ -41,16 +42,20 @@ def is_bulk() -> Column:
 
 
 def monthly_revenue(appointments: DataFrame) -> DataFrame:
-    """K1: completed, missed, gross revenue and revenue per billing type, by month."""
-    per_type = [
-        money(sum_if(done() & (F.col("billing_type") == t), "billed_amount")).alias(f"{t}_revenue")
-        for t in BILLING_TYPES
-    ]
-    return _by_month(appointments).groupBy("month").agg(
-        F.count_if(done()).alias("completed_appointments"),
-        F.count_if(missed()).alias("no_shows"),
-        money(sum_if(done(), "billed_amount")).alias("gross_revenue"),
-        *per_type,
+    """K1: completed, missed, gross revenue and revenue per billing type, by month.
+
+    Rows are summed once per (month, type); the columns are picked from that small table.
+    """
+    per_type = _by_month(appointments).groupBy("month", "billing_type").agg(
+        F.count_if(done()).alias("__done"),
+        F.count_if(missed()).alias("__missed"),
+        sum_if(done(), "billed_amount").alias("__billed"),
+    )
+    return per_type.groupBy("month").agg(
+        F.sum("__done").alias("completed_appointments"),
+        F.sum("__missed").alias("no_shows"),
+        money(F.sum("__billed")).alias("gross_revenue"),
+        *[money(sum_if(F.col("billing_type") == t, "__billed")).alias(f"{t}_revenue") for t in BILLING_TYPES],
     )
 
 
@@ -354,32 +359,43 @@ def out_of_pocket(appointments: DataFrame) -> DataFrame:
     )
 
 
-def staff_utilisation(staff: DataFrame, appointments: DataFrame) -> DataFrame:
-    """Completed visits and revenue per clinic; clinics without any stay with 0.
+CLINIC = ["clinic_name", "state", "clinic_type"]
+
+
+def clinic_rollup(staff: DataFrame, appointments: DataFrame, sums: dict[str, Column]) -> DataFrame:
+    """Visit sums, visit-weighted rating and distinct patients per clinic, clinics without visits included.
 
-    Visits are first reduced to (staff, patient), so neither a busy clinician nor a frequent
-    patient makes one heavy join task.
+    The sums are taken per staff member before the join, so a busy clinician is no hot key.  Distinct
+    patients come from a pass of their own over two columns: folded into the first aggregate they
+    would make Spark shuffle every visit with all its sums.
     """
-    per_pair = (
-        appointments.filter(done())
-        .groupBy("staff_id", "patient_id")
-        .agg(F.count("*").alias("visits"), F.sum("billed_amount").alias("billed"))
+    per_staff = appointments.groupBy("staff_id").agg(
+        F.count("*").alias("visits"), *[c.alias(name) for name, c in sums.items()]
     )
     weight = F.greatest(F.coalesce(F.col("visits"), F.lit(0)), F.lit(1))
     # Ratings carry one decimal: whole tenths add up exactly.
     tenths = F.round(F.col("avg_patient_rating") * 10).cast("long")
-    return (
-        staff.join(per_pair, "staff_id", "left")
-        .groupBy("clinic_name", "state", "clinic_type")
-        .agg(
-            F.coalesce(F.sum("visits"), F.lit(0)).alias("total_appointments"),
-            F.count_distinct("patient_id").alias("unique_patients"),
-            round_half_up(F.try_divide(F.sum("billed").cast("double"), F.sum("visits").cast("double")))
-            .alias("avg_billed_per_appt"),
-            money(F.sum("billed")).alias("total_revenue"),
-            round_half_up(F.sum(tenths * weight).cast("double") / F.sum(weight) / F.lit(10.0))
-            .alias("avg_staff_rating"),
-        )
+    rating = F.sum(tenths * weight).cast("double") / F.sum(weight) / F.lit(10.0)
+    table = staff.join(per_staff, "staff_id", "left").groupBy(*CLINIC).agg(
+        F.coalesce(F.sum("visits"), F.lit(0)).alias("visits"),
+        *[F.sum(name).alias(name) for name in sums],
+        round_half_up(rating).alias("avg_staff_rating"),
+    )
+    pairs = appointments.select("staff_id", "patient_id").join(staff.select("staff_id", *CLINIC), "staff_id")
+    people = pairs.select(*CLINIC, "patient_id").distinct().groupBy(*CLINIC).agg(F.count("patient_id").alias("people"))
+    return table.join(people, CLINIC, "left").withColumn("people", F.coalesce("people", F.lit(0)))
+
+
+def staff_utilisation(staff: DataFrame, appointments: DataFrame) -> DataFrame:
+    """Completed visits, patients, revenue and rating per clinic."""
+    rollup = clinic_rollup(staff, appointments.filter(done()), {"billed": F.sum("billed_amount")})
+    return rollup.select(
+        *CLINIC,
+        F.col("visits").alias("total_appointments"),
+        F.col("people").alias("unique_patients"),
+        round_half_up(ratio(F.col("billed"), F.col("visits"))).alias("avg_billed_per_appt"),
+        money(F.col("billed")).alias("total_revenue"),
+        "avg_staff_rating",
     )
 
 

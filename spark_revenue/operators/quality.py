@@ -201,8 +201,10 @@ def drop_full_duplicates(df: DataFrame) -> DataFrame:
 
 
 def title_case(column: Column) -> Column:
-    """Capitalise every letter that follows a non-letter."""
-    return F.array_join(F.transform(F.split(F.lower(column), "(?<=[^a-z])"), F.initcap), "")
+    """Capitalise every letter that follows a non-letter; plain words take the cheap path."""
+    low = F.lower(column)
+    pieces = F.array_join(F.transform(F.split(low, "(?<=[^a-z])"), F.initcap), "")
+    return F.when(low.rlike("^[a-z ]*$"), F.initcap(low)).otherwise(pieces)
 
 
 def canonical(column: str, mapping: dict[str, str], unmatched: str = "title") -> Column:

@@ -6,7 +6,7 @@ group only, so the wide fact rows are aggregated without ever being shuffled by
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.exprs import (
     done,
@@ -17,11 +17,12 @@ from ..functions.exprs import (
     month_of,
     pct,
     rate_pct,
+    ratio,
     round_half_up,
     sum_if,
     with_scalars,
 )
-from .kpis import is_bulk
+from .kpis import CLINIC, clinic_rollup, is_bulk
 
 
 def surveys_per_visit(surveys: DataFrame) -> DataFrame:
@@ -68,32 +69,20 @@ def specialty_scorecard_view(appointments: DataFrame, surveys: DataFrame) -> Dat
 
 
 def clinic_ranking(staff: DataFrame, appointments: DataFrame, with_avg: bool = True) -> DataFrame:
-    """A10 (and V5 without the average): visits, patients, revenue and rates per clinic.
-
-    Visits are reduced to (staff, patient) before the join, so a busy clinician is no hot key.
-    """
-    pairs = appointments.groupBy("staff_id", "patient_id").agg(
-        F.count("*").alias("visits"),
-        F.count_if(done()).alias("__done"),
-        F.count_if(missed()).alias("__missed"),
-        sum_if(done(), "billed_amount").alias("__billed"),
+    """A10 (and V5 without the average): visits, patients, revenue and rates per clinic."""
+    rollup = clinic_rollup(staff, appointments, {
+        "__done": F.count_if(done()), "__missed": F.count_if(missed()), "__billed": sum_if(done(), "billed_amount"),
+    })
+    average = [round_half_up(ratio(F.col("__billed"), F.col("__done"))).alias("avg_billed_aud")] if with_avg else []
+    return rollup.select(
+        *CLINIC,
+        F.col("visits").alias("appointments" if with_avg else "total_appointments"),
+        F.col("people").alias("unique_patients"),
+        money(F.coalesce("__billed", F.lit(0))).alias("total_revenue_aud"),
+        *average,
+        rate_pct(F.coalesce("__missed", F.lit(0)), F.col("visits")).alias("no_show_rate_pct"),
+        "avg_staff_rating",
     )
-    weight = F.greatest(F.coalesce("visits", F.lit(0)), F.lit(1))
-    tenths = F.round(F.col("avg_patient_rating") * 10).cast("long")
-
-    def total(name: str) -> Column:
-        return F.coalesce(F.sum(name), F.lit(0))
-
-    out = staff.join(pairs, "staff_id", "left").groupBy("clinic_name", "state", "clinic_type").agg(
-        total("visits").alias("appointments"),
-        F.count_distinct("patient_id").alias("unique_patients"),
-        money(total("__billed")).alias("total_revenue_aud"),
-        round_half_up(F.try_divide(F.sum("__billed").cast("double"), F.sum("__done").cast("double")))
-        .alias("avg_billed_aud"),
-        rate_pct(total("__missed"), total("visits")).alias("no_show_rate_pct"),
-        round_half_up(F.sum(tenths * weight).cast("double") / F.sum(weight) / F.lit(10.0)).alias("avg_staff_rating"),
-    )
-    return out if with_avg else out.drop("avg_billed_aud").withColumnRenamed("appointments", "total_appointments")
 
 
 def telehealth_comparison(appointments: DataFrame, surveys: DataFrame) -> DataFrame:
