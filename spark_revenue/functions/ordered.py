@@ -8,14 +8,16 @@ each slice its starting offset, and the two are added.  Results equal the plain
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .exprs import with_scalars
 
-# A group is cut when it holds more than 1/HOT_PARTS of all rows (and more than MIN_ROWS), so there
-# are never more than HOT_PARTS cut groups: their cut points are at most HOT_PARTS * 2 * SLICES
-# numbers, about 16 MB, whatever the size of the data.
-HOT_PARTS = 4000
+# Only groups above MIN_ROWS are cut, and of those the HOT_KEYS largest: any other group holds at most
+# 1/HOT_KEYS of all rows.  So the list of cut groups is short whatever the size of the data, and their
+# cut points are at most HOT_KEYS * 2 * SLICES numbers, about 16 MB to broadcast.
+HOT_KEYS = 4000
 MIN_ROWS = 200_000
 SLICES = 256
 
@@ -24,34 +26,33 @@ def _cuts(column: str, slices: int) -> Column:
     return F.percentile_approx(column, [i / slices for i in range(1, slices)], F.lit(50 * slices))
 
 
+def _cut_points(df: DataFrame, keys: list[str], value: str, tie: str, min_rows: int, slices: int) -> DataFrame | None:
+    """Cut points of the groups that need cutting, None when there are none.
+
+    The check runs when the plan is built: one narrow pass, of which at most HOT_KEYS keys (or one
+    count that stops at ``min_rows``) come back.
+    """
+    cuts = [_cuts(value, slices).alias("__vc"), _cuts(tie, slices).alias("__tc")]
+    if not keys:
+        return df.agg(*cuts) if df.select(value).limit(min_rows + 1).count() > min_rows else None
+    counted = df.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") > min_rows)
+    hot = counted.orderBy(F.desc("__n")).limit(HOT_KEYS).select(*keys).collect()
+    if not hot:
+        return None
+    hot_keys = df.sparkSession.createDataFrame(hot, df.select(*keys).schema)
+    return df.join(F.broadcast(hot_keys), keys, "left_semi").groupBy(*keys).agg(*cuts)
+
+
 def _with_slices(
-    df: DataFrame, keys: list[str], value: str, tie: str, value_desc: bool, tie_desc: bool,
-    min_rows: int, slices: int,
+    df: DataFrame, keys: list[str], cuts: DataFrame, value: str, tie: str, value_desc: bool, tie_desc: bool,
+    slices: int,
 ) -> DataFrame:
     """Add ``__vs`` and ``__ts``: slice numbers that grow with (value, tie) inside a group.
 
     A value so frequent that it fills several cuts gets a slice of its own, which is cut again by
     the tie column.  Groups that are not cut are slice (0, 0).
     """
-    if keys:
-        per_key = df.groupBy(*keys).agg(F.count("*").alias("__n"))
-        rows = per_key.agg(F.sum("__n").alias("__all"))
-        hot = with_scalars(per_key, rows).filter(
-            F.col("__n") > F.greatest(F.lit(min_rows), F.col("__all") / HOT_PARTS)
-        ).select(*keys)
-        cuts = (
-            df.join(F.broadcast(hot), keys, "left_semi")
-            .groupBy(*keys)
-            .agg(_cuts(value, slices).alias("__vc"), _cuts(tie, slices).alias("__tc"))
-        )
-        cut = df.join(F.broadcast(cuts), keys, "left")
-    else:
-        large = F.count("*") > min_rows
-        cuts = df.agg(
-            F.when(large, _cuts(value, slices)).alias("__vc"), F.when(large, _cuts(tie, slices)).alias("__tc")
-        )
-        cut = with_scalars(df, cuts)
-
+    cut = df.join(F.broadcast(cuts), keys, "left") if keys else with_scalars(df, cuts)
     v, t = F.col(value), F.col(tie)
     before = F.size(F.filter("__vc", lambda c: c > v if value_desc else c < v))
     equal = F.size(F.filter("__vc", lambda c: c == v))
@@ -80,18 +81,21 @@ def ordered_measures(
     rank: str | None = None,
     dense_rank: str | None = None,
     running: dict[str, str] | None = None,
+    ends: tuple[str, str] | None = None,
     min_rows: int = MIN_ROWS,
     slices: int = SLICES,
 ) -> DataFrame:
     """Add window results over ``keys`` ordered by (value, tie, then_by).
 
-    ``running`` maps an output name to the column to add up (ROWS UNBOUNDED PRECEDING).  NULL values
+    ``running`` maps an output name to the column to add up (ROWS UNBOUNDED PRECEDING); ``ends`` names
+    two columns for the smallest and largest value of the whole group.  NULL values
     sort last ascending and first descending.  ``tie`` should be close to unique: full copies of one
     (value, tie) pair share a task, so de-duplicate first.
     """
     running = running or {}
-    sliced = _with_slices(df, keys, value, tie, value_desc, tie_desc, min_rows, slices)
-    part = [*keys, "__vs", "__ts"]
+    cuts = _cut_points(df, keys, value, tie, min_rows, slices)
+    sliced = df if cuts is None else _with_slices(df, keys, cuts, value, tie, value_desc, tie_desc, slices)
+    part = list(keys) if cuts is None else [*keys, "__vs", "__ts"]
     by_value = F.desc_nulls_first(value) if value_desc else F.asc_nulls_last(value)
     by_row = [by_value, F.desc(tie) if tie_desc else F.asc(tie), *[F.asc_nulls_first(c) for c in then_by or []]]
     rows_window = Window.partitionBy(*part).orderBy(*by_row)
@@ -106,13 +110,21 @@ def ordered_measures(
     for i, column in enumerate(running.values()):
         local = local.withColumn(f"__run{i}", F.sum(column).over(upto))
 
+    if ends:
+        everything = Window.partitionBy(*part)
+        local = local.withColumn("__lo", F.min(value).over(everything)).withColumn("__hi", F.max(value).over(everything))
+
+    if cuts is None:
+        return local.select(*df.columns, *_outputs(F.col, row_number, rank, dense_rank, running, ends))
+
     # Totals of the cut groups only, counted per value first so copies combine before the shuffle.
     sums = list(enumerate(running.values()))
     per_value = sliced.filter("__cut").groupBy(*part, F.col(value).alias("__value")).agg(
         F.count("*").alias("__n"), *[F.sum(c).alias(f"__s{i}") for i, c in sums]
     )
     per_slice = per_value.groupBy(*part).agg(
-        F.sum("__n").alias("__n"), F.count("*").alias("__d"), *[F.sum(f"__s{i}").alias(f"__s{i}") for i, _ in sums]
+        F.sum("__n").alias("__n"), F.count("*").alias("__d"), F.min("__value").alias("__lo"),
+        F.max("__value").alias("__hi"), *[F.sum(f"__s{i}").alias(f"__s{i}") for i, _ in sums]
     )
 
     group = Window.partitionBy(*keys)
@@ -129,23 +141,28 @@ def ordered_measures(
         )
         offsets.append(F.sum("__d").over(earlier_values).alias("__dense_before"))
     offsets += [F.sum(f"__s{i}").over(earlier).alias(f"__run_before{i}") for i in range(len(running))]
+    if ends:
+        offsets += [F.min("__lo").over(group).alias("__group_lo"), F.max("__hi").over(group).alias("__group_hi")]
     starts = per_slice.select(*part, *offsets)
 
     joined = local.join(starts, part, "left")
-    outputs = []
-    if row_number:
-        outputs.append(_plus("__rn", "__rows_before").alias(row_number))
-    if rank:
-        outputs.append(_plus("__rank", "__rank_before").alias(rank))
-    if dense_rank:
-        outputs.append(_plus("__dense", "__dense_before").alias(dense_rank))
-    for i, name in enumerate(running):
-        outputs.append(_plus(f"__run{i}", f"__run_before{i}").alias(name))
-    return joined.select(*df.columns, *outputs)
+    before = {"__rn": "__rows_before", "__rank": "__rank_before", "__dense": "__dense_before"}
+    before |= {f"__run{i}": f"__run_before{i}" for i in range(len(running))}
+
+    def whole(name: str) -> Column:
+        if name in ("__lo", "__hi"):
+            return F.coalesce(f"__group_{name[2:]}", name)
+        return F.col(name) + F.coalesce(F.col(before[name]), F.lit(0))
+
+    return joined.select(*df.columns, *_outputs(whole, row_number, rank, dense_rank, running, ends))
 
 
-def _plus(local: str, before: str) -> Column:
-    return F.col(local) + F.coalesce(F.col(before), F.lit(0))
+def _outputs(column: Callable[[str], Column], row_number: str | None, rank: str | None, dense_rank: str | None,
+             running: dict[str, str], ends: tuple[str, str] | None) -> list[Column]:
+    named = [("__rn", row_number), ("__rank", rank), ("__dense", dense_rank)]
+    named += [(f"__run{i}", name) for i, name in enumerate(running)]
+    named += list(zip(("__lo", "__hi"), ends or ()))
+    return [column(internal).alias(name) for internal, name in named if name]
 
 
 def exact_quantiles(

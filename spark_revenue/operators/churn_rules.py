@@ -91,17 +91,14 @@ def churn_features(patients: DataFrame, appointments: DataFrame, surveys: DataFr
 
 
 def churn_rule_scores(patients: DataFrame, appointments: DataFrame, surveys: DataFrame,
-                      snapshot: str | None = None, fanout: bool = False) -> DataFrame:
+                      snapshot: str | None = None, fanout: bool = False, with_no_show: bool = False) -> DataFrame:
     """A4: 0 to 5 points for inactivity, a single visit and low satisfaction, with a band.
 
     ``fanout=True`` counts a visit once per survey of the patient, as a three-way join would.
     """
-    activity = appointments.groupBy("patient_id").agg(
-        F.max("appointment_date").alias("last_visit"), F.count("appointment_id").alias("__visits")
-    )
     people = patients.select("patient_id", "churn_flag", "insurance_type", "total_billed")
-    rows = _profile(people, activity, surveys, snapshot_row(appointments, snapshot))
-    visits = F.coalesce("__visits", F.lit(0))
+    rows = _profile(people, patient_activity(appointments), surveys, snapshot_row(appointments, snapshot))
+    visits = F.coalesce("total_appointments", F.lit(0))
     if fanout:
         visits = visits * F.greatest(F.coalesce("__surveys", F.lit(0)), F.lit(1))
     days, score = F.col("__days"), F.coalesce("__score", F.lit(5.0))
@@ -119,6 +116,7 @@ def churn_rule_scores(patients: DataFrame, appointments: DataFrame, surveys: Dat
             "churn_risk_score",
             F.when(F.col("churn_risk_score") >= 4, "HIGH").when(F.col("churn_risk_score") >= 2, "MEDIUM")
             .otherwise("LOW").alias("churn_risk_band"),
+            *(["no_show_rate_pct"] if with_no_show else []),
         )
     )
 

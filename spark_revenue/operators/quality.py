@@ -220,9 +220,16 @@ def canonicalise(df: DataFrame, column: str = "specialty", mapping: dict[str, st
 
 
 def parse_date(column: str) -> Column:
-    """ISO or day-first text to DATE, NULL when neither fits."""
+    """ISO or day-first text to DATE, NULL when neither fits.
+
+    The shape decides which reading applies, so no row pays for a failed parse.
+    """
     text = F.col(column)
-    return F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), F.try_to_date(text, "dd/MM/yyyy"))
+    day_first = F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2))
+    return (
+        F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
+        .when(text.rlike(r"^\d{2}/\d{2}/\d{4}$"), day_first.try_cast("date"))
+    )
 
 
 def unparsed_dates(df: DataFrame, column: str) -> DataFrame:

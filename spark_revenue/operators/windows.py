@@ -143,18 +143,14 @@ def patient_journey(appointments: DataFrame, with_billed: bool = True, min_rows:
     numbered = ordered_measures(
         rows, ["patient_id"], "appointment_date", "appointment_id",
         then_by=["specialty", "billing_type", "status", "billed_amount"], row_number="__number",
-        running={"__running": "__billed"}, min_rows=min_rows, slices=slices,
+        running={"__running": "__billed"}, ends=("__first", "__last"), min_rows=min_rows, slices=slices,
     )
-    ends = appointments.groupBy("patient_id").agg(
-        F.min("appointment_date").alias("__first"), F.max("appointment_date").alias("__last")
-    )
-    joined = numbered.join(ends, "patient_id")
     if with_billed:
-        return joined.select(
+        return numbered.select(
             *columns, F.col("__first").alias("first_appointment_date"), F.col("__last").alias("latest_appointment_date"),
             F.col("__number").alias("appointment_number"), money(F.col("__running")).alias("running_patient_total_aud"),
         )
-    return joined.select(
+    return numbered.select(
         *columns[:-1], F.col("__first").alias("first_visit_date"), F.col("__last").alias("latest_visit_date"),
         F.col("__number").alias("visit_number"), money(F.col("__running")).alias("running_patient_total_aud"),
     )

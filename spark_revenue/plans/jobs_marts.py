@@ -65,10 +65,9 @@ def rule_probability(t: DomainTables) -> DataFrame:
     """A score between 0 and 1 both engines can compute: 20 points per rule point, half the missed share."""
     people = t.patients("patient_id", "churn_flag", "insurance_type", "total_billed")
     visits = t.appointments("patient_id", "appointment_id", "appointment_date", "status")
-    scores = c.churn_rule_scores(people, visits, t.surveys())
-    missed = c.patient_activity(visits).select("patient_id", "no_show_rate_pct")
+    scores = c.churn_rule_scores(people, visits, t.surveys(), with_no_show=True)
     points = F.col("churn_risk_score") * 20.0 + F.coalesce("no_show_rate_pct", F.lit(0.0)) / 2.0
-    return scores.join(missed, "patient_id", "left").select(
+    return scores.select(
         "patient_id", "churn_flag", F.col("lifetime_billed").alias("total_billed"),
         p.round_half_up(F.least(F.lit(1.0), points / 100.0), 4).alias("churn_probability"),
     )

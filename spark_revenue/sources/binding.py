@@ -38,16 +38,17 @@ _APPOINTMENT_COLUMNS: dict[str, tuple[frozenset[str], str]] = {
     "clinic_id": (frozenset({"supplier"}), "s_nationkey"),
     "appointment_date": (frozenset(), "cast(l_shipdate as date)"),
     "specialty": (frozenset({"part"}), "p_type"),
-    "appointment_type": (frozenset(), "case when l_linestatus = 'O' then 'telehealth' else 'in_person' end"),
+    "appointment_type": (frozenset(), "if(l_linestatus = 'O', 'telehealth', 'in_person')"),
     "wait_days": (frozenset(), "cast(l_quantity as int)"),
     "status": (
         frozenset(),
-        "case l_returnflag when 'N' then 'completed' when 'R' then 'no_show' else 'cancelled' end",
+        # Nested ifs fold under a comparison, so "completed only" reaches the scan as l_returnflag = 'N'.
+        "if(l_returnflag = 'N', 'completed', if(l_returnflag = 'R', 'no_show', 'cancelled'))",
     ),
     "billing_type": (
         frozenset({"orders"}),
-        "case o_orderpriority when '1-URGENT' then 'bulk_bill' when '2-HIGH' then 'gap_payment'"
-        " when '3-MEDIUM' then 'private' else 'self_pay' end",
+        "if(o_orderpriority = '1-URGENT', 'bulk_bill', if(o_orderpriority = '2-HIGH', 'gap_payment',"
+        " if(o_orderpriority = '3-MEDIUM', 'private', 'self_pay')))",
     ),
     "scheduled_fee": (frozenset(), _cents("l_extendedprice")),
     "billed_amount": (

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..operators.quality import parse_date
 from ..schema import TABLES
 
 CORRUPT = "_corrupt_record"
-DATE_FORMATS = ["yyyy-MM-dd", "dd/MM/yyyy"]
 
 
 def raw_schema(table: str) -> T.StructType:
@@ -37,16 +37,11 @@ def read_raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: read_raw_csv(spark, folder, name) for name in TABLES}
 
 
-def to_date(column: str) -> Column:
-    """A date in any of the accepted formats, NULL when none fits."""
-    return F.coalesce(*[F.try_to_date(F.col(column), f) for f in DATE_FORMATS])
-
-
 def read_clean_csv(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """One table with its dates parsed, in the declared column order and types."""
     raw = read_raw_csv(spark, folder, table)
     return raw.select(*[
-        to_date(f.name).alias(f.name) if isinstance(f.dataType, T.DateType) else F.col(f.name)
+        parse_date(f.name).alias(f.name) if isinstance(f.dataType, T.DateType) else F.col(f.name)
         for f in TABLES[table].fields
     ])
 

@@ -21,7 +21,7 @@ def test_equals_plain_window(spark, keys, value_desc, tie_desc):
     df = frame(spark)
     got = ordered_measures(
         df, keys, "v", "id", value_desc=value_desc, tie_desc=tie_desc, row_number="rn", rank="rk",
-        dense_rank="dr", running={"run": "v"}, min_rows=150, slices=16,
+        dense_rank="dr", running={"run": "v"}, ends=("lo", "hi"), min_rows=150, slices=16,
     )
     by_v = F.desc("v") if value_desc else F.asc("v")
     w = Window.partitionBy(*keys).orderBy(by_v)
@@ -30,17 +30,27 @@ def test_equals_plain_window(spark, keys, value_desc, tie_desc):
         "id", "k", "v", F.row_number().over(r).alias("rn"), F.rank().over(w).alias("rk"),
         F.dense_rank().over(w).alias("dr"),
         F.sum("v").over(r.rowsBetween(Window.unboundedPreceding, 0)).alias("run"),
+        F.min("v").over(Window.partitionBy(*keys)).alias("lo"), F.max("v").over(Window.partitionBy(*keys)).alias("hi"),
     )
-    cast = [F.col(c).cast("string") for c in ("id", "rn", "rk", "dr")] + [F.col("run").cast("double")]
+    cast = [F.col(c).cast("string") for c in ("id", "rn", "rk", "dr", "lo", "hi")] + [F.col("run").cast("double")]
     assert sorted(map(tuple, got.select(*cast).collect())) == sorted(map(tuple, want.select(*cast).collect()))
 
 
-def test_large_group_is_cut(spark):
-    from spark_revenue.functions.ordered import _with_slices
+def test_large_groups_are_cut(spark):
+    from spark_revenue.functions.ordered import _cut_points, _with_slices
 
-    cut = _with_slices(frame(spark), [], "v", "id", False, False, 150, 16)
-    sizes = [r["count"] for r in cut.groupBy("__vs", "__ts").count().collect()]
-    assert max(sizes) < 6000 / 16 * 2.5
+    df = frame(spark)
+    for keys in ([], ["k"]):
+        cuts = _cut_points(df, keys, "v", "id", 150, 16)
+        cut = _with_slices(df, keys, cuts, "v", "id", False, False, 16)
+        sizes = [r["count"] for r in cut.groupBy(*keys, "__vs", "__ts").count().collect()]
+        assert max(sizes) < 6000 / 16 * 2.5
+
+
+def test_small_groups_use_a_plain_window(spark):
+    got = ordered_measures(frame(spark), ["k"], "v", "id", row_number="rn")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
 
 
 @pytest.mark.parametrize("min_rows", [10, 100_000])
