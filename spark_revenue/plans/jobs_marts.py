@@ -96,25 +96,18 @@ def _matrix(t: DomainTables) -> DataFrame:
     return f.model_matrix(_features(t))
 
 
-# The trained model is reused by the queries that only read it, per session and data folder.
+# Queries that only read the trained model share it, per session and data folder.
 @lru_cache(maxsize=8)
-def _trained(session: str, path: str, kind: str, trees: int) -> m.TrainedModel:
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
-    return m.train_model(_matrix(DomainTables(spark, path)), kind, trees=trees)
-
-
 def _model(t: DomainTables, kind: str, trees: int = 150) -> m.TrainedModel:
-    return _trained(t.spark.sparkContext.applicationId, t.path, kind, trees)
+    return m.train_model(_matrix(t), kind, trees=trees)
 
 
 def _banded(t: DomainTables) -> DataFrame:
     return m.band_scores(rule_probability(t))
 
 
-def _metrics(t: DomainTables, kind: str, trees: int = 150) -> DataFrame:
-    return m.metrics(_model(t, kind, trees).test)
+def _metrics(t: DomainTables, kind: str) -> DataFrame:
+    return m.metrics(_model(t, kind).test)
 
 
 def _cv(t: DomainTables) -> DataFrame:
