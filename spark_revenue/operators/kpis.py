@@ -17,7 +17,6 @@ from ..functions.exprs import (
     mean_if,
     missed,
     money,
-    month_number,
     month_of,
     normalised,
     pct,

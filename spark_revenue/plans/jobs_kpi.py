@@ -1,5 +1,6 @@
 """KPI queries (ids K and V1, V3, V6)."""
 
+from ..functions.exprs import month_number
 from ..operators import kpis as k
 from .registry import job
 
@@ -21,11 +22,11 @@ job("k03c_wait_bands", lambda t: k.wait_bands(t.appointments("specialty", "wait_
 job("k04_no_show_by_specialty", lambda t: k.no_show_by_specialty(
     t.appointments("appointment_date", "specialty", "status", "scheduled_fee")))
 job("k04b_no_show_trend", lambda t: k.no_show_trend(
-    k.month_number(t.appointments("appointment_date", "status"))))
+    month_number(t.appointments("appointment_date", "status"))))
 job("k05_satisfaction_trend", lambda t: k.satisfaction_trend(t.surveys()))
 job("k05b_satisfaction_by_visit_month", lambda t: k.satisfaction_by_visit_month(
     t.surveys("appointment_id", "overall_score", "nps_score"),
-    k.month_number(t.appointments("appointment_id", "appointment_date"))))
+    month_number(t.appointments("appointment_id", "appointment_date"))))
 job("k05c_satisfaction_monthly", lambda t: k.satisfaction_monthly(t.surveys()))
 job("k06_revenue_per_visit", lambda t: k.revenue_per_visit(
     t.appointments("specialty", "status", "billed_amount", "staff_cost")))
@@ -51,7 +52,7 @@ job("k12_referral_quality", lambda t: k.referral_quality(t.patients()))
 job("k13_executive_summary", lambda t: k.executive_summary(
     t.appointments("specialty", "status", "billing_type", "billed_amount", "staff_cost", "wait_days"),
     t.patients("state", "churn_flag", "total_billed", "medicare_number"), t.surveys("overall_score")))
-job("k14_month_number", lambda t: k.month_number(
+job("k14_month_number", lambda t: month_number(
     t.appointments("appointment_date").groupBy("appointment_date").count()))
 job("v01_monthly_revenue", lambda t: k.revenue_by_type(
     t.appointments("appointment_date", "billing_type", "status", "billed_amount")))
