@@ -1 +1,8 @@
 """Operators that prepare text corpora for training, and the queries that apply them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Executors get the functions themselves, so they need no copy of this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -137,3 +137,19 @@ FROM n LEFT JOIN c USING (doc_id) LEFT JOIN bl USING (doc_id) LEFT JOIN l USING
 
 ORACLE["op8_secrets"] = _secrets()
 ORACLE["op10_licenses"] = _licenses()
+
+# Pairs that share a shingle, over classes of equal sets; components by repeated smallest labels.
+ORACLE["op9_near_duplicates"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN []
+        WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s FROM d),
+m AS (SELECT doc_id, len(s) AS n, CASE WHEN len(s) > 0 THEN min(doc_id) OVER (PARTITION BY s) ELSE doc_id END AS cls, s FROM sh),
+c AS (SELECT cls, n, unnest(s) AS x FROM m WHERE doc_id = cls),
+p AS (SELECT a.cls AS a, b.cls AS b FROM c a JOIN c b ON a.x = b.x AND a.cls < b.cls
+      GROUP BY a.cls, b.cls, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
+r(node, comp) AS (SELECT DISTINCT cls, cls FROM m UNION SELECT e.b, r.comp FROM r JOIN e ON e.a = r.node WHERE r.comp < e.b),
+g AS (SELECT node, min(comp) AS comp FROM r GROUP BY node)
+SELECT m.doc_id, n::BIGINT AS n_shingles, g.comp AS component_id, m.doc_id = g.comp AS kept FROM m JOIN g ON g.node = m.cls"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, mixing, quality_rules, secret_index
+from . import grammar_store, licenses, mixing, odd_sketch, quality_rules, secret_index, templates
 from .oracles import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,23 +20,45 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(_documents(spark, sf_dir), carry=["doc_id"])
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_token_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grammar_store.tokenise(_documents(spark, sf_dir), tokenizer_path())
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_documents(spark, sf_dir).select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return templates.decontaminate(_documents(spark, sf_dir), benchmark, carry=["doc_id"])
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_index.scan(_documents(spark, sf_dir), carry=["doc_id"]).drop("found")
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(_documents(spark, sf_dir))
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_documents(spark, sf_dir), carry=["doc_id"]).drop("found")
 
 
 QUERIES: dict[str, Query] = {
     "op3_quality_rules": op3_quality_rules,
+    "op4_token_grammar": op4_token_grammar,
     "op5_mixing": op5_mixing,
+    "op7_decontaminate": op7_decontaminate,
     "op8_secrets": op8_secrets,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_licenses": op10_licenses,
 }
 
