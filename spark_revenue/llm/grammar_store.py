@@ -9,11 +9,12 @@ its neighbours.
 
 from __future__ import annotations
 
+import re
 import struct
 import sys
 import zlib
 from collections.abc import Iterator
-from functools import partial
+from itertools import filterfalse
 from pathlib import Path
 from types import SimpleNamespace
 from typing import NamedTuple
@@ -29,8 +30,8 @@ from .shared import Scratch
 END_ID = 2
 # A block closes at this many ids, or after the document that passes it.
 BLOCK_IDS = 1 << 22
-ROUNDS = 6
-PAIRS_PER_ROUND = 2048
+ROUNDS = 4
+PAIRS_PER_ROUND = 3072
 LEAST_COUNT = 16
 # With the tokenizer's 49,408 ids, symbols up to this stay within 16 bits.
 MOST_SYMBOLS = 1 << 16
@@ -39,6 +40,8 @@ HEADER = "<4sBxxxIIQQI"
 _TABLE_BITS = 18
 _WORDS_KEPT = 600_000
 _MARK = "<|endoftext|>"
+_SIMPLE = re.compile("([a-zà-öø-ÿ]+)([,.;:!?]*)")
+_PIECES = lambda piece: 1 + (" " in piece)
 
 
 class Grammar(NamedTuple):
@@ -175,11 +178,20 @@ class WordEncoder:
     """
 
     def __init__(self, definition: str):
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(definition)
-        self.size, self.mark = tokenizer.get_vocab_size(), tokenizer.token_to_id(_MARK)
-        self.encode = partial(tokenizer.encode_batch_fast, add_special_tokens=False)
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole, self.plain = Tokenizer.from_str(definition), Tokenizer.from_str(definition)
+        self.size, self.mark = self.whole.get_vocab_size(), self.whole.token_to_id(_MARK)
+        self.ends = np.zeros(self.size, bool)
+        self.ends[[i for token, i in self.whole.get_vocab().items() if token.endswith("</w>")]] = True
+        # Other tokenizers join words or tell cases apart; they get whole texts.
+        probe = lambda t: self._encoded(self.whole, [t]).tolist()
+        self.by_words = bool(self.ends.any()) and self.mark is not None and probe("Ab cd,\te") == probe("ab") + probe("cd") + probe(",") + probe("e")
+        # For words that are folded already: without the normaliser, and parted at spaces only.
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         self._clear()
 
     def _clear(self) -> None:
@@ -198,31 +210,51 @@ class WordEncoder:
         self.seen = np.ones(int(keep.sum()), np.int32)
 
     def _learn(self, words: list[str]) -> None:
-        """Encode new words, a hundred to a text, with a special token after each to tell them apart."""
-        plain = [w for w in words if "<|" not in w]
-        texts = ["".join([w + _MARK for w in plain[i : i + 100]]) for i in range(0, len(plain), 100)]
-        found = [np.array(e.ids, np.int64) for i in range(0, len(texts), 50) for e in self.encode(texts[i : i + 50])]
-        odd = [w for w in words if "<|" in w]
-        for e in self.encode(odd):
-            found += [np.array(e.ids, np.int64), np.array([self.mark])]
-        joined = np.concatenate([np.zeros(0, np.int64), *found])
-        # A word with the mark's own text in it is encoded alone, so only its last mark may count.
-        lengths = np.diff(np.flatnonzero(joined == self.mark), prepend=-1) - 1
-        if odd:
-            sizes = np.array([len(x) for x in found[len(found) - 2 * len(odd) :: 2]], np.int64)
-            lengths = np.concatenate([lengths[: len(plain)], sizes])
-            at = np.cumsum(lengths + 1) - 1
-            joined = np.delete(joined, at)
-        else:
-            joined = joined[joined != self.mark]
+        """Encode new words, many to a text.
+
+        Letters, and marks after letters, are pieces of their own to the tokenizer, so the ids that end a
+        piece part the words.  Other words get a special token after each to tell them apart; one that may
+        hold a special token itself is encoded alone.
+        """
+        simple, pieces, marked, alone = [], [], [], []
+        for w in words:
+            if m := _SIMPLE.fullmatch(w):
+                simple.append(w)
+                pieces.append(f"{m[1]} {m[2]}" if m[2] else w)
+            else:
+                (alone if "<|" in w else marked).append(w)
+        ids = self._encoded(self.plain, [" ".join(pieces[i : i + 100]) for i in range(0, len(pieces), 100)])
+        ends = np.flatnonzero(self.ends[ids])
+        if len(ends) != sum(map(_PIECES, pieces)):
+            raise ValueError("the tokenizer does not part letters from marks")
+        self._add(simple, ids, np.diff(ends[np.cumsum(np.fromiter(map(_PIECES, pieces), np.int64, len(pieces))) - 1], prepend=-1))
+        ids = self._encoded(self.whole, ["".join([w + _MARK for w in marked[i : i + 100]]) for i in range(0, len(marked), 100)])
+        self._add(marked, ids[ids != self.mark], np.diff(np.flatnonzero(ids == self.mark), prepend=-1) - 1)
+        sizes = [len(e.ids) for e in self.whole.encode_batch(alone, add_special_tokens=False)]
+        self._add(alone, self._encoded(self.whole, alone), np.array(sizes, np.int64))
+
+    @staticmethod
+    def _encoded(tokenizer, texts: list[str]) -> np.ndarray:
+        found = [
+            np.array(e.ids, np.int32) for i in range(0, len(texts), 50)
+            for e in tokenizer.encode_batch_fast(texts[i : i + 50], add_special_tokens=False)
+        ]
+        return np.concatenate([np.zeros(0, np.int32), *found])
+
+    def _add(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        if len(words) != len(counts):
+            raise ValueError("the tokenizer joins pieces that white space or marks part")
         n = len(self.known)
-        self.known.update(zip(plain + odd, range(n, n + len(words)), strict=True))
-        self.counts.append(lengths)
-        self.ids.append(joined)
+        self.known.update(zip(words, range(n, n + len(words)), strict=True))
+        self.counts.append(counts)
+        self.ids.append(ids)
 
     def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each has."""
         texts = texts.cast(pa.large_string()).fill_null("")
+        if not self.by_words:
+            found = [np.array(e.ids, np.int32) for e in self.whole.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            return np.concatenate([np.zeros(0, np.int32), *found]), np.array([len(x) for x in found], np.int64)
         split = pc.ascii_split_whitespace(texts)
         flat, lowered = split.flatten(), pc.ascii_lower(split.flatten())
         if pc.any(pc.match_substring(texts, "<|")).as_py():
@@ -231,11 +263,11 @@ class WordEncoder:
         words = flat.dictionary.to_pylist()
         if self.known and len(self.known) + len(words) > _WORDS_KEPT:
             self._forget()
-        self._learn([w for w in words if w not in self.known])
-        ids = np.concatenate([np.zeros(0, np.int64), *self.ids])
+        self._learn(list(filterfalse(self.known.__contains__, words)))
+        ids = np.concatenate([np.zeros(0, np.int32), *self.ids])
         counts = np.concatenate([np.zeros(0, np.int64), *self.counts])
         self.ids, self.counts = [ids], [counts]
-        index = np.fromiter((self.known[w] for w in words), np.int64, len(words))
+        index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         self.seen = np.concatenate([self.seen, np.zeros(len(counts) - len(self.seen), np.int32)])
         self.seen[index] += 1
         first = np.cumsum(counts) - counts

@@ -5,10 +5,10 @@ three samples, and a 512-bit odd sketch: each sample flips one bit, so the XOR o
 samples that differ.  Candidates are classes that share a band key.  Links are confirmed on the whole sets.
 
 Only what can still join two components is compared.  First every class is compared with the one centre,
-of those of its buckets, whose sketch is nearest; that is repeated with other centres as long as many
-classes of a bucket are apart.  Then all classes outside a bucket's largest component are compared with all
-other components of the bucket.  So copies of one text cost a comparison each, and no link between
-components is passed over.
+of those of its buckets, whose sketch is nearest; that is done twice.  Then all classes outside a bucket's
+largest component are compared with all other components of the bucket, in blocks of bounded size that
+give back links only.  So copies of one text cost a comparison each, no link between components is
+passed over, and no list of pairs is made.
 """
 
 from __future__ import annotations
@@ -31,10 +31,10 @@ BITS = 512
 # Of 512 bits, sketches of sets with similarity 0.75 differ in 57 on average, with a deviation of 10:
 # a pair that differs in more than 120 is more than six deviations away.
 MOST_BITS = 120
-# Star rounds go on while the pairs left to compare are more than this many for each class.
-PAIRS_PER_CLASS = 4
-MOST_ROUNDS = 6
+STAR_ROUNDS = 2
 MEMBERS_PER_TASK_KEY = 256
+# A block compares about this many classes outside the largest component with this many of the bucket.
+BLOCK = (256, 1024)
 _U = np.uint64
 _RNG = np.random.default_rng(20240229)
 _FACTORS = _RNG.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * _U(2) + _U(1)
@@ -220,7 +220,7 @@ def _classes(
     placed = classes.select("cls", F.explode("bands").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("bucket")
     buckets = scratch.save(placed.join(shared, "bucket"), "buckets")
-    facts = scratch.save(buckets.select("cls").distinct().join(classes.select("cls", "key", "n", "sketch"), "cls"), "facts")
+    facts = scratch.save(buckets.select("cls").distinct().join(classes.select("cls", "key", "n", "sketch", "bands"), "cls"), "facts")
     keys = facts.select(F.col("key").alias("__key"), "cls").hint("shuffle_hash")
     found = keyed.select("__key", "__text").join(keys, "__key")
     texts = scratch.save(found.groupBy("cls").agg(F.max("__text").alias("text")), "texts")
@@ -236,41 +236,154 @@ def _components(
     scratch: Scratch, buckets: DataFrame, facts: DataFrame, texts: DataFrame, width: int, percent: int
 ) -> DataFrame:
     """``(cls, comp)`` of the classes that share a bucket with another."""
-    n_classes = facts.count()
-    comps, links = facts.select("cls", F.col("cls").alias("comp")), None
+    comps, links, last = facts.select("cls", F.col("cls").alias("comp")), None, None
 
-    def add(confirmed: DataFrame, turn: str) -> tuple[DataFrame, DataFrame]:
-        fresh = scratch.save(confirmed, f"links_{turn}")
+    def add(confirmed: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+        fresh = scratch.save(confirmed, f"links{turn}")
         every = fresh if links is None else links.union(fresh)
-        return every, scratch.save(components(scratch, facts, every), f"comps_{turn}")
+        out = scratch.save(components(scratch, facts, every), f"comps{turn}")
+        scratch.drop(f"comps{turn - 1}", f"main{turn - 1}")
+        return every, out
 
-    for turn in range(MOST_ROUNDS + 1):
+    def largest(turn: int) -> tuple[DataFrame, DataFrame]:
+        """Buckets with their classes' components, and of those with several the largest component."""
         in_bucket = buckets.join(comps, "cls")
         parts = in_bucket.groupBy("bucket", "comp").agg(
             F.count(F.lit(1)).alias("size"), F.min_by("cls", F.xxhash64("cls", F.lit(turn))).alias("centre")
         )
-        main = scratch.save(
-            parts.groupBy("bucket").agg(
-                F.max(F.struct("size", "comp", "centre")).alias("main"), F.sum("size").alias("total"),
-                F.count(F.lit(1)).alias("n_comps"),
-            ).filter("n_comps > 1").select("bucket", "main.comp", "main.centre", "main.size", "total"),
-            f"main{turn}",
-        )
-        left = main.agg(F.sum((F.col("total") - F.col("size")) * F.col("total"))).first()[0] or 0
-        if turn and (left <= PAIRS_PER_CLASS * n_classes or turn == MOST_ROUNDS):
-            break
-        near = (
-            in_bucket.join(main.withColumnRenamed("comp", "main_comp"), "bucket")
-            .filter(F.col("comp") != F.col("main_comp")).select(F.col("cls").alias("a"), F.col("centre").alias("b")).distinct()
-        )
+        main = parts.groupBy("bucket").agg(
+            F.max(F.struct("size", "comp", "centre")).alias("main"), F.sum("size").alias("total"), F.count(F.lit(1)).alias("n_comps")
+        ).filter("n_comps > 1")
+        named = main.select("bucket", F.col("main.comp").alias("main_comp"), "main.centre", (F.col("total") - F.col("main.size")).alias("outside"), "total")
+        return in_bucket, scratch.save(named, f"main{turn}")
+
+    for turn in range(STAR_ROUNDS):
+        in_bucket, main = largest(turn)
+        near = in_bucket.join(main, "bucket").filter(F.col("comp") != F.col("main_comp"))
+        near = near.select(F.col("cls").alias("a"), F.col("centre").alias("b")).distinct()
         weighed = _weigh(near, facts).groupBy("a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
-        links, comps = add(_verify(weighed, texts, width, percent), f"star{turn}")
-    if left:
-        rest = _across(buckets.join(comps, "cls"), main, facts).distinct()
-        links, comps = add(_verify(rest, texts, width, percent), "rest")
+        links, comps = add(_verify(weighed, texts, width, percent), turn)
+    in_bucket, main = largest(STAR_ROUNDS)
+    links, comps = add(_rest(in_bucket, main, facts, texts, width, percent), STAR_ROUNDS)
     return comps
 
 
+def _blocks(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows ``(bucket, comp, main_comp, outside, total, cls, ...)`` dealt to blocks ``(bucket, i, j)``.
+
+    A class outside the largest component is ``asking`` in the blocks of its i, and every class is asked in
+    those of its j; both numbers of blocks follow from the bucket's counts.
+    """
+    wide, tall = F.ceil(F.col("outside") / BLOCK[0]).cast("int"), F.ceil(F.col("total") / BLOCK[1]).cast("int")
+    share = lambda n: F.pmod(F.xxhash64("cls"), n).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    asking = rows.filter(F.col("comp") != F.col("main_comp")).select("bucket", share(wide).alias("i"), upto(tall).alias("j"), F.lit(True).alias("asking"), "comp", *columns)
+    asked = rows.select("bucket", upto(wide).alias("i"), share(tall).alias("j"), F.lit(False).alias("asking"), "comp", *columns)
+    return asking.unionByName(asked)
+
+
+def _dealt(blocks: DataFrame) -> DataFrame:
+    return blocks.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", F.col("asking").desc(), "cls")
+
+
+def _rest(in_bucket: DataFrame, main: DataFrame, facts: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """All links between a bucket's components: sketches name the classes to read, whole sets confirm."""
+    rows = in_bucket.join(main.drop("centre"), "bucket").join(facts.select("cls", "n", "sketch", "bands"), "cls")
+    plausible = _dealt(_blocks(rows, ["cls", "n", "sketch", "bands"])).mapInArrow(
+        _plausible(percent), "bucket long, i int, j int, asking boolean, comp binary, cls binary"
+    )
+    return _dealt(plausible.join(texts, "cls")).mapInArrow(_links(width, percent), "a binary, b binary")
+
+
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one block after another; a block may reach over batches."""
+    held: list[pa.RecordBatch] = []
+    key = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("bucket", "i", "j")], 1)
+        edges = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(keys)]])
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            if held and tuple(keys[a]) != key:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            key = tuple(keys[a])
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    values = column.combine_chunks().flatten().to_numpy()
+    return values.reshape(len(column), -1)
+
+
+def _components_in(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows ask, and a number for each row's component."""
+    comps = table.column("comp").combine_chunks().dictionary_encode().indices.to_numpy()
+    return table.column("asking").to_numpy(), comps
+
+
+def _plausible(percent: int):
+    """Of each block, the rows with a pair that sizes and sketches allow and no earlier band brought together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_block(batches):
+            asking, comps = _components_in(table)
+            apart = comps[asking][:, None] != comps[~asking][None, :]
+            n = table.column("n").to_numpy()
+            small, large = np.minimum(n[asking][:, None], n[~asking][None, :]), np.maximum(n[asking][:, None], n[~asking][None, :])
+            apart &= 100 * small >= percent * large
+            x, y = np.nonzero(apart)
+            sketch, bands = _matrix(table.column("sketch")), _matrix(table.column("bands"))
+            mine, theirs = np.flatnonzero(asking)[x], np.flatnonzero(~asking)[y]
+            passed = np.zeros(table.num_rows, bool)
+            for k in range(0, len(x), 65_536):
+                a, b = mine[k : k + 65_536], theirs[k : k + 65_536]
+                near = np.bitwise_count((sketch[a] ^ sketch[b]).view(np.uint64)).sum(axis=1) <= MOST_BITS
+                a, b = a[near], b[near]
+                band = (bands[a] == table.column("bucket")[0].as_py()).argmax(axis=1)
+                first = (bands[a] == bands[b]).argmax(axis=1) == band
+                passed[a[first]] = passed[b[first]] = True
+            if passed.any():
+                kept = table.select(["bucket", "i", "j", "asking", "comp", "cls"]).filter(pa.array(passed))
+                yield from kept.combine_chunks().to_batches()
+
+    return run
+
+
+def _links(width: int, percent: int):
+    """Of each block, one link of whole sets for each pair of components that have any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_block(batches):
+            asking, comps = _components_in(table)
+            sets = [values for _, values in _sets(table.column("text").combine_chunks(), width)]
+            sizes = np.array([len(v) for v in sets])
+            known, number = np.unique(np.concatenate(sets), return_inverse=True)
+            bounds = np.cumsum(sizes) - sizes
+            theirs = np.flatnonzero(~asking)
+            if not len(theirs) or len(theirs) == len(asking):
+                continue
+            flat = np.concatenate([number[bounds[r] : bounds[r] + sizes[r]] for r in theirs])
+            begins = np.cumsum(sizes[theirs]) - sizes[theirs]
+            cls, found = table.column("cls"), {}
+            for r in np.flatnonzero(asking):
+                marks = np.zeros(len(known), np.int32)
+                marks[number[bounds[r] : bounds[r] + sizes[r]]] = 1
+                common = np.add.reduceat(marks[flat], begins)
+                alike = 100 * common >= percent * (sizes[r] + sizes[theirs] - common)
+                linked = theirs[alike & (comps[theirs] != comps[r])]
+                for c, at in zip(*np.unique(comps[linked], return_index=True), strict=True):
+                    found.setdefault((min(comps[r], c), max(comps[r], c)), (int(r), int(linked[at])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([cls[x[k]].as_py() for x in found.values()], pa.binary()) for k in (0, 1)], ["a", "b"]
+            )
+
+    return run
+
+
 def near_duplicates(
     docs: DataFrame, *, text: str = "text", ident: str = "doc_id", width: int = WIDTH, percent: int = PERCENT,
 ) -> DataFrame:
@@ -313,23 +426,3 @@ def _weigh(pairs: DataFrame, facts: DataFrame) -> DataFrame:
     b = facts.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
     joined = pairs.join(a, "a").join(b, "b").filter(_sizes_allow("n_a", "n_b"))
     return joined.select("a", "b", _bits_apart("s_a", "s_b").alias("apart")).filter(F.col("apart") <= MOST_BITS)
-
-
-def _across(in_bucket: DataFrame, main: DataFrame, facts: DataFrame) -> DataFrame:
-    """Pairs of a bucket from different components, at least one outside the largest."""
-    full = (
-        in_bucket.join(main.select("bucket", F.col("comp").alias("main_comp")), "bucket")
-        .join(facts.select("cls", "n", "sketch"), "cls")
-    )
-    mine = full.filter(F.col("comp") != F.col("main_comp")).select(
-        "bucket", F.col("cls").alias("a"), F.col("comp").alias("comp_a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a")
-    )
-    theirs = full.select(
-        "bucket", F.col("cls").alias("b"), F.col("comp").alias("comp_b"), F.col("n").alias("n_b"),
-        F.col("sketch").alias("s_b"), "main_comp",
-    )
-    apart = (F.col("comp_a") != F.col("comp_b")) & ((F.col("comp_b") == F.col("main_comp")) | (F.col("a") < F.col("b")))
-    joined = mine.withColumnRenamed("bucket", "bucket_a").join(
-        theirs, (F.col("bucket_a") == F.col("bucket")) & apart & _sizes_allow("n_a", "n_b") & (_bits_apart("s_a", "s_b") <= MOST_BITS)
-    )
-    return joined.select("a", "b")
