@@ -29,7 +29,7 @@ from .shared import Scratch
 
 END_ID = 2
 # A block closes at this many ids, or after the document that passes it.
-BLOCK_IDS = 1 << 22
+BLOCK_IDS = 1 << 21
 ROUNDS = 4
 PAIRS_PER_ROUND = 3072
 LEAST_COUNT = 16
@@ -38,7 +38,7 @@ MOST_SYMBOLS = 1 << 16
 MAGIC = b"RPG1"
 HEADER = "<4sBxxxIIQQI"
 _TABLE_BITS = 18
-_WORDS_KEPT = 600_000
+_WORDS_KEPT = 500_000
 _MARK = "<|endoftext|>"
 _SIMPLE = re.compile("([a-zà-öø-ÿ]+)([,.;:!?]*)")
 _PIECES = lambda piece: 1 + (" " in piece)
@@ -180,7 +180,7 @@ class WordEncoder:
     def __init__(self, definition: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.whole, self.plain = Tokenizer.from_str(definition), Tokenizer.from_str(definition)
+        self.whole = Tokenizer.from_str(definition)
         self.size, self.mark = self.whole.get_vocab_size(), self.whole.token_to_id(_MARK)
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for token, i in self.whole.get_vocab().items() if token.endswith("</w>")]] = True
@@ -188,7 +188,7 @@ class WordEncoder:
         probe = lambda t: self._encoded(self.whole, [t]).tolist()
         self.by_words = bool(self.ends.any()) and self.mark is not None and probe("Ab cd,\te") == probe("ab") + probe("cd") + probe(",") + probe("e")
         # For words that are folded already: without the normaliser, and parted at spaces only.
-        self.plain.normalizer = None
+        self.plain = Tokenizer(self.whole.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
@@ -319,8 +319,8 @@ def _write(definition, block_ids: int):
             sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
             row = 0
             while row < batch.num_rows:
-                # About 8 MB of text at a time; one long text is taken whole.
-                upto = row + max(1, int(np.searchsorted(np.cumsum(sizes[row:]), 1 << 23, "right")))
+                # About 4 MB of text at a time; one long text is taken whole.
+                upto = row + max(1, int(np.searchsorted(np.cumsum(sizes[row:]), 1 << 22, "right")))
                 part = batch.slice(row, upto - row)
                 ids, counts = _with_ends(*encoder.ids_of(part.column("text")))
                 held.append((part.column("doc_id"), ids, counts))
