@@ -153,3 +153,20 @@ e AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
 r(node, comp) AS (SELECT DISTINCT cls, cls FROM m UNION SELECT e.b, r.comp FROM r JOIN e ON e.a = r.node WHERE r.comp < e.b),
 g AS (SELECT node, min(comp) AS comp FROM r GROUP BY node)
 SELECT m.doc_id, n::BIGINT AS n_shingles, g.comp AS component_id, m.doc_id = g.comp AS kept FROM m JOIN g ON g.node = m.cls"""
+
+# Bytes as pairs of hexadecimal digits, so that positions and slices are by byte.
+ORACLE["op2_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 400)) AS k FROM (
+        SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM d)),
+r AS (SELECT doc_id, i FROM w QUALIFY count(*) OVER (PARTITION BY k) > 1),
+m AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER p + 200 OR lag(i) OVER p IS NULL THEN 1 ELSE 0 END AS fresh FROM r
+      WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+n AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM m),
+s AS (SELECT doc_id, run, min(i) AS x, max(i) + 200 AS y FROM n GROUP BY doc_id, run),
+g AS (SELECT s.doc_id, x, y, coalesce(lag(y) OVER (PARTITION BY s.doc_id ORDER BY x), 0) AS upto FROM s),
+k AS (SELECT g.doc_id, sum(y - x)::BIGINT AS n_removed, count(*) AS n_spans, max(y) AS last,
+        string_agg(substr(h, 2 * upto + 1, 2 * (x - upto)), '' ORDER BY x) AS kept FROM g JOIN d ON d.doc_id = g.doc_id GROUP BY g.doc_id)
+SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id"""

@@ -117,3 +117,24 @@ def spans(text: Column, pattern: Column, measure: Callable[[Column], Column], gr
 
     nothing = F.array().cast("array<struct<start:int,end:int>>")
     return F.when(F.rlike(text, pattern), let(F.regexp_extract_all(text, pattern, F.lit(0)), located)).otherwise(nothing)
+
+
+def hash_filter(hashes: DataFrame, column: str, bits: int) -> bytes:
+    """A bitmap of the leading bits of 64-bit hashes, of fixed size whatever the number of hashes.
+
+    Spark builds it in pieces of 4 KB, so at most ``2 ** bits / 8`` bytes come to the driver.  It lets
+    through every hash of the column and some others; a join decides.
+    """
+    import numpy as np
+
+    bit = F.shiftrightunsigned(column, 64 - bits)
+    pieces = hashes.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
+    )
+    marks = np.zeros(1 << bits, np.uint8)
+    for piece, found in pieces.toLocalIterator():
+        # Piece 0 holds position 0 alone; piece b begins at position (b - 1) * 32768 + 1.
+        at = (piece - 1) * 32768 + 1 if piece else 0
+        own = np.unpackbits(np.frombuffer(found, np.uint8), bitorder="little")[: (1 << bits) - at]
+        marks[at : at + len(own)] |= own
+    return np.packbits(marks, bitorder="little").tobytes()

@@ -12,10 +12,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from . import kernels
-from .shared import Scratch, without
+from .shared import Scratch, hash_filter, without
 
 WIDTH = 8
 # Windows with fewer literal words than this say too little.
@@ -129,22 +129,6 @@ def _schema(df: DataFrame) -> str:
     return ", ".join(f"`{n}` {t}" for n, t in df.dtypes if n != "__text")
 
 
-def _bits(items: DataFrame) -> bytes:
-    """The filter as a bitmap: 512 rows of 4 KB at most come to the driver, however large the benchmark."""
-    bit = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
-    parts = items.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
-    )
-    size = 1 << 15
-    whole = bytearray((1 << FILTER_BITS) // 8)
-    for part, bits in parts.collect():
-        # Buckets are numbered from 1 for positions 1..32768, with bucket 0 only for position 0 and below.
-        at = (part - 1) * size + 1 if part > 0 else 0
-        for i in np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")).tolist():
-            whole[(at + i) >> 3] |= 1 << ((at + i) & 7)
-    return bytes(whole)
-
-
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id", item_text: str = "text",
     carry: list[str] | None = None,
@@ -164,7 +148,7 @@ def decontaminate(
     asked = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("__text"))
     known = asked.mapInArrow(_emit(None), f"{_schema(asked)}, {_HITS}").select("item", F.explode("__hits").alias("h"))
     known = scratch.save(known.select("item", "h.hash", F.col("h.at").alias("item_at"), F.col("h.slots").alias("item_slots")).distinct(), "items")
-    passes = spark.sparkContext.broadcast(_bits(known))
+    passes = spark.sparkContext.broadcast(hash_filter(known, "hash", FILTER_BITS))
     narrow = without(docs, *outputs).select(*[f"`{c}`" for c in carry], F.col(text).alias("__text"))
     found = narrow.mapInArrow(_emit(passes), f"{_schema(narrow)}, {_HITS}" if carry else _HITS)
     # The row number is written with the rows, so it stays the same whatever is computed again.
