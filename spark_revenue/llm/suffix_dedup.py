@@ -1,6 +1,6 @@
 """Removal of long strings that occur more than once, by a sparse suffix array.
 
-A string of 200 bytes is found by its anchor: of all 40-byte strings in it the one with the least hash,
+A string of 200 bytes is found by its anchor: of all 80-byte strings in it the one with the least hash,
 the last of equal ones.  Equal strings have equal anchors in the same place, so only suffixes that begin
 at anchors are sorted.  Consecutive strings with one anchor form a context.  Contexts with the same anchor
 hash meet in one group; equal ones are counted beforehand and enter once.
@@ -24,7 +24,7 @@ from . import kernels
 from .shared import Scratch, hash_filter
 
 LENGTH = 200
-ANCHOR = 40
+ANCHOR = 80
 SHALLOW = 16
 FILTER_BITS = 24
 # A larger group of different contexts is compared by hashes of its strings, which spread over tasks.
@@ -74,7 +74,8 @@ def anchors(data: np.ndarray, starts: np.ndarray, length: int = LENGTH, anchor:
     at = at[edge]
     whole = kernels.mix((sums[last] - sums[first]) * down[first] + (last - first).astype(_U) * _U(kernels.BASE) + (at - first).astype(_U))
     row = np.searchsorted(bounds, first, "right") - 1
-    return grams[at], whole, row, first + int(starts[0]), last + int(starts[0]), at - first
+    # Least hashes crowd at zero; mixed once more they spread over the filter's bits.
+    return kernels.mix(grams[at]), whole, row, first + int(starts[0]), last + int(starts[0]), at - first
 
 
 def _common(a: bytes, b: bytes) -> int:
