@@ -69,23 +69,26 @@ def stretches(starts: np.ndarray, size: int = STRETCH) -> Iterator[tuple[int, in
         row = min(end, n)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, separators: np.ndarray = SPACES, fold: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    data: np.ndarray, starts: np.ndarray, separators: np.ndarray = SPACES, kinds: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the rows that ``starts`` delimits in ``data``, and each row's first word.
 
-    Words are runs of bytes outside ``separators`` after ``fold``; they end where their row ends.
+    Words are runs of bytes outside ``separators``, with A-Z as a-z; they end where their row ends and,
+    with ``kinds``, where the kind of byte changes (kind 0 separates).
     """
     bounds = starts - starts[0]
     piece = data[starts[0] : starts[-1]]
-    inside = ~separators[piece]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
+    kind = (~separators).view(np.uint8)[piece] if kinds is None else kinds[piece]
+    inside = kind > 0
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= kind[1:] != kind[:-1]
+    last[:-1] &= kind[1:] != kind[:-1]
     edges = bounds[:-1][bounds[:-1] < len(piece)]
     first[edges] = inside[edges]
-    last = inside.copy()
-    last[:-1] &= ~inside[1:]
     last[edges[edges > 0] - 1] = inside[edges[edges > 0] - 1]
     begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    sums = prefix(fold[piece].astype(_U) + _U(1))
+    sums = prefix(LOWER[piece].astype(_U) + _U(1))
     _, down = powers(len(piece) + 1)
     hashes = mix((sums[end] - sums[begin]) * down[begin])
     return hashes, np.searchsorted(begin, bounds)

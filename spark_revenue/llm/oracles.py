@@ -170,3 +170,24 @@ k AS (SELECT g.doc_id, sum(y - x)::BIGINT AS n_removed, count(*) AS n_spans, max
 SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
   sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) AS kept_sha256
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id"""
+
+ORACLE["op1_tool_calls"] = r"""
+WITH RECURSIVE c AS (SELECT conv_id || ':' || turn AS call_id, conv_id, conv_id || ':' || (turn - 2) AS parent_id, text,
+        regexp_extract(text, '[0-9]+') AS number, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+      FROM conversations WHERE role = 'user'),
+a AS (SELECT *, CASE WHEN coalesce(number, '') <> '' THEN 'look_up' ELSE 'ask' END AS tool, coalesce(to_json(text)::VARCHAR, 'null') AS t FROM c),
+j AS (SELECT *, '{' || CASE WHEN tool = 'look_up' THEN '"number":' || number || ',' ELSE '' END || '"text":' || t || ',"words":' || words || '}' AS arguments,
+        CASE WHEN text IS NULL THEN '["missing:text"]' ELSE '[]' END AS problems FROM a),
+n AS (SELECT call_id, min((conv_id, parent_id, tool, arguments, problems)) AS b, count(*) AS n_calls FROM j GROUP BY call_id),
+u AS (SELECT call_id, b[1] AS conv_id, b[2] AS parent_id, b[3] AS tool, b[4] AS arguments, b[5] AS problems, n_calls FROM n),
+l(call_id, level) AS (SELECT call_id, 0 FROM u WHERE parent_id NOT IN (SELECT call_id FROM u)
+      UNION ALL SELECT u.call_id, l.level + 1 FROM u JOIN l ON u.parent_id = l.call_id),
+r AS (SELECT conv_id || ':' || (turn - 1) AS call_id, min(text) AS content, count(*) AS n_results FROM conversations
+      WHERE role = 'assistant' GROUP BY 1)
+SELECT u.conv_id, coalesce(u.call_id, r.call_id) AS call_id, u.parent_id, l.level::BIGINT AS level,
+  CASE WHEN n_calls IS NULL THEN 'no_call' WHEN n_results IS NULL THEN 'no_result' ELSE 'linked' END AS status,
+  coalesce(n_calls, 0) AS n_calls, coalesce(n_results, 0) AS n_results, problems = '[]' AS valid,
+  '{"arguments":' || coalesce(arguments, 'null') || ',"id":' || to_json(coalesce(u.call_id, r.call_id))::VARCHAR || ',"problems":'
+    || coalesce(problems, 'null') || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || ',"tool":'
+    || coalesce('"' || tool || '"', 'null') || '}' AS json
+FROM u FULL JOIN r ON u.call_id = r.call_id LEFT JOIN l ON l.call_id = u.call_id"""

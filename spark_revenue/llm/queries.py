@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grammar_store, licenses, mixing, odd_sketch, quality_rules, secret_index, suffix_dedup, templates
+from . import grammar_store, importance, licenses, mixing, odd_sketch, quality_rules, secret_index, suffix_dedup, templates, tool_calls
 from .oracles import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_calls.calls_of(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return tool_calls.link(calls, results, tool_calls.CHAT_SCHEMAS)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_documents(spark, sf_dir))
 
@@ -39,6 +44,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
+def op6_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return importance.resample(_documents(spark, sf_dir), labels, carry=["doc_id"])
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return templates.decontaminate(_documents(spark, sf_dir), benchmark, carry=["doc_id"])
@@ -57,10 +67,12 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_tool_calls": op1_tool_calls,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_grammar": op4_token_grammar,
     "op5_mixing": op5_mixing,
+    "op6_importance": op6_importance,
     "op7_decontaminate": op7_decontaminate,
     "op8_secrets": op8_secrets,
     "op9_near_duplicates": op9_near_duplicates,
