@@ -19,6 +19,8 @@ from .shared import Scratch, without
 
 BITS = 16
 ORDER = 2
+# The target model is fitted on this many labelled texts at most: ids of few MB that may be broadcast.
+MOST_TARGETS = 200_000
 # Added to every bucket of both models.
 SMOOTHING = 1.0
 # Letters, digits and everything beyond ASCII make one kind of word, marks another.
@@ -83,7 +85,8 @@ def resample(
 ) -> DataFrame:
     """The ``carry`` columns (default: all) of every row with ``score, noisy, kept``.
 
-    The target model is that of all rows labelled 1, the raw model that of all rows.  ``share`` of the rows
+    The target model is that of rows labelled 1 (``MOST_TARGETS`` of them at most, drawn by hash), the raw model
+    that of all rows.  ``share`` of the rows
     is kept, by default the share of 1 among the labels; the noise follows from id and seed.  Null and empty
     texts score 0; ids that are null or without a label are in no target; repeated rows score alike; rows
     of one noisy score are taken in order of id; without labels everything is kept.  An empty table stays
@@ -97,8 +100,9 @@ def resample(
     if share is None:
         share = labels.agg(F.avg((F.col(label) == 1).cast("double"))).first()[0]
         share = 1.0 if share is None else share
-    good = labels.filter(F.col(label) == 1).select(F.col(ident).alias("__good")).distinct()
-    targets = clean.join(good, F.col(ident) == F.col("__good"), "left_semi")
+    good = labels.filter(F.col(label) == 1).select(F.col(ident).alias("__good")).filter("__good IS NOT NULL").distinct()
+    good = good.orderBy(F.xxhash64("__good", F.lit(seed)), "__good").limit(MOST_TARGETS)
+    targets = clean.join(F.broadcast(good), F.col(ident) == F.col("__good"), "left_semi")
     ratio = _model(targets.select(F.col(text).alias("text"))) - _model(clean.select(F.col(text).alias("text")))
     ratios = spark.sparkContext.broadcast(ratio.astype(np.float64).tobytes())
     narrow = clean.select(
