@@ -226,10 +226,13 @@ def _classes(
     texts = scratch.save(found.groupBy("cls").agg(F.max("__text").alias("text")), "texts")
     comps = _components(scratch, buckets, facts, texts, width, percent)
     of_class = classes.select("cls", "id").join(comps, "cls", "left").select("cls", "id", F.coalesce("comp", "cls").alias("comp"))
+    of_class = scratch.save(of_class, "of_class")
+    rows = scratch.save(signed.select("id", "key", "n", "cls"), "rows")
+    scratch.drop("signed", "classes", "buckets", "facts", "texts")
     heads = of_class.groupBy("comp").agg(
         F.min("id").alias("component_id"), F.min(F.struct(F.col("id").isNull(), "id", "cls"))["cls"].alias("head")
     )
-    return signed.select("id", "key", "n", "cls"), of_class.join(heads, "comp").select("cls", "component_id", "head")
+    return rows, of_class.join(heads, "comp").select("cls", "component_id", "head")
 
 
 def _components(
