@@ -115,13 +115,13 @@ def resample(
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.desc("noisy"), F.asc_nulls_first("__draw")]
     dealt = scratch.save(scored.repartitionByRange(n, *order).withColumn("__range", F.spark_partition_id()), "scored")
-    sizes = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("size"))
-    before = F.sum("size").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
-    total = F.sum("size").over(Window.partitionBy())
-    bounds = sizes.select("__range", F.coalesce(before, F.lit(0)).alias("__before"), F.round(total * F.lit(share)).alias("__k"), "size")
+    sizes = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
+    before = F.sum("__size").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    total = F.sum("__size").over(Window.partitionBy())
+    bounds = sizes.select("__range", F.coalesce(before, F.lit(0)).alias("__before"), F.round(total * F.lit(share)).alias("__k"), "__size")
     joined = dealt.join(bounds, "__range")
-    cut = (F.col("__before") < F.col("__k")) & (F.col("__before") + F.col("size") > F.col("__k"))
+    cut = (F.col("__before") < F.col("__k")) & (F.col("__before") + F.col("__size") > F.col("__k"))
     place = F.col("__before") + F.row_number().over(Window.partitionBy("__range").orderBy(*order))
     columns = [*[F.col(f"`{c}`") for c in carry], "score", "noisy"]
-    clear = joined.filter(~cut).select(*columns, (F.col("__before") + F.col("size") <= F.col("__k")).alias("kept"))
+    clear = joined.filter(~cut).select(*columns, (F.col("__before") + F.col("__size") <= F.col("__k")).alias("kept"))
     return clear.unionByName(joined.filter(cut).select(*columns, (place <= F.col("__k")).alias("kept")))
