@@ -9,6 +9,8 @@ each slice its starting offset, and the two are added.  Results equal the plain
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -34,13 +36,20 @@ def _cut_points(df: DataFrame, keys: list[str], value: str, tie: str, min_rows:
     """
     cuts = [_cuts(value, slices).alias("__vc"), _cuts(tie, slices).alias("__tc")]
     if not keys:
-        return df.agg(*cuts) if df.select(value).limit(min_rows + 1).count() > min_rows else None
+        return df.agg(*cuts) if df.select(value).count() > min_rows else None
     counted = df.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") > min_rows)
     hot = counted.orderBy(F.desc("__n")).limit(HOT_KEYS).select(*keys).collect()
     if not hot:
         return None
     hot_keys = df.sparkSession.createDataFrame(hot, df.select(*keys).schema)
-    return df.join(F.broadcast(hot_keys), keys, "left_semi").groupBy(*keys).agg(*cuts)
+    return _null_safe(df, F.broadcast(hot_keys), keys, "inner").groupBy(*keys).agg(*cuts)
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """A join on keys in which NULL meets NULL; the result has the keys of the left side."""
+    renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])
+    match = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+    return left.join(renamed, match, how).drop(*[f"__r_{k}" for k in keys])
 
 
 def _with_slices(
@@ -52,7 +61,7 @@ def _with_slices(
     A value so frequent that it fills several cuts gets a slice of its own, which is cut again by
     the tie column.  Groups that are not cut are slice (0, 0).
     """
-    cut = df.join(F.broadcast(cuts), keys, "left") if keys else with_scalars(df, cuts)
+    cut = _null_safe(df, F.broadcast(cuts), keys, "left") if keys else with_scalars(df, cuts)
     v, t = F.col(value), F.col(tie)
     before = F.size(F.filter("__vc", lambda c: c > v if value_desc else c < v))
     equal = F.size(F.filter("__vc", lambda c: c == v))
@@ -145,7 +154,7 @@ def ordered_measures(
         offsets += [F.min("__lo").over(group).alias("__group_lo"), F.max("__hi").over(group).alias("__group_hi")]
     starts = per_slice.select(*part, *offsets)
 
-    joined = local.join(starts, part, "left")
+    joined = _null_safe(local, starts, part, "left")
     before = {"__rn": "__rows_before", "__rank": "__rank_before", "__dense": "__dense_before"}
     before |= {f"__run{i}": f"__run_before{i}" for i in range(len(running))}
 

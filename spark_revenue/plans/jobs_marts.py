@@ -96,12 +96,24 @@ def _matrix(t: DomainTables) -> DataFrame:
     return f.model_matrix(_features(t))
 
 
-# Queries that only read the trained model share it, per session and data folder.
+def _version(t: DomainTables) -> tuple[tuple[str, int, int], ...]:
+    """Names, sizes and times of the files under the data folder."""
+    jvm = t.spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(t.path)
+    files = path.getFileSystem(t.spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files)
+
+
+# Queries that only read the trained model share it, per session, data folder and state of its files.
 @lru_cache(maxsize=8)
-def _model(t: DomainTables, kind: str, trees: int = 150) -> m.TrainedModel:
+def _trained(t: DomainTables, version: tuple, kind: str, trees: int) -> m.TrainedModel:
     return m.train_model(_matrix(t), kind, trees=trees)
 
 
+def _model(t: DomainTables, kind: str, trees: int = 150) -> m.TrainedModel:
+    return _trained(t, _version(t), kind, trees)
+
+
 def _banded(t: DomainTables) -> DataFrame:
     return m.band_scores(rule_probability(t))
 

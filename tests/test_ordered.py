@@ -61,3 +61,18 @@ def test_exact_quantiles(spark, min_rows):
     want = df.agg(*[F.percentile(F.col("v").cast("double"), p).alias(n) for n, p in probs.items()]).first()
     for name in probs:
         assert got[name] == pytest.approx(want[name])
+
+
+def test_hot_null_key_is_cut_and_numbered(spark):
+    from pyspark.sql import Window, functions as F
+
+    from spark_revenue.functions.ordered import ordered_measures
+
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 10 < 7, F.lit(None)).otherwise((F.col("id") % 3).cast("string")).alias("k"),
+        (F.col("id") * 7919 % 501).alias("v"), F.col("id").alias("t"),
+    )
+    got = ordered_measures(df, ["k"], "v", "t", row_number="n", running={"s": "v"}, min_rows=100, slices=16)
+    window = Window.partitionBy("k").orderBy("v", "t")
+    want = df.withColumn("n", F.row_number().over(window)).withColumn("s", F.sum("v").over(window.rowsBetween(Window.unboundedPreceding, 0)))
+    assert sorted(map(tuple, got.select("t", "n", "s").collect())) == sorted(map(tuple, want.select("t", "n", "s").collect()))

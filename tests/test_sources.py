@@ -86,3 +86,11 @@ def test_views(spark):
     assert spark.sql("SELECT count(*) FROM vw_claims").first()[0] == t.claims().count()
     assert rows(marts.refresh_summaries({"vw_claims": t.claims()})) == [("vw_claims", t.claims().count())]
     spark.catalog.dropTempView("vw_claims")
+
+
+def test_ids_beyond_32_bits_and_lines_set_aside(spark, tmp_path):
+    big = PATIENTS_CSV.replace("\n1,Ann", "\n3000000000,Ann")
+    (tmp_path / "patients.csv").write_text(big)
+    fits, aside = readers.read_checked_csv(spark, str(tmp_path), "patients")
+    assert [r.patient_id for r in fits.collect()] == [3_000_000_000]
+    assert aside.count() == 1 and aside.first()[readers.CORRUPT].startswith("two,Bob")
