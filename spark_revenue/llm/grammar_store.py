@@ -38,7 +38,7 @@ MOST_SYMBOLS = 1 << 16
 MAGIC = b"RPG1"
 HEADER = "<4sBxxxIIQQI"
 _TABLE_BITS = 18
-_WORDS_KEPT = 500_000
+_WORDS_KEPT = 400_000
 _MARK = "<|endoftext|>"
 _SIMPLE = re.compile("([a-zà-öø-ÿ]+)([,.;:!?]*)")
 _PIECES = lambda piece: 1 + (" " in piece)
@@ -330,6 +330,8 @@ def _write(definition, block_ids: int):
                     yield close()
         if held:
             yield close()
+        # The worker waits for its next task; what Arrow has pooled meanwhile goes back.
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -372,6 +374,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ],
                 ["doc_id", "shard", "block", "inside", "n_tokens", "ids_crc32"],
             )
+    pa.default_memory_pool().release_unused()
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
