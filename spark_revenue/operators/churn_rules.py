@@ -22,8 +22,14 @@ from ..functions.exprs import (
 )
 
 
-def snapshot_row(appointments: DataFrame, snapshot: str | None = None) -> DataFrame:
-    """One row with the day recency is measured from: given, or the last visit in the data."""
+def snapshot_row(appointments: DataFrame, snapshot: str | DataFrame | None = None) -> DataFrame:
+    """One row with the day recency is measured from: given, or the last visit in the data.
+
+    A frame is a narrow one with the visits' ``appointment_date``: where ``appointments`` is a join, the
+    last day is then read without running it again.
+    """
+    if isinstance(snapshot, DataFrame):
+        return snapshot.agg(F.max("appointment_date").alias("__snapshot"))
     day = F.lit(snapshot).cast("date") if snapshot else F.max("appointment_date")
     return appointments.agg(day.alias("__snapshot"))
 
@@ -61,7 +67,7 @@ def _score_or(default: float) -> Column:
 
 
 def churn_features(patients: DataFrame, appointments: DataFrame, surveys: DataFrame,
-                   snapshot: str | None = None) -> DataFrame:
+                   snapshot: str | DataFrame | None = None) -> DataFrame:
     """A3: recency, frequency, value and satisfaction per patient, with defaults 5, 3 and 0.
 
     Distinct visits are counted over two columns only; inside the other aggregate they would make
@@ -91,7 +97,7 @@ def churn_features(patients: DataFrame, appointments: DataFrame, surveys: DataFr
 
 
 def churn_rule_scores(patients: DataFrame, appointments: DataFrame, surveys: DataFrame,
-                      snapshot: str | None = None, fanout: bool = False, with_no_show: bool = False) -> DataFrame:
+                      snapshot: str | DataFrame | None = None, fanout: bool = False, with_no_show: bool = False) -> DataFrame:
     """A4: 0 to 5 points for inactivity, a single visit and low satisfaction, with a band.
 
     ``fanout=True`` counts a visit once per survey of the patient, as a three-way join would.
@@ -122,7 +128,7 @@ def churn_rule_scores(patients: DataFrame, appointments: DataFrame, surveys: Dat
 
 
 def priority_retention(patients: DataFrame, appointments: DataFrame, surveys: DataFrame,
-                       snapshot: str | None = None, limit: int = 50, min_billed: float = 500,
+                       snapshot: str | DataFrame | None = None, limit: int = 50, min_billed: float = 500,
                        min_days: int = 90) -> DataFrame:
     """A5: the ``limit`` most valuable inactive patients who have not churned (ties by id)."""
     activity = appointments.groupBy("patient_id").agg(F.max("appointment_date").alias("last_visit"))
@@ -142,7 +148,7 @@ def priority_retention(patients: DataFrame, appointments: DataFrame, surveys: Da
 
 
 def churn_risk_view(patients: DataFrame, appointments: DataFrame, surveys: DataFrame,
-                    snapshot: str | None = None) -> DataFrame:
+                    snapshot: str | DataFrame | None = None) -> DataFrame:
     """V2: profile, recency, satisfaction and the band by inactivity (never seen counts as LOW)."""
     people = patients.select("patient_id", "insurance_type", "state", "churn_flag", "total_billed")
     rows = _profile(people, patient_activity(appointments), surveys, snapshot_row(appointments, snapshot))
@@ -155,7 +161,7 @@ def churn_risk_view(patients: DataFrame, appointments: DataFrame, surveys: DataF
     )
 
 
-def retention_priority_view(patients: DataFrame, appointments: DataFrame, snapshot: str | None = None) -> DataFrame:
+def retention_priority_view(patients: DataFrame, appointments: DataFrame, snapshot: str | DataFrame | None = None) -> DataFrame:
     """V7: valuable patients with a visit, inactive for more than 60 days, not churned."""
     people = patients.filter("total_billed > 500 AND churn_flag = 0").select(
         "patient_id", "insurance_type", "state", "total_billed"
@@ -168,7 +174,7 @@ def retention_priority_view(patients: DataFrame, appointments: DataFrame, snapsh
 
 
 def valuable_inactive(patients: DataFrame, appointments: DataFrame, surveys: DataFrame,
-                      snapshot: str | None = None) -> DataFrame:
+                      snapshot: str | DataFrame | None = None) -> DataFrame:
     """The step-by-step feature table of valuable patients inactive for more than 60 days."""
     activity = patient_activity(appointments, round_half_up(mean("wait_days"), 1).alias("avg_wait_days"))
     people = patients.filter("total_billed > 500 AND churn_flag = 0").select(
@@ -183,7 +189,7 @@ def valuable_inactive(patients: DataFrame, appointments: DataFrame, surveys: Dat
     )
 
 
-def inactive_patients(patients: DataFrame, appointments: DataFrame, snapshot: str | None = None,
+def inactive_patients(patients: DataFrame, appointments: DataFrame, snapshot: str | DataFrame | None = None,
                       min_days: int = 90) -> DataFrame:
     """Patients whose last visit is more than ``min_days`` ago."""
     activity = appointments.groupBy("patient_id").agg(F.max("appointment_date").alias("last_visit"))

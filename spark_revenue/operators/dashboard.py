@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.exprs import done, mean_if, missed, money, rate_pct, round_half_up, sum_if, with_scalars
+from ..functions.exprs import done, in_months, mean_if, missed, money, rate_pct, round_half_up, sum_if, with_scalars
 from .kpis import band, bulk_billing_rate, churn_by_state, is_bulk, revenue_pivot, satisfaction_monthly
 
 ALL = "ALL"
@@ -14,15 +14,19 @@ ALL = "ALL"
 
 def filter_slice(appointments: DataFrame, specialty: str = ALL, clinic: int | str = ALL, kind: str = ALL,
                  start: str | dt.date | None = None, end: str | dt.date | None = None) -> DataFrame:
-    """The chosen specialty, clinic, visit type and inclusive date range; ``ALL`` keeps everything."""
-    out = appointments
+    """The chosen specialty, clinic, visit type and inclusive date range; ``ALL`` keeps everything.
+
+    On a saved table only the months of the range are read.
+    """
+    first, last = (F.lit(day).cast("date") if day else None for day in (start, end))
+    out = in_months(appointments, first, last)
     for column, wanted in (("specialty", specialty), ("clinic_id", clinic), ("appointment_type", kind)):
         if wanted != ALL:
             out = out.filter(F.col(column) == wanted)
-    if start:
-        out = out.filter(F.col("appointment_date") >= F.lit(start).cast("date"))
-    if end:
-        out = out.filter(F.col("appointment_date") <= F.lit(end).cast("date"))
+    if first is not None:
+        out = out.filter(F.col("appointment_date") >= first)
+    if last is not None:
+        out = out.filter(F.col("appointment_date") <= last)
     return out
 
 

@@ -35,7 +35,7 @@ def _opinion(surveys: DataFrame) -> DataFrame:
 
 
 def build_features(patients: DataFrame, appointments: DataFrame, surveys: DataFrame | None = None,
-                   snapshot: str | None = None, unseen_days: int = 999) -> DataFrame:
+                   snapshot: str | DataFrame | None = None, unseen_days: int = 999) -> DataFrame:
     """visit and survey features per patient, every gap filled; categories still as text.
 
     Rates and averages keep six decimals.
@@ -75,7 +75,7 @@ def build_features(patients: DataFrame, appointments: DataFrame, surveys: DataFr
 
 
 def build_features_wide(patients: DataFrame, appointments: DataFrame, surveys: DataFrame,
-                        snapshot: str | None = None) -> DataFrame:
+                        snapshot: str | DataFrame | None = None) -> DataFrame:
     """The variant with age and lifetime billing, statuses matched by pattern, unseen recency 0
     and missing scores filled with the median patient."""
     missed_flag = F.coalesce(F.lower("status"), F.lit("")).rlike(MISSED_PATTERN)

@@ -38,7 +38,7 @@ def age_in_years(birth: str | Column, day: str | Column) -> Column:
     return F.floor(F.months_between(day, birth) / 12)
 
 
-def age_bands(patients: DataFrame, appointments: DataFrame, snapshot: str | None = None) -> DataFrame:
+def age_bands(patients: DataFrame, appointments: DataFrame, snapshot: str | DataFrame | None = None) -> DataFrame:
     """Patients, completed visits, price and bulk share per age band.
 
     Visits are reduced to one row per patient, so patients need no distinct count.

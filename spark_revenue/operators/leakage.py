@@ -5,16 +5,15 @@ Every bucket of a table comes from one conditional aggregate over it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import (
     as_rows,
     done,
     has_status,
-    mean_if,
+    in_months,
     missed,
     money,
-    month_number,
     month_of,
     normalised,
     rate_pct,
@@ -81,10 +80,11 @@ def claims_by_type(claims: DataFrame) -> DataFrame:
 def leakage_report(claims: DataFrame, month: str) -> DataFrame:
     """One month's rejected value, rejection rate over all its claims and commonest reason.
 
-    The month becomes a range on ``claim_date``, which reaches the scan (and partitions by month).
+    The month becomes a range on ``claim_date``, which reaches the scan, and on the ``month`` partitions
+    of a saved table.
     """
     first = F.trunc(F.lit(month).cast("date"), "MM")
-    rows = claims.filter((F.col("claim_date") >= first) & (F.col("claim_date") < F.add_months(first, 1)))
+    rows = in_months(claims, first, first).filter((F.col("claim_date") >= first) & (F.col("claim_date") < F.add_months(first, 1)))
     rejected = rows.filter(_rejected())
     reasons = (
         rejected.filter("rejection_reason IS NOT NULL AND rejection_reason <> 'None'")
@@ -124,16 +124,25 @@ def bucket_totals(appointments: DataFrame, claims: DataFrame, split_after: int =
         sum_if(unpaid, "claimed_amount").cast("double").alias("self_pay"),
         F.count_if(unpaid).alias("self_pay_n"),
     )
-    early = done() & (F.col("month_num") <= split_after)
-    late = done() & (F.col("month_num") > split_after)
-    of_visits = month_number(appointments).agg(
-        sum_if(done(), "billed_amount").cast("double").alias("gross"),
-        sum_if(missed(), "scheduled_fee").cast("double").alias("no_show"),
-        F.count_if(missed()).alias("no_show_n"),
-        F.coalesce(ratio(F.count_if(early & is_bulk()), F.count_if(early)), F.lit(0.0)).alias("rate_early"),
-        F.coalesce(ratio(F.count_if(late & is_bulk()), F.count_if(late)), F.lit(0.0)).alias("rate_late"),
-        F.count_if(late).alias("late_n"),
-        F.coalesce(mean_if(done(), "scheduled_fee"), F.lit(0.0)).alias("avg_fee"),
+    # One pass over the visits; months are numbered on the few rows that are left.
+    fee = F.when(done(), F.col("scheduled_fee"))
+    monthly = appointments.groupBy(month_of("appointment_date").alias("__month")).agg(
+        sum_if(done(), "billed_amount").alias("__gross"), sum_if(missed(), "scheduled_fee").alias("__lost"),
+        F.count_if(missed()).alias("__missed"), F.count_if(done()).alias("__done"),
+        F.count_if(done() & is_bulk()).alias("__bulk"), F.sum(fee).alias("__fees"), F.count(fee).alias("__fee_n"),
+    )
+    first = F.min("__month").over(Window.partitionBy())
+    number = F.months_between("__month", first).cast("int") + 1
+    numbered = monthly.withColumn("month_num", number)
+    early, late = F.col("month_num") <= split_after, F.col("month_num") > split_after
+    of_visits = numbered.agg(
+        F.coalesce(F.sum("__gross"), F.lit(0)).cast("double").alias("gross"),
+        F.coalesce(F.sum("__lost"), F.lit(0)).cast("double").alias("no_show"),
+        F.coalesce(F.sum("__missed"), F.lit(0)).alias("no_show_n"),
+        F.coalesce(ratio(sum_if(early, "__bulk"), sum_if(early, "__done")), F.lit(0.0)).alias("rate_early"),
+        F.coalesce(ratio(sum_if(late, "__bulk"), sum_if(late, "__done")), F.lit(0.0)).alias("rate_late"),
+        sum_if(late, "__done").alias("late_n"),
+        F.coalesce(ratio(F.sum("__fees"), F.sum("__fee_n")), F.lit(0.0)).alias("avg_fee"),
     )
     drop = F.greatest(F.col("rate_early") - F.col("rate_late"), F.lit(0.0))
     erosion = drop * F.col("late_n") * F.col("avg_fee") * F.lit(EROSION_SHARE)

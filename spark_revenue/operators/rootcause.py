@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.exprs import (
     as_rows,
     done,
-    mean,
     mean_if,
     missed,
     money,
@@ -47,13 +46,15 @@ def monthly_growth(appointments: DataFrame) -> DataFrame:
     )
 
 
-def month_pair_effects(appointments: DataFrame, later: str | None = None) -> DataFrame:
+def month_pair_effects(appointments: DataFrame, later: str | None = None,
+                       dates: DataFrame | None = None) -> DataFrame:
     """A2 and A2m: last two months per specialty, revenue change split into volume, rate and mix.
 
     One filtered pass with conditional aggregates gives the same rows as two aggregates joined full
-    outer.  ``later`` is the first day of the later month, by default the last month in the data.
+    outer.  ``later`` is the first day of the later month, by default the last month in the data,
+    read from ``dates`` (a narrow frame of the same visits) where that is given.
     """
-    last = appointments.agg(
+    last = (appointments if dates is None else dates).agg(
         (F.lit(later).cast("date") if later else F.trunc(F.max("appointment_date"), "MM")).alias("__m7")
     )
     month = month_of("appointment_date")
@@ -91,14 +92,14 @@ def erosion_by_month(appointments: DataFrame, months_back: int = 3) -> DataFrame
         round_half_up(mean_if(done(), "billed_amount")).alias("__fee"),
     )
     rate = ratio(F.col("bulk_billed"), F.col("completed"))
-    cutoff = monthly.agg(F.add_months(F.max("month"), -months_back).alias("__cutoff"))
+    # Windows over the month rows, of which there are few, rather than the visits read again.
+    every = Window.partitionBy()
+    cutoff = F.add_months(F.max("month").over(every), -months_back)
     # Rates to twelve decimals as DECIMAL: their sum does not depend on the order of the rows.
-    fixed = rate.cast("decimal(16,12)")
-    baseline = with_scalars(monthly, cutoff).filter("month < __cutoff").agg(
-        F.try_divide(F.sum(fixed).cast("double"), F.count(fixed).cast("double")).alias("__base")
-    )
+    fixed = F.when(F.col("month") < F.col("__cutoff"), rate.cast("decimal(16,12)"))
+    base = F.try_divide(F.sum(fixed).over(every).cast("double"), F.count(fixed).over(every).cast("double"))
     lost = F.greatest(F.lit(0.0), F.col("__base") - rate) * F.col("completed") * F.col("__fee")
-    return with_scalars(monthly, baseline).select(
+    return monthly.withColumn("__cutoff", cutoff).withColumn("__base", base).select(
         "month", "completed", "bulk_billed",
         rate_pct(F.col("bulk_billed"), F.col("completed")).alias("actual_bb_rate_pct"),
         round_half_up(F.col("__base") * 100).alias("baseline_bb_rate_pct"),
@@ -111,8 +112,8 @@ _METRICS = [
 ]
 
 
-def _pair_stats(numbered: DataFrame, first: int, second: int) -> DataFrame:
-    """One row with the seven metrics of both months (suffixes _a and _b)."""
+def _pair_stats(numbered: DataFrame, first: int, second: int, *more: Column) -> DataFrame:
+    """One row with the seven metrics of both months (suffixes _a and _b), and more over both."""
     out = []
     for suffix, number in (("a", first), ("b", second)):
         here = F.col("month_num") == number
@@ -128,7 +129,7 @@ def _pair_stats(numbered: DataFrame, first: int, second: int) -> DataFrame:
             mean_if(here, "wait_days"),
         ]
         out += [v.alias(f"{m}_{suffix}") for m, v in zip(_METRICS, values)]
-    return numbered.filter(F.col("month_num").isin(first, second)).agg(*out)
+    return numbered.filter(F.col("month_num").isin(first, second)).agg(*out, *more)
 
 
 def month_comparison(numbered: DataFrame, first: int = 6, second: int = 7) -> DataFrame:
@@ -147,17 +148,16 @@ def month_comparison(numbered: DataFrame, first: int = 6, second: int = 7) -> Da
 
 def revenue_bridge(numbered: DataFrame, first: int = 6, second: int = 7) -> DataFrame:
     """Baseline, volume effect, billing-mix shift, residual and actual revenue."""
-    stats = _pair_stats(numbered, first, second)
-    fee = F.col("billed_amount")
-    by_type = numbered.filter(F.col("month_num").isin(first, second) & done()).agg(
-        mean(F.when(is_bulk(), fee)).alias("__bulk"),
-        mean(F.when(F.col("billing_type") == "private", fee)).alias("__private"),
-        mean(F.when(F.col("billing_type") == "gap_payment", fee)).alias("__gap"),
+    stats = _pair_stats(
+        numbered, first, second,
+        mean_if(done() & is_bulk(), "billed_amount").alias("__bulk"),
+        mean_if(done() & (F.col("billing_type") == "private"), "billed_amount").alias("__private"),
+        mean_if(done() & (F.col("billing_type") == "gap_payment"), "billed_amount").alias("__gap"),
     )
     bulk = F.coalesce("__bulk", F.lit(0.0))
     private = F.coalesce(F.col("__private"), F.col("__gap"), bulk)
     shift = (F.col("bulk_bill_rate_b") - F.col("bulk_bill_rate_a")) / 100
-    effects = with_scalars(stats, by_type).select(
+    effects = stats.select(
         "total_revenue_a", "total_revenue_b",
         ((F.col("completed_appts_b") - F.col("completed_appts_a")) * F.col("avg_billed_a")).alias("volume"),
         (shift * F.col("completed_appts_b") * (bulk - private)).alias("rate"),

@@ -16,8 +16,13 @@ _BILLS = ("appointment_date", "status", "billing_type", "billed_amount")
 REPORT_MONTH = "1997-07-15"
 
 
+def _dates(t: DomainTables):
+    """Visit dates alone: first and last days come from here, without the joins of wider frames."""
+    return t.appointments("appointment_date")
+
+
 def _numbered(t: DomainTables):
-    return month_number(t.appointments(*_BILLS, "wait_days"))
+    return month_number(t.appointments(*_BILLS, "wait_days"), dates=_dates(t))
 
 
 def _people(t: DomainTables):
@@ -37,15 +42,15 @@ def _pair(t: DomainTables):
 
 
 job("a01_monthly_growth", lambda t: r.monthly_growth(t.appointments(*_BILLS)))
-job("a02_month_pair_effects", lambda t: r.month_pair_effects(_pair(t)))
-job("a02b_named_month_pair", lambda t: r.month_pair_effects(_pair(t), later="1998-07-01"))
+job("a02_month_pair_effects", lambda t: r.month_pair_effects(_pair(t), dates=_dates(t)))
+job("a02b_named_month_pair", lambda t: r.month_pair_effects(_pair(t), later="1998-07-01", dates=_dates(t)))
 job("a03_churn_features", lambda t: c.churn_features(
     _people(t), t.appointments("appointment_id", "patient_id", "appointment_date", "status", "billed_amount",
-                               "wait_days", "appointment_type"), t.surveys()))
-job("a04_churn_rule_scores", lambda t: c.churn_rule_scores(_people(t), _recency(t), t.surveys()))
+                               "wait_days", "appointment_type"), t.surveys(), _dates(t)))
+job("a04_churn_rule_scores", lambda t: c.churn_rule_scores(_people(t), _recency(t), t.surveys(), _dates(t)))
 job("a04b_churn_rule_scores_fanout", lambda t: c.churn_rule_scores(
-    _people(t), _recency(t), t.surveys(), fanout=True))
-job("a05_priority_retention", lambda t: c.priority_retention(_people(t), _recency(t), t.surveys()))
+    _people(t), _recency(t), t.surveys(), _dates(t), fanout=True))
+job("a05_priority_retention", lambda t: c.priority_retention(_people(t), _recency(t), t.surveys(), _dates(t)))
 job("a06_medicare_rejections", lambda t: l.medicare_rejections(t.claims()))
 job("a07_no_show_loss", lambda t: l.no_show_loss(
     t.appointments("appointment_date", "specialty", "status", "scheduled_fee")))
@@ -61,16 +66,16 @@ job("a11_telehealth_comparison", lambda t: s.telehealth_comparison(
 job("a12_month_comparison", lambda t: r.month_comparison(_numbered(t), 30, 31))
 job("a13_revenue_bridge", lambda t: r.revenue_bridge(_numbered(t), 30, 31))
 
-job("v02_churn_risk", lambda t: c.churn_risk_view(_people(t), _recency(t), t.surveys()))
+job("v02_churn_risk", lambda t: c.churn_risk_view(_people(t), _recency(t), t.surveys(), _dates(t)))
 job("v04_specialty_scorecard", lambda t: s.specialty_scorecard_view(
     t.appointments(*_CARD[:-1]), t.surveys("appointment_id", "overall_score")))
 job("v05_clinic_performance", lambda t: s.clinic_ranking(
     t.staff(), t.appointments("staff_id", "patient_id", "status", "billed_amount"), with_avg=False))
-job("v07_retention_priority", lambda t: c.retention_priority_view(_people(t), _recency(t)))
-job("p02_flag_high_churn", lambda t: c.flag_high_churn(c.churn_risk_view(_people(t), _recency(t), t.surveys())))
+job("v07_retention_priority", lambda t: c.retention_priority_view(_people(t), _recency(t), _dates(t)))
+job("p02_flag_high_churn", lambda t: c.flag_high_churn(c.churn_risk_view(_people(t), _recency(t), t.surveys(), _dates(t))))
 job("p03_leakage_report", lambda t: l.leakage_report(t.claims(), REPORT_MONTH).drop("rejection_rate_pct"))
 job("p04_leakage_report_rate", lambda t: l.leakage_report(t.claims(), REPORT_MONTH))
-job("p05_churn_alert", lambda t: c.churn_alert(c.retention_priority_view(_people(t), _recency(t))))
+job("p05_churn_alert", lambda t: c.churn_alert(c.retention_priority_view(_people(t), _recency(t), _dates(t))))
 
 job("w01_revenue_growth", lambda t: w.revenue_growth(t.appointments(*_BILLS)))
 job("w02_patient_rank_pareto", lambda t: w.patient_rank_and_pareto(t.patients()))
@@ -87,16 +92,17 @@ job("w10_patient_journey_short", lambda t: w.patient_journey(t.appointments(*_VI
 job("j01_surveyed_visits", lambda t: j.surveyed_visits(
     t.appointments("appointment_id", "specialty", "wait_days", "billing_type", "status"), t.surveys()))
 job("j02_never_surveyed", lambda t: j.never_seen(_people(t), t.surveys("patient_id")))
-job("j03_month_pair", lambda t: r.month_pair_effects(_pair(t)).select(
+job("j03_month_pair", lambda t: r.month_pair_effects(_pair(t), dates=_dates(t)).select(
     "specialty", "m6_revenue", "m7_revenue", "revenue_delta", "volume_effect", "rate_effect"))
 job("g01_above_network_no_show", lambda t: s.above_network_no_show(t.appointments("specialty", "status")))
 job("g02_above_average_value", lambda t: j.above_average_value(_people(t)))
 job("g03_claims_by_type", lambda t: l.claims_by_type(t.claims()))
 job("d01_age_bands", lambda t: j.age_bands(
     t.patients("patient_id", "date_of_birth"),
-    t.appointments("patient_id", "appointment_date", "status", "billing_type", "billed_amount")))
-job("d02_inactive_patients", lambda t: c.inactive_patients(_people(t), _recency(t)))
-job("x01_valuable_inactive", lambda t: c.valuable_inactive(_people(t), _recency(t), t.surveys()))
+    t.appointments("patient_id", "appointment_date", "status", "billing_type", "billed_amount"),
+    _dates(t)))
+job("d02_inactive_patients", lambda t: c.inactive_patients(_people(t), _recency(t), _dates(t)))
+job("x01_valuable_inactive", lambda t: c.valuable_inactive(_people(t), _recency(t), t.surveys(), _dates(t)))
 
 job("l00_baselines", _leak(l.baselines))
 job("l01_bucket_counts", _leak(l.bucket_counts))
@@ -115,7 +121,7 @@ def _views(t: DomainTables) -> dict:
     surveys = t.surveys()
     return {
         "vw_monthly_revenue": k.revenue_by_type(visits),
-        "vw_churn_risk": c.churn_risk_view(_people(t), visits, surveys),
+        "vw_churn_risk": c.churn_risk_view(_people(t), visits, surveys, _dates(t)),
         "vw_billing_leakage": k.billing_leakage_view(t.claims()),
         "vw_specialty_scorecard": s.specialty_scorecard_view(visits, surveys),
         "vw_clinic_performance": s.clinic_ranking(t.staff(), visits, with_avg=False),

@@ -24,6 +24,11 @@ _BILLS = ("appointment_date", "status", "billing_type", "billed_amount")
 _SCORE = ("appointment_id", "overall_score")
 
 
+def _dates(t: DomainTables) -> DataFrame:
+    """Visit dates alone, for the last day in the data."""
+    return t.appointments("appointment_date")
+
+
 # --- T ----------------------------------------------------------------------------------------
 def _profit(t: DomainTables) -> DataFrame:
     return p.specialty_profit(t.appointments(*_PL), t.staff())
@@ -50,7 +55,7 @@ job("t06_margin_chart", lambda t: p.margin_chart(t.appointments("specialty", "st
 
 # --- R ----------------------------------------------------------------------------------------
 def _rfv(t: DomainTables) -> DataFrame:
-    return g.rfv(t.appointments(*_RFV))
+    return g.rfv(t.appointments(*_RFV), _dates(t))
 
 
 def _scored(t: DomainTables) -> DataFrame:
@@ -65,7 +70,7 @@ def rule_probability(t: DomainTables) -> DataFrame:
     """A score between 0 and 1 both engines can compute: 20 points per rule point, half the missed share."""
     people = t.patients("patient_id", "churn_flag", "insurance_type", "total_billed")
     visits = t.appointments("patient_id", "appointment_id", "appointment_date", "status")
-    scores = c.churn_rule_scores(people, visits, t.surveys(), with_no_show=True)
+    scores = c.churn_rule_scores(people, visits, t.surveys(), _dates(t), with_no_show=True)
     points = F.col("churn_risk_score") * 20.0 + F.coalesce("no_show_rate_pct", F.lit(0.0)) / 2.0
     return scores.select(
         "patient_id", "churn_flag", F.col("lifetime_billed").alias("total_billed"),
@@ -89,7 +94,7 @@ job("r09_segment_sizes", lambda t: g.segment_sizes(_segments(t)))
 
 # --- F ----------------------------------------------------------------------------------------
 def _features(t: DomainTables) -> DataFrame:
-    return f.build_features(t.patients(), t.appointments(*_FEAT), t.surveys())
+    return f.build_features(t.patients(), t.appointments(*_FEAT), t.surveys(), _dates(t))
 
 
 def _matrix(t: DomainTables) -> DataFrame:
@@ -128,7 +133,8 @@ def _cv(t: DomainTables) -> DataFrame:
 
 
 job("f01_churn_features", _features)
-job("f01b_churn_features_wide", lambda t: f.build_features_wide(t.patients(), t.appointments(*_FEAT), t.surveys()))
+job("f01b_churn_features_wide", lambda t: f.build_features_wide(
+    t.patients(), t.appointments(*_FEAT), t.surveys(), _dates(t)))
 job("f02_one_hot", lambda t: f.one_hot(
     t.patients("patient_id", "insurance_type", "state"), {"insurance_type": "ins", "state": "state"}))
 job("f02b_one_hot_drop_first", lambda t: f.one_hot(
@@ -170,7 +176,9 @@ def _leakage(t: DomainTables) -> DataFrame:
 
 
 def _recs(t: DomainTables) -> DataFrame:
-    return e.recommendations(rule_probability(t), t.appointments(*_WAITS), _billing(t), _leakage(t))
+    return e.recommendations(
+        rule_probability(t), t.appointments(*_WAITS), _billing(t), _leakage(t),
+        dates=_dates(t), fees=t.appointments("scheduled_fee"))
 
 
 def _alone(df: DataFrame) -> DataFrame:
@@ -178,10 +186,10 @@ def _alone(df: DataFrame) -> DataFrame:
 
 
 job("e01_churn_prevention", lambda t: _alone(e.churn_prevention(rule_probability(t))))
-job("e02_bulk_billing", lambda t: _alone(e.bulk_billing_optimisation(_billing(t))))
+job("e02_bulk_billing", lambda t: _alone(e.bulk_billing_optimisation(_billing(t), _dates(t))))
 job("e02b_bulk_billing_no_date", lambda t: _alone(e.bulk_billing_drop(t.appointments("specialty", "billing_type"))))
 job("e03_wait_sla", lambda t: _alone(e.wait_sla_breaches(t.appointments(*_WAITS))))
-job("e04_no_show_reduction", lambda t: _alone(e.no_show_reduction(t.appointments(*_WAITS), _billing(t))))
+job("e04_no_show_reduction", lambda t: _alone(e.no_show_reduction(t.appointments(*_WAITS), t.appointments("scheduled_fee"))))
 job("e05_claim_recovery", lambda t: _alone(e.claim_recovery(_leakage(t))))
 job("e06_recommendations", _recs)
 job("e07_totals", lambda t: e.totals(_recs(t)))

@@ -41,18 +41,25 @@ def save_tables_jdbc(tables: dict[str, DataFrame], url: str, properties: dict[st
 
 
 def export_tables(tables: dict[str, DataFrame], folder: str) -> None:
-    """Every cleaned table as CSV with header, and a Parquet copy."""
-    for name, df in tables.items():
-        df.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}.csv")
-        df.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
+    """Every cleaned table as Parquet, and as CSV with header."""
+    _write_both(tables, folder)
+
+
+def _write_both(frames: dict[str, DataFrame], folder: str) -> None:
+    """Parquet first; the CSV is written from it, so each frame is computed once."""
+    for name, df in frames.items():
+        path = f"{folder}/{name}.parquet"
+        df.write.mode("overwrite").parquet(path)
+        written = df.sparkSession.read.schema(df.schema).parquet(path)
+        written.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}.csv")
 
 
 def write_marts(marts: dict[str, DataFrame], folder: str, csv: bool = True) -> None:
     """Every mart as Parquet, and as CSV for people."""
+    if csv:
+        return _write_both(marts, folder)
     for name, df in marts.items():
         df.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
-        if csv:
-            df.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}.csv")
 
 
 def write_recommendations(recs: DataFrame, folder: str) -> None:

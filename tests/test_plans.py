@@ -45,6 +45,27 @@ def test_filters_and_columns_reach_a_table_scan(spark, tmp_path):
     assert "ReadSchema: struct<specialty:string,wait_days:int,status:string>" in plan
 
 
+# Queries whose first or last day comes from a scan of the date alone.
+ONE_JOIN = ["a03_churn_features", "a04_churn_rule_scores", "a05_priority_retention", "a08_bulk_erosion_by_month",
+            "a12_month_comparison", "a13_revenue_bridge", "v02_churn_risk", "v07_retention_priority", "d01_age_bands",
+            "d02_inactive_patients", "x01_valuable_inactive", "r01_rfv", "f01_churn_features", "f06b_risk_bands",
+            "a02_month_pair_effects", "e01_churn_prevention"]
+
+
+def test_last_day_does_not_repeat_the_join(spark):
+    for name in ONE_JOIN:
+        plan = plan_of(run(spark, FOLDER, name))
+        scans = re.findall(r"lineitem\.parquet\].*ReadSchema: struct<(.*?)>", plan)
+        # A subquery is printed wherever it is used, but runs once; none of its scans may feed a join.
+        wide = [s for s in scans if "l_orderkey" in s or "l_partkey" in s]
+        assert len(wide) == 1, f"{name}: {scans}"
+
+
+def test_leakage_reads_visits_once(spark):
+    for name in ("l01_bucket_counts", "l06_leakage_summary", "l10_leakage_headline"):
+        assert plan_of(run(spark, FOLDER, name)).count("lineitem.parquet]") == 1, name
+
+
 def test_big_state_is_ranked_in_slices(spark):
     from spark_revenue.operators.windows import patient_ranks
 

@@ -53,6 +53,25 @@ def test_catalog_round_trip_is_partitioned_by_month(spark):
     spark.sql("DROP DATABASE round_trip CASCADE")
 
 
+def test_month_reports_prune_saved_tables(spark):
+    from spark_revenue.operators.dashboard import filter_slice
+    from spark_revenue.operators.leakage import leakage_report
+
+    t = DomainTables(spark, FOLDER)
+    spark.sql("CREATE DATABASE IF NOT EXISTS by_month")
+    tables = {"billing_claims": t.claims(), "appointments": t.appointments()}
+    writers.save_tables(tables, "by_month")
+    claims, visits = spark.table("by_month.billing_claims"), spark.table("by_month.appointments")
+    report, wanted = leakage_report(claims, "1997-07-15"), leakage_report(t.claims(), "1997-07-15")
+    part = filter_slice(visits, start="1997-01-10", end="1998-02-03")
+    for df, scans in ((report, 2), (part, 1)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("PartitionFilters: [isnotnull(month") == scans, plan
+    assert rows(report) == rows(wanted)
+    assert part.count() == filter_slice(t.appointments(), start="1997-01-10", end="1998-02-03").count() > 0
+    spark.sql("DROP DATABASE by_month CASCADE")
+
+
 def test_export_and_reload_check(spark, tmp_path):
     t = DomainTables(spark, FOLDER)
     raw = {**t.all(), "appointments": t.appointments_raw()}
