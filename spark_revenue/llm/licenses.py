@@ -2,11 +2,13 @@
 
 A text is reduced to its words, each between single spaces.  Every rule has a label, a priority, a
 keyword that its matches contain, and a regex over words; only texts with the keyword see the regex.
+A version may be glued to some keywords ('gplv3'), which are then looked for as the beginning of a word.
 A detection lying inside another of the same or a better priority is suppressed.
 """
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,7 +25,7 @@ BASE = [
     ("mit", "mit license"),
 ]
 
-# Label, keyword that every name of it contains, names as regexes over words.
+# Label, keyword that every name of it contains (see GLUED), names as regexes over words.
 FAMILIES = [
     ("agpl", "affero", ["gnu affero general public license", "affero general public license", "affero gpl"]),
     ("agpl", "agpl", ["agpl ?v?3?", "agpl 3 0( only| or later)?"]),
@@ -66,6 +68,8 @@ FAMILIES = [
     ("wtfpl", "wtfpl", ["wtfpl"]),
     ("zlib", "zlib", ["zlib license", "zlib libpng license"]),
 ]
+# Keywords that are only the beginning of a word in some names.
+GLUED = {"agpl", "gpl", "lgpl", "mpl"}
 # How a name is introduced; a longer introduction is stronger evidence and has the better priority.
 INTRODUCTIONS = [
     (1, "spdx license identifier "),
@@ -89,6 +93,16 @@ def spaced(pattern: str) -> str:
     return " " + pattern.replace(" ?", "\0").replace(" ", "  ").replace("\0", "(?:  )?") + " "
 
 
+def gate(keyword: str) -> str:
+    """What every match of the rules with this keyword contains: the keyword, open at its end where names glue."""
+    return keyword.rstrip() if keyword.strip() in GLUED else keyword
+
+
+def any_gate(rules: list[Rule]) -> str:
+    """A regex for the first words of all gates, which few texts have."""
+    return "|".join(sorted({re.match(" [^ ]+ ?", gate(r.keyword))[0] for r in rules}))
+
+
 def build_rules() -> list[Rule]:
     """One rule for each introduction and name, in order of priority, then as listed."""
     made = [
@@ -119,7 +133,7 @@ def detections(normal: Column, rules: list[Rule] = RULES) -> Column:
     """Surviving detections, sorted by start, longest first, then by rule order."""
     by_keyword: dict[str, list[Rule]] = {}
     for r in rules:
-        by_keyword.setdefault(r.keyword, []).append(r)
+        by_keyword.setdefault(gate(r.keyword), []).append(r)
     table = F.array(*[
         F.struct(F.lit(k).alias("keyword"), F.array(*[
             F.struct(F.lit(r.rule).alias("rule"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(r.pattern).alias("pattern"))
@@ -189,10 +203,7 @@ def scan(docs: DataFrame, *, text: str = "text", carry: list[str] | None = None,
     # The second word of each phrase but one is in every base match: a cheap gate for all four.
     places = F.concat(*[_places(F.col("__normal"), label, phrase) for label, phrase in BASE])
     gate = F.col("__normal").contains(" license ") | F.col("__normal").contains(" cc ")
-    keywords = sorted({r.keyword for r in rules})
-    # Keywords of several words begin with a word that few texts have.
-    first = sorted({k.split()[0] for k in keywords})
-    any_keyword = F.rlike(F.col("__normal"), F.lit(" (?:" + "|".join(first) + ") "))
+    any_keyword = F.rlike(F.col("__normal"), F.lit(any_gate(rules)))
     scanned = normal.withColumn("__base", F.when(gate, places).otherwise(none)).withColumn(
         "found", F.when(any_keyword, detections(F.col("__normal"), rules)).otherwise(F.array().cast(_FOUND))
     )

@@ -2,6 +2,8 @@
 
 import hashlib
 import re
+from re import _parser
+from re._constants import BRANCH, IN, LITERAL, MAX_REPEAT, SUBPATTERN
 
 import pytest
 
@@ -105,6 +107,41 @@ def test_license_containment(documents):
     assert [(d["start"], d["end"]) for d in found[1]["found"]] == [(0, 6)] and len(found[2]["found"]) == 1
 
 
+def samples(nodes):
+    """Every text that a parsed pattern of literals, classes, groups and optional parts matches."""
+    out = [""]
+    for kind, value in nodes:
+        if kind is LITERAL:
+            parts = [chr(value)]
+        elif kind is IN:
+            parts = [chr(c) for k, v in value for c in ([v] if k is LITERAL else range(v[0], v[1] + 1))]
+        elif kind is SUBPATTERN:
+            parts = samples(value[-1])
+        elif kind is BRANCH:
+            parts = [x for branch in value[1] for x in samples(branch)]
+        else:
+            assert kind is MAX_REPEAT and value[:2] == (0, 1)
+            parts = ["", *samples(value[2])]
+        out = [a + b for a in out for b in parts]
+    return out
+
+
+def test_every_license_match_passes_its_gate():
+    first = re.compile(licenses.any_gate(licenses.RULES))
+    for r in licenses.RULES:
+        for sample in samples(_parser.parse(r.pattern)):
+            assert re.fullmatch(r.pattern, sample) and licenses.gate(r.keyword) in sample and first.search(sample), (r, sample)
+
+
+def test_glued_license_versions(documents):
+    cases = {"GPLv3": "gpl", "gpl3": "gpl", "LGPLv3": "lgpl", "lgpl2": "lgpl", "AGPLv3": "agpl", "agpl3": "agpl", "MPLv2": "mpl", "mpl2": "mpl"}
+    texts = [f"{intro}{name}" for name in cases for intro in ("", "Released under ", "SPDX-License-Identifier: ")]
+    out = by_id(licenses.scan(documents(list(enumerate([*texts, "gplates lgplx mplayer agplus"])))))
+    assert [out[i]["labels"] for i in range(len(texts))] == [x for x in cases.values() for _ in range(3)]
+    assert all(out[i]["score"] == 1 and len(out[i]["found"]) == 1 for i in range(len(texts)))
+    assert out[len(texts)]["labels"] == ""
+
+
 @pytest.fixture
 def calls(spark):
     rows = [
