@@ -1,13 +1,14 @@
 """Benchmark decontamination by templates.
 
 Numbers, names and units become typed placeholders, so a question with other numbers or names keeps its
-template.  Windows of eight template tokens are hash-joined between texts and benchmark items.  Where a run
-of windows matches, the values in its placeholders must correspond one to one: a value of the item has to
-stand for the same value wherever it recurs.  Runs that agree mark the text, with the same values or not.
+template.  Windows of eight template tokens are hash-joined between texts and benchmark items.  Where
+windows match, a value of the item has to stand for the same value wherever it recurs.  Windows that agree
+mark the text, with the same values or not; where one clashes, the runs before and after it are judged alone.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,8 @@ WIDTH = 8
 LEAST_LITERALS = 4
 # Matching windows in one alignment that mark a text: a run of thirteen words.
 LEAST_RUN = 6
+# The same beside a clash, where the text may hold another question: a run of seventeen words.
+CLASHING_RUN = 10
 # Bits of the filter that windows pass before the join: 2 MB whatever the size of the benchmark.
 FILTER_BITS = 24
 # Unit words.
@@ -158,7 +161,7 @@ def decontaminate(
     matched = hits.join(known, "hash").withColumn("shift", F.col("at") - F.col("item_at"))
     runs = _runs(matched)
     marked = scratch.save(
-        runs.filter(F.col("agrees") & (F.col("n") >= LEAST_RUN)).groupBy("__row").agg(
+        runs.groupBy("__row").agg(
             F.sort_array(F.collect_set("item")).alias("items"), F.max("n").alias("n_windows"), F.max("differs").alias("changed"),
         ), "marked",
     )
@@ -173,23 +176,67 @@ def decontaminate(
     )
 
 
+def _stretches(at: list[int], xs: list[list[int]], ys: list[list[int]], least: int) -> tuple[bool, int, bool]:
+    """(whether all windows agree, windows of the longest agreeing run, whether a run of ``least`` differs).
+
+    Windows agree where each value of the item has one counterpart in the text.  A run is of consecutive
+    windows; where the next one clashes, its first windows are given up until the rest agrees.
+    """
+    pairs = [Counter(zip(x, y, strict=True)) for x, y in zip(xs, ys, strict=True)]
+    every = {pair for p in pairs for pair in p}
+    held: dict[int, Counter] = {}
+    start = longest = changes = 0
+    differs = False
+
+    def give_up(k: int) -> int:
+        for (x, y), n in pairs[k].items():
+            held[x][y] -= n
+            if not held[x][y]:
+                del held[x][y]
+        return sum(n for (x, y), n in pairs[k].items() if x != y)
+
+    for end, p in enumerate(pairs):
+        while start < end and at[end] != at[end - 1] + 1:
+            changes -= give_up(start)
+            start += 1
+        for (x, y), n in p.items():
+            held.setdefault(x, Counter())[y] += n
+            changes += n * (x != y)
+        while any(len(held[x]) > 1 for x, _ in p):
+            changes -= give_up(start)
+            start += 1
+            if start > end:
+                break
+        longest = max(longest, end + 1 - start)
+        differs |= end + 1 - start >= least and changes > 0
+    return len({x for x, _ in every}) == len(every), longest, differs
+
+
+def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Alignments that mark, with the length of the longest agreeing run and whether a value differs."""
+    for batch in batches:
+        marks, runs, changed = [], [], []
+        for i, found in enumerate(batch.column("__windows").to_pylist()):
+            at, xs, ys = ([w[k] for w in found] for k in ("item_at", "item_slots", "slots"))
+            agrees, longest, differs = _stretches(at, xs, ys, CLASHING_RUN)
+            if agrees or longest >= CLASHING_RUN:
+                marks.append(i)
+                runs.append(longest)
+                changed.append(any(x != y for x, y in zip(xs, ys, strict=True)) if agrees else differs)
+        rows = pa.array(marks, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("__row").take(rows), batch.column("item").take(rows), pa.array(runs, pa.int64()), pa.array(changed, pa.bool_())],
+            ["__row", "item", "n", "differs"],
+        )
+
+
 def _runs(matched: DataFrame) -> DataFrame:
-    """One row per (row, item, alignment): matched windows, and whether placeholder values correspond.
+    """One row per (row, item, alignment) that marks: its longest agreeing run, and whether a value differs.
 
-    Values correspond where each value of the item has one counterpart in the text and the other way round.
+    An alignment whose windows all agree marks with ``LEAST_RUN`` of them, one with a clash by a run of
+    ``CLASHING_RUN``.
     """
-    keys = ["__row", "item", "shift"]
-    counted = matched.groupBy(*keys).agg(F.countDistinct("item_at").alias("n"))
-    pair = F.explode(F.arrays_zip("item_slots", "slots")).alias("p")
-    pairs = matched.select(*keys, pair).select(*keys, F.col("p.item_slots").alias("x"), F.col("p.slots").alias("y")).distinct()
-
-    def clashes(a: str, b: str) -> DataFrame:
-        return pairs.groupBy(*keys, a).agg(F.count(F.lit(1)).alias("k"), F.max(F.col("x") != F.col("y")).alias("differs"))
-
-    one_way = clashes("x", "y").groupBy(*keys).agg(F.max("k").alias("k1"), F.max("differs").alias("differs"))
-    other_way = clashes("y", "x").groupBy(*keys).agg(F.max("k").alias("k2"))
-    return (
-        counted.join(one_way, keys, "left").join(other_way, keys, "left")
-        .withColumn("agrees", (F.coalesce("k1", F.lit(1)) == 1) & (F.coalesce("k2", F.lit(1)) == 1))
-        .withColumn("differs", F.coalesce("differs", F.lit(False)))
-    )
+    window = F.struct("item_at", "item_slots", "slots")
+    aligned = matched.groupBy("__row", "item", "shift").agg(F.sort_array(F.collect_set(window)).alias("__windows"))
+    enough = aligned.filter(F.size("__windows") >= LEAST_RUN).select("__row", "item", "__windows")
+    return enough.mapInArrow(_judge, f"__row bigint, item {dict(matched.dtypes)['item']}, n bigint, differs boolean")

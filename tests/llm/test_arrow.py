@@ -128,6 +128,34 @@ def test_templates(spark, documents):
     assert not any(r["contaminated"] for r in templates.decontaminate(documents([(1, item)]), bench.limit(0)).collect())
 
 
+def test_templates_judge_runs(spark, documents):
+    head = "A farmer named Alice buys 12 apples and 30 pears at the market while the old clerk counts them"
+    tail = " ".join(prose(40, 40).split()) + " and 12 plums"
+    bench = spark.createDataFrame([(1, head), (2, f"{head} {tail}")], "item_id long, text string")
+    merged = prose(41, 30) + ". " + head.replace("12", "20").replace("30", "20")
+    edited = prose(42, 30) + f". {head} {tail[:-9]} 13 plums"
+    swapped = prose(43, 30) + ". " + f"{head} {tail}".replace("buys 12", "buys 13")
+    out = by_id(templates.decontaminate(documents([(0, merged), (1, edited), (2, swapped)]), bench))
+    assert [out[i]["items"] for i in range(3)] == [[1, 2]] * 3
+    assert out[0]["changed"] and out[1]["n_windows"] > 40
+
+
+def test_stretches_agree_with_brute_force():
+    r = random.Random(5)
+    for _ in range(300):
+        at = sorted(r.sample(range(14), r.randint(1, 12)))
+        xs = [[r.randint(0, 3) for _ in range(r.randint(0, 2))] for _ in at]
+        ys = [[v if r.random() < 0.8 else r.randint(0, 3) for v in x] for x in xs]
+
+        def agree(a, b):
+            pairs = {p for x, y in zip(xs[a:b], ys[a:b]) for p in zip(x, y)}
+            return len({x for x, _ in pairs}) == len(pairs), any(x != y for x, y in pairs)
+
+        runs = [(a, b) for a in range(len(at)) for b in range(a + 1, len(at) + 1) if at[b - 1] - at[a] == b - 1 - a and agree(a, b)[0]]
+        told = (agree(0, len(at))[0], max((b - a for a, b in runs), default=0), any(b - a >= 3 and agree(a, b)[1] for a, b in runs))
+        assert templates._stretches(at, xs, ys, 3) == told
+
+
 def shingles(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
