@@ -1,7 +1,8 @@
 """Benchmark decontamination by templates.
 
 Numbers, names and units become typed placeholders, so a question with other numbers or names keeps its
-template.  Windows of eight template tokens are hash-joined between texts and benchmark items.  Where
+template.  Values of several words are one placeholder, and capitalised words are read in three ways: as words,
+so that copies in other letter case match, as names inside a sentence, and as names anywhere.  Windows of eight template tokens are hash-joined between texts and benchmark items.  Where
 windows match, a value of the item has to stand for the same value wherever it recurs.  Windows that agree
 mark the text, with the same values or not; where one clashes, the runs before and after it are judged alone.
 """
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,68 +37,117 @@ UNITS = (
     "volt volts joule joules newton newtons hz khz mhz ghz byte bytes kb mb gb tb"
 ).split()
 _U = np.uint64
-# Everything in ASCII but letters and digits separates tokens.
-SEPARATORS = np.ones(256, bool)
-SEPARATORS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
+# Kinds of bytes: 0 for everything in ASCII but letters and digits, which separates; 1 letters; 2 digits.
+KINDS = np.zeros(256, np.uint8)
+KINDS[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
+KINDS[0x30:0x3A] = 2
 _STOPS = np.zeros(256, bool)
 _STOPS[list(b".!?:;\n\"")] = True
+_POINTS = np.zeros(256, bool)
+_POINTS[list(b".,")] = True
+_JOINS = np.zeros(256, bool)
+_JOINS[list(b" -'")] = True
 NUMBER, NAME, UNIT = (_U(x) for x in (0xA5A5_0001, 0xA5A5_0002, 0xA5A5_0003))
+# How capitalised words are read: never as names, as names inside a sentence, as names everywhere.
+PLAIN, INSIDE, ANYWHERE = range(3)
+
+
+class Tokens(NamedTuple):
+    literal: np.ndarray   # hash of the words
+    template: np.ndarray  # the same, or a placeholder
+    filled: np.ndarray    # whether it is a placeholder
+    rows: np.ndarray      # first token of each row
 
 
 def _hash_of(words: list[str]) -> np.ndarray:
     data, starts = kernels.column_bytes(pa.array(words))
-    return kernels.word_hashes(data, starts, SEPARATORS)[0]
+    return kernels.word_hashes(data, starts, kinds=KINDS)[0]
+
 
+def _joined(literal: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hashes of runs of words; ``first`` marks the first of each."""
+    heads = np.flatnonzero(first)
+    place = np.arange(len(literal)) - np.repeat(heads, np.diff(np.append(heads, len(literal))))
+    up, _ = kernels.powers(int(place.max()) + 1)
+    return np.add.reduceat(literal * up[place], heads)
 
-def tokens(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(literal hashes, template hashes, first token of each row) of the rows that ``starts`` delimits.
 
-    A number is digits only.  A name is a capitalised word inside a sentence.  A unit is one of ``UNITS``.
+def readings(data: np.ndarray, starts: np.ndarray) -> list[Tokens]:
+    """The tokens of the rows that ``starts`` delimits, in each reading of capitalised words.
+
+    A number is digits, with points or commas between them.  A unit is one of ``UNITS`` after a number, be it
+    glued.  A name is a run of capitalised words; a sentence begins a new one.
     """
-    literal, rows = kernels.word_hashes(data, starts, SEPARATORS)
-    piece = data[starts[0] : starts[-1]]
+    literal, rows = kernels.word_hashes(data, starts, kinds=KINDS)
     if not len(literal):
-        return literal, literal, rows
-    inside = ~SEPARATORS[piece]
-    edge = np.zeros(len(piece), bool)
-    bounds = starts[:-1] - starts[0]
-    edge[bounds[bounds < len(piece)]] = True
-    begin = np.flatnonzero(inside & (~np.concatenate([[False], inside[:-1]]) | edge))
-    end = np.flatnonzero(inside & (~np.concatenate([inside[1:], [False]]) | np.concatenate([edge[1:], [True]]))) + 1
-    digits = np.concatenate([[0], np.cumsum((piece >= 0x30) & (piece <= 0x39))])
-    number = digits[end] - digits[begin] == end - begin
+        none = np.zeros(0, bool)
+        return [Tokens(literal, literal, none, rows)] * 3
+    piece = data[starts[0] : starts[-1]]
+    kind = KINDS[piece]
+    change = np.concatenate([[True], kind[1:] != kind[:-1]])
+    bounds = starts - starts[0]
+    change[bounds[bounds < len(piece)]] = True
+    begin = np.flatnonzero(change & (kind > 0))
+    end = np.flatnonzero((kind > 0) & np.concatenate([change[1:], [True]])) + 1
+    row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+
+    def after(flags: np.ndarray) -> np.ndarray:
+        """Whether the word before has the flag."""
+        return np.concatenate([[False], flags[:-1]])
+
+    def before(flags: np.ndarray) -> np.ndarray:
+        return np.concatenate([flags[1:], [False]])
+
+    same = np.concatenate([[False], row[1:] == row[:-1]])
+    gap = np.concatenate([[0], begin[1:] - end[:-1]])
+    digits = kind[begin] == 2
+    glued = same & (gap == 0)
+    opens, closes = ~glued, ~before(glued)
+    unit = glued & after(digits & opens) & closes & np.isin(literal, _hash_of(UNITS))
+    number = digits & opens & (closes | before(unit))
+    point = same & (gap == 1) & _POINTS[piece[begin - 1]] & after(number & closes) & number
+    first = ~((glued & ~unit) | point)
+
+    # From here on by token; only names may join some.
+    heads = np.flatnonzero(first)
+    last = np.append(heads[1:], len(literal)) - 1
+    literal, row, number, same, gap = _joined(literal, first), row[heads], number[heads], same[heads], gap[heads]
+    start, previous = begin[heads], np.concatenate([[0], end[last[:-1]]])
+    unit = same & after(number) & np.isin(literal, _hash_of(UNITS))
     # A capital is A-Z or one of the Latin capitals that UTF-8 puts after byte C3.
-    second = piece[np.minimum(begin + 1, len(piece) - 1)]
-    head = piece[begin]
+    head, second = piece[start], piece[np.minimum(start + 1, len(piece) - 1)]
     capital = ((head >= 0x41) & (head <= 0x5A)) | ((head == 0xC3) & (second >= 0x80) & (second <= 0x9E))
     stops = np.concatenate([[0], np.cumsum(_STOPS[piece])])
-    previous = np.concatenate([[0], end[:-1]])
-    first = np.zeros(len(begin), bool)
-    first[rows[:-1][rows[:-1] < len(begin)]] = True
-    name = capital & ~first & (stops[begin] == stops[previous])
-    unit = np.isin(literal, _hash_of(UNITS)) & np.concatenate([[False], number[:-1]])
-    template = np.where(number, NUMBER, np.where(name, NAME, np.where(unit, UNIT, literal)))
-    return literal, template, rows
-
-
-def windows(literal: np.ndarray, template: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    initial = ~same | (stops[start] != stops[previous])
+    linked = ~initial & (gap == 1) & _JOINS[piece[start - 1]]
+    told = []
+    for name in (np.zeros(len(capital), bool), capital & ~initial, capital):
+        first = ~(linked & name & after(name))
+        filled = number | name | unit
+        template = np.where(number, NUMBER, np.where(name, NAME, np.where(unit, UNIT, literal)))
+        own = np.searchsorted(row[first], np.arange(len(rows)))
+        told.append(Tokens(_joined(literal, first), template[first], filled[first], own))
+    return told
+
+
+def windows(read: Tokens, reading: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, first token, row) of all windows with enough literal words."""
-    n = len(template) - WIDTH + 1
+    n = len(read.template) - WIDTH + 1
     if n <= 0:
         return np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
-    own = np.concatenate([[0], np.cumsum(literal == template)])
+    row = np.repeat(np.arange(len(read.rows) - 1), np.diff(read.rows))
+    own = np.concatenate([[0], np.cumsum(~read.filled)])
     begin = np.flatnonzero((row[:n] == row[WIDTH - 1 :]) & (own[WIDTH:] - own[:-WIDTH] >= LEAST_LITERALS))
-    total = np.zeros(len(begin), _U)
+    total = np.full(len(begin), reading, _U)
     for k in range(WIDTH):
-        total = total * _U(kernels.BASE) + template[begin + k]
+        total = total * _U(kernels.BASE) + read.template[begin + k]
     return kernels.mix(total), begin, row[begin]
 
 
-def _slots(literal: np.ndarray, template: np.ndarray, begin: np.ndarray) -> list[list[int]]:
+def _slots(read: Tokens, begin: np.ndarray) -> list[list[int]]:
     """The values in the placeholders of each window, as the hashes of their words."""
     span = begin[:, None] + np.arange(WIDTH)[None, :]
-    values, filled = literal[span].view(np.int64), (literal != template)[span]
+    values, filled = read.literal[span].view(np.int64), read.filled[span]
     return [v[f].tolist() for v, f in zip(values, filled, strict=True)]
 
 
@@ -109,23 +160,23 @@ def _emit(passes):
             hits: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             data, starts = kernels.column_bytes(batch.column("__text"))
             for a, b in kernels.stretches(starts):
-                literal, template, rows = tokens(data, starts[a : b + 1])
-                hashes, begin, row = windows(literal, template, rows)
-                if allowed is not None:
-                    bit = hashes >> _U(64 - FILTER_BITS)
-                    passed = (allowed[(bit >> _U(3)).astype(np.int64)] >> (bit & _U(7)).astype(np.uint8)) & 1
-                    hashes, begin, row = (x[passed > 0] for x in (hashes, begin, row))
-                slots = _slots(literal, template, begin)
-                for h, at, r, s in zip(hashes.view(np.int64).tolist(), (begin - rows[row]).tolist(), row.tolist(), slots, strict=True):
-                    hits[a + r].append({"hash": h, "at": at, "slots": s})
-            kind = pa.list_(pa.struct([("hash", pa.int64()), ("at", pa.int64()), ("slots", pa.list_(pa.int64()))]))
+                for reading, read in enumerate(readings(data, starts[a : b + 1])):
+                    hashes, begin, row = windows(read, reading)
+                    if allowed is not None:
+                        bit = hashes >> _U(64 - FILTER_BITS)
+                        passed = (allowed[(bit >> _U(3)).astype(np.int64)] >> (bit & _U(7)).astype(np.uint8)) & 1
+                        hashes, begin, row = (x[passed > 0] for x in (hashes, begin, row))
+                    slots = _slots(read, begin)
+                    for h, at, r, s in zip(hashes.view(np.int64).tolist(), (begin - read.rows[row]).tolist(), row.tolist(), slots, strict=True):
+                        hits[a + r].append({"hash": h, "reading": reading, "at": at, "slots": s})
+            kind = pa.list_(pa.struct([("hash", pa.int64()), ("reading", pa.int32()), ("at", pa.int64()), ("slots", pa.list_(pa.int64()))]))
             rest = [c for c in batch.schema.names if c != "__text"]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(hits, kind)], [*rest, "__hits"])
 
     return run
 
 
-_HITS = "__hits array<struct<hash:bigint,at:bigint,slots:array<bigint>>>"
+_HITS = "__hits array<struct<hash:bigint,reading:int,at:bigint,slots:array<bigint>>>"
 
 
 def _schema(df: DataFrame) -> str:
@@ -150,7 +201,7 @@ def decontaminate(
     carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in outputs]
     asked = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("__text"))
     known = asked.mapInArrow(_emit(None), f"{_schema(asked)}, {_HITS}").select("item", F.explode("__hits").alias("h"))
-    known = scratch.save(known.select("item", "h.hash", F.col("h.at").alias("item_at"), F.col("h.slots").alias("item_slots")).distinct(), "items")
+    known = scratch.save(known.select("item", "h.hash", "h.reading", F.col("h.at").alias("item_at"), F.col("h.slots").alias("item_slots")).distinct(), "items")
     passes = spark.sparkContext.broadcast(hash_filter(known, "hash", FILTER_BITS))
     narrow = without(docs, *outputs).select(*[f"`{c}`" for c in carry], F.col(text).alias("__text"))
     found = narrow.mapInArrow(_emit(passes), f"{_schema(narrow)}, {_HITS}" if carry else _HITS)
@@ -231,12 +282,12 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _runs(matched: DataFrame) -> DataFrame:
-    """One row per (row, item, alignment) that marks: its longest agreeing run, and whether a value differs.
+    """One row per (row, item, reading, alignment) that marks: its longest agreeing run, and whether a value differs.
 
     An alignment whose windows all agree marks with ``LEAST_RUN`` of them, one with a clash by a run of
     ``CLASHING_RUN``.
     """
     window = F.struct("item_at", "item_slots", "slots")
-    aligned = matched.groupBy("__row", "item", "shift").agg(F.sort_array(F.collect_set(window)).alias("__windows"))
+    aligned = matched.groupBy("__row", "item", "reading", "shift").agg(F.sort_array(F.collect_set(window)).alias("__windows"))
     enough = aligned.filter(F.size("__windows") >= LEAST_RUN).select("__row", "item", "__windows")
     return enough.mapInArrow(_judge, f"__row bigint, item {dict(matched.dtypes)['item']}, n bigint, differs boolean")

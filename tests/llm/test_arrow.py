@@ -140,6 +140,41 @@ def test_templates_judge_runs(spark, documents):
     assert out[0]["changed"] and out[1]["n_windows"] > 40
 
 
+ITEM = (
+    "Tom has 3.5 liters of milk. Tom gives 1,250 marbles to Ann Lee. Tom keeps 5kg of dry rice. "
+    "Tom then walks 7 miles home with his dog."
+)
+
+
+@pytest.mark.parametrize("text", [
+    ITEM,
+    ITEM.lower(),
+    ITEM.upper(),
+    ITEM.replace("Tom", "Eva"),
+    ITEM.replace("Tom", "Mary Ann Smith").replace("Ann Lee", "Bob"),
+    ITEM.replace("3.5", "4").replace("1,250", "980").replace("5kg", "12.5 kg").replace("7 miles", "2 miles"),
+])
+def test_templates_read_names_and_values(spark, documents, text):
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    rows = [(0, f"{prose(50, 20)}. {text} {prose(51, 20)}"), (1, f"{prose(50, 20)} {prose(51, 60)}")]
+    out = by_id(templates.decontaminate(documents(rows), bench))
+    assert out[0]["items"] == [1] and not out[1]["contaminated"]
+    assert out[0]["changed"] == (text.lower() != ITEM.lower())
+
+
+def test_readings():
+    def kinds(*texts):
+        rows = [t.encode() for t in texts]
+        starts = np.cumsum([0, *map(len, rows)])
+        marks = {int(templates.NUMBER): "#", int(templates.NAME): "N", int(templates.UNIT): "u"}
+        read = templates.readings(np.frombuffer(b"".join(rows), np.uint8), starts)
+        return [["".join(marks.get(int(t), "w") for t in r.template[a:b]) for a, b in zip(r.rows, r.rows[1:])] for r in read]
+
+    assert kinds("1,250 and 3.5kg, 5 kg", "", "7", "x86 3rd 5kgs a1b2") == [["#w#u#u", "", "#", "wwww"]] * 3
+    assert kinds("Mary Ann Lee met O'Neil, Bob. Then Al-Amin Ö went") == [["w" * 12], ["wNwNNwNw"], ["NwNNNw"]]
+    assert kinds("", " .", "") == [["", "", ""]] * 3
+
+
 def test_stretches_agree_with_brute_force():
     r = random.Random(5)
     for _ in range(300):
