@@ -50,6 +50,8 @@ _JOINS[list(b" -'")] = True
 NUMBER, NAME, UNIT = (_U(x) for x in (0xA5A5_0001, 0xA5A5_0002, 0xA5A5_0003))
 # How capitalised words are read: never as names, as names inside a sentence, as names everywhere.
 PLAIN, INSIDE, ANYWHERE = range(3)
+# No reading but whole items; the number of words in a run is added.
+WHOLE = 3
 
 
 class Tokens(NamedTuple):
@@ -59,9 +61,9 @@ class Tokens(NamedTuple):
     rows: np.ndarray      # first token of each row
 
 
-def _hash_of(words: list[str]) -> np.ndarray:
-    data, starts = kernels.column_bytes(pa.array(words))
-    return kernels.word_hashes(data, starts, kinds=KINDS)[0]
+def _hash_of(texts: list[str]) -> np.ndarray:
+    data, starts = kernels.column_bytes(pa.array(texts))
+    return words(data, starts)[0]
 
 
 def _joined(literal: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -72,13 +74,18 @@ def _joined(literal: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.add.reduceat(literal * up[place], heads)
 
 
+def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, numbers being words of their own, and each row's first."""
+    return kernels.word_hashes(data, starts, kinds=KINDS)
+
+
 def readings(data: np.ndarray, starts: np.ndarray) -> list[Tokens]:
     """The tokens of the rows that ``starts`` delimits, in each reading of capitalised words.
 
     A number is digits, with points or commas between them.  A unit is one of ``UNITS`` after a number, be it
     glued.  A name is a run of capitalised words; a sentence begins a new one.
     """
-    literal, rows = kernels.word_hashes(data, starts, kinds=KINDS)
+    literal, rows = words(data, starts)
     if not len(literal):
         none = np.zeros(0, bool)
         return [Tokens(literal, literal, none, rows)] * 3
@@ -151,32 +158,95 @@ def _slots(read: Tokens, begin: np.ndarray) -> list[list[int]]:
     return [v[f].tolist() for v, f in zip(values, filled, strict=True)]
 
 
-def _emit(passes):
-    """Windows of every row that pass the filter, as a list column beside the row's own columns."""
+def wholes(literal: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first word, row) of all runs of ``width`` words, a power of two."""
+    n = len(literal) - width + 1
+    if n <= 0:
+        return np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    up, _ = kernels.powers(width + 1)
+    total, half = literal, 1
+    while half < width:
+        total, half = total[:-half] + total[half:] * up[half], half * 2
+    row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+    begin = np.flatnonzero(row[:n] == row[width - 1 :])
+    return kernels.mix(total[begin] + _U(WHOLE + width)), begin, row[begin]
+
+
+def _hits(hashes: np.ndarray, at: np.ndarray, reading: int, slots: list[list[int]]) -> list[dict]:
+    return [
+        {"hash": h, "reading": reading, "at": a, "slots": s}
+        for h, a, s in zip(hashes.view(np.int64).tolist(), at.tolist(), slots, strict=True)
+    ]
+
+
+def _with_hits(batch: pa.RecordBatch, hits: list[list[dict]], kind: pa.DataType) -> pa.RecordBatch:
+    rest = [c for c in batch.schema.names if c != "__text"]
+    return pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(hits, kind)], [*rest, "__hits"])
+
+
+def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What has to match of every item: its windows, or where they say too little, the whole item.
+
+    ``need`` is how many: ``LEAST_RUN``, or all of an item that is too short for that.  A whole item is given
+    by the two runs of words, as long as the largest power of two within it, that begin and end it.
+    """
+    for batch in batches:
+        hits: list[list[dict]] = []
+        data, starts = kernels.column_bytes(batch.column("__text"))
+        for i in range(batch.num_rows):
+            hits.append([])
+            for reading, read in enumerate(readings(data, starts[i : i + 2])):
+                hashes, begin, _ = windows(read, reading)
+                n = len(begin)
+                if n >= LEAST_RUN or (n and len(read.literal) < WIDTH + LEAST_RUN - 1):
+                    found = _hits(hashes, begin, reading, _slots(read, begin))
+                    hits[-1] += [h | {"need": min(n, LEAST_RUN), "nth": k} for k, h in enumerate(found)]
+                elif reading == PLAIN and len(read.literal):
+                    literal, rows = words(data, starts[i : i + 2])
+                    width = 1 << (len(literal).bit_length() - 1)
+                    hashes, begin, _ = wholes(literal, rows, width)
+                    ends = sorted({0, len(literal) - width})
+                    found = _hits(hashes[ends], begin[ends], WHOLE + width, [[]] * len(ends))
+                    hits[-1] += [h | {"need": len(ends), "nth": k} for k, h in enumerate(found)]
+        yield _with_hits(batch, hits, pa.list_(pa.struct([*_HIT, ("need", pa.int32()), ("nth", pa.int32())])))
+
+
+def _emit(passes, widths: list[int]):
+    """Windows, and runs of ``widths`` words, of every row that pass the filter, beside the row's own columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        allowed = np.frombuffer(passes.value, np.uint8) if passes is not None else None
+        allowed = np.frombuffer(passes.value, np.uint8)
+
+        def passing(hashes: np.ndarray, begin: np.ndarray, row: np.ndarray) -> list[np.ndarray]:
+            bit = hashes >> _U(64 - FILTER_BITS)
+            passed = (allowed[(bit >> _U(3)).astype(np.int64)] >> (bit & _U(7)).astype(np.uint8)) & 1
+            return [x[passed > 0] for x in (hashes, begin, row)]
+
         for batch in batches:
             hits: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             data, starts = kernels.column_bytes(batch.column("__text"))
             for a, b in kernels.stretches(starts):
-                for reading, read in enumerate(readings(data, starts[a : b + 1])):
-                    hashes, begin, row = windows(read, reading)
-                    if allowed is not None:
-                        bit = hashes >> _U(64 - FILTER_BITS)
-                        passed = (allowed[(bit >> _U(3)).astype(np.int64)] >> (bit & _U(7)).astype(np.uint8)) & 1
-                        hashes, begin, row = (x[passed > 0] for x in (hashes, begin, row))
-                    slots = _slots(read, begin)
-                    for h, at, r, s in zip(hashes.view(np.int64).tolist(), (begin - read.rows[row]).tolist(), row.tolist(), slots, strict=True):
-                        hits[a + r].append({"hash": h, "reading": reading, "at": at, "slots": s})
-            kind = pa.list_(pa.struct([("hash", pa.int64()), ("reading", pa.int32()), ("at", pa.int64()), ("slots", pa.list_(pa.int64()))]))
-            rest = [c for c in batch.schema.names if c != "__text"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(hits, kind)], [*rest, "__hits"])
+                bounds = starts[a : b + 1]
+                for reading, read in enumerate(readings(data, bounds)):
+                    hashes, begin, row = passing(*windows(read, reading))
+                    found = _hits(hashes, begin - read.rows[row], reading, _slots(read, begin))
+                    for r, h in zip(row.tolist(), found, strict=True):
+                        hits[a + r].append(h)
+                if widths:
+                    literal, rows = words(data, bounds)
+                for width in widths:
+                    hashes, begin, row = passing(*wholes(literal, rows, width))
+                    found = _hits(hashes, begin - rows[row], WHOLE + width, [[]] * len(row))
+                    for r, h in zip(row.tolist(), found, strict=True):
+                        hits[a + r].append(h)
+            yield _with_hits(batch, hits, pa.list_(pa.struct(_HIT)))
 
     return run
 
 
+_HIT = [("hash", pa.int64()), ("reading", pa.int32()), ("at", pa.int64()), ("slots", pa.list_(pa.int64()))]
 _HITS = "__hits array<struct<hash:bigint,reading:int,at:bigint,slots:array<bigint>>>"
+_ASKED = "__hits array<struct<hash:bigint,reading:int,at:bigint,slots:array<bigint>,need:int,nth:int>>"
 
 
 def _schema(df: DataFrame) -> str:
@@ -192,19 +262,25 @@ def decontaminate(
     ``items`` lists the benchmark items that mark the row, ``n_windows`` is the length of its longest run of
     windows and ``changed`` tells whether some run differs from its item in a placeholder.  Null and empty
     texts match nothing; repeated rows are judged alike, each in its row; with an empty benchmark nothing is
-    marked; items of fewer than 13 tokens say too little and mark nothing.  Input columns named like an
+    marked.  Of an item of fewer than 13 tokens all windows have to match; one without enough windows marks
+    the texts that hold all its words in order, even if it is a single word.  Input columns named like an
     output are replaced.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
     outputs = ["items", "n_windows", "changed", "contaminated"]
     carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in outputs]
-    asked = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("__text"))
-    known = asked.mapInArrow(_emit(None), f"{_schema(asked)}, {_HITS}").select("item", F.explode("__hits").alias("h"))
-    known = scratch.save(known.select("item", "h.hash", "h.reading", F.col("h.at").alias("item_at"), F.col("h.slots").alias("item_slots")).distinct(), "items")
+    asked = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("__text")).distinct()
+    known = asked.mapInArrow(_ask, f"{_schema(asked)}, {_ASKED}").filter(F.size("__hits") > 0)
+    # Numbers are written with the items; two texts of one item are two questions.
+    known = scratch.save(known.withColumn("__item", F.monotonically_increasing_id()), "items")
+    known = known.select("item", "__item", F.explode("__hits").alias("h")).select(
+        "item", "__item", "h.hash", "h.reading", "h.need", "h.nth", F.col("h.at").alias("item_at"), F.col("h.slots").alias("item_slots"),
+    )
     passes = spark.sparkContext.broadcast(hash_filter(known, "hash", FILTER_BITS))
+    widths = sorted(r[0] - WHOLE for r in known.filter(F.col("reading") >= WHOLE).select("reading").distinct().collect())
     narrow = without(docs, *outputs).select(*[f"`{c}`" for c in carry], F.col(text).alias("__text"))
-    found = narrow.mapInArrow(_emit(passes), f"{_schema(narrow)}, {_HITS}" if carry else _HITS)
+    found = narrow.mapInArrow(_emit(passes, widths), f"{_schema(narrow)}, {_HITS}" if carry else _HITS)
     # The row number is written with the rows, so it stays the same whatever is computed again.
     found = scratch.save(found.withColumn("__row", F.monotonically_increasing_id()), "windows")
     hits = found.filter(F.size("__hits") > 0).select("__row", F.explode("__hits").alias("h"))
@@ -268,7 +344,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         marks, runs, changed = [], [], []
         for i, found in enumerate(batch.column("__windows").to_pylist()):
-            at, xs, ys = ([w[k] for w in found] for k in ("item_at", "item_slots", "slots"))
+            at, xs, ys = ([w[k] for w in found] for k in ("nth", "item_slots", "slots"))
             agrees, longest, differs = _stretches(at, xs, ys, CLASHING_RUN)
             if agrees or longest >= CLASHING_RUN:
                 marks.append(i)
@@ -284,10 +360,12 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _runs(matched: DataFrame) -> DataFrame:
     """One row per (row, item, reading, alignment) that marks: its longest agreeing run, and whether a value differs.
 
-    An alignment whose windows all agree marks with ``LEAST_RUN`` of them, one with a clash by a run of
-    ``CLASHING_RUN``.
+    An alignment whose windows all agree marks with as many as the item needs, one with a clash by a run
+    of ``CLASHING_RUN``.
     """
-    window = F.struct("item_at", "item_slots", "slots")
-    aligned = matched.groupBy("__row", "item", "reading", "shift").agg(F.sort_array(F.collect_set(window)).alias("__windows"))
-    enough = aligned.filter(F.size("__windows") >= LEAST_RUN).select("__row", "item", "__windows")
+    window = F.struct("nth", "item_slots", "slots")
+    aligned = matched.groupBy("__row", "item", "__item", "reading", "shift", "need").agg(
+        F.sort_array(F.collect_set(window)).alias("__windows")
+    )
+    enough = aligned.filter(F.size("__windows") >= F.col("need")).select("__row", "item", "__windows")
     return enough.mapInArrow(_judge, f"__row bigint, item {dict(matched.dtypes)['item']}, n bigint, differs boolean")

@@ -175,6 +175,32 @@ def test_readings():
     assert kinds("", " .", "") == [["", "", ""]] * 3
 
 
+def test_templates_find_short_items(spark, documents):
+    items = [
+        "Paris", "What is 2 + 2?", "Name the largest of these: 3, 7, 9", "Which planet near the sun has 2 small moons today",
+        "Compute the sum " + " + ".join(str(k) for k in range(40)) + " quickly", "Kepler found that each planet moves in an ellipse about our sun",
+        "?!", "", None,
+    ]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"so {t[0].lower()}{t[1:]} {prose(i, 20)}" for i, t in enumerate(items[:6])]
+    texts += [items[3].replace("2", "5"), "what is 2 + 3", "what was 2 + 2", items[4].replace("39", "38"), items[5][:-4], "in " + items[5], ""]
+    out = by_id(templates.decontaminate(documents(list(enumerate(texts))), bench))
+    assert [out[i]["items"] for i in range(13)] == [[0], [1], [2], [3], [4], [5], [3], [], [], [], [], [5], []]
+    assert out[6]["changed"] and not out[3]["changed"]
+
+
+def test_whole_runs():
+    r = random.Random(6)
+    rows = [[r.choice(["a", "b", "7"]) for _ in range(n)] for n in (0, 1, 5, 9, 0, 30)]
+    texts = [" ".join(x).encode() for x in rows]
+    literal, first = templates.words(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+    for width in (1, 2, 4, 8):
+        hashes, begin, row = templates.wholes(literal, first, width)
+        told = [tuple(rows[i][b - first[i] :][:width]) for b, i in zip(begin, row)]
+        assert told == [tuple(x[k : k + width]) for x in rows for k in range(len(x) - width + 1)]
+        assert len(set(zip(told, hashes.tolist()))) == len(set(told)) == len(set(hashes.tolist()))
+
+
 def test_stretches_agree_with_brute_force():
     r = random.Random(5)
     for _ in range(300):
