@@ -191,3 +191,78 @@ SELECT u.conv_id, coalesce(u.call_id, r.call_id) AS call_id, u.parent_id, l.leve
     || coalesce(problems, 'null') || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || ',"tool":'
     || coalesce('"' || tool || '"', 'null') || '}' AS json
 FROM u FULL JOIN r ON u.call_id = r.call_id LEFT JOIN l ON l.call_id = u.call_id"""
+
+ORACLE["op12_hard_negatives"] = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+      FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b)::INT AS rank,
+  s.b AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score QUALIFY rank <= 5"""
+
+ORACLE["op13_cover_dedup"] = rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+win AS (SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS k FROM (
+        SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM d)),
+later AS (SELECT doc_id, i FROM win QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+placed AS (SELECT doc_id, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS i FROM d),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS txt, count(*) AS n FROM placed ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(txt, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+def _turns() -> str:
+    """Least edits row by row, forwards: every state keeps its cheapest audit, the ASCII-least of them."""
+    steps = "(0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)"
+    # Up to two rows inserted before a row: the state they start from and lead to, letters, cost and lines.
+    inserts = "(0, 0, '', 0, []), (1, 1, '', 0, []), (2, 2, '', 0, []), (3, 3, '', 0, []), " + ", ".join(
+        f"({q}, {to}, 'I', 5, ['{line}']), ({q}, {then}, 'II', 10, ['{line}', '{more}'])"
+        for q, to, line, then, more in [
+            (0, 2, "user:", 3, "assistant:"), (1, 2, "user:", 3, "assistant:"), (2, 3, "assistant:", 2, "user:"), (3, 2, "user:", 3, "assistant:"),
+        ]
+    )
+    return rf"""
+WITH RECURSIVE tab AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b:
+        CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) x(i))),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+f AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(key, ''), lambda ch: ascii(ch)::BIGINT)),
+        lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 20 AS fault FROM k, tab),
+m AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+        CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy FROM f WHERE fault <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM m),
+g AS (SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS is_blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+        NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut, left(role, 1) AS x,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) NOT IN ('su', 'ua', 'au') AS odd FROM o),
+rows AS (SELECT conv_id, i, role, text, x, is_blank OR again AS forced, CASE WHEN cut THEN 5 ELSE 0 END AS late FROM g),
+keeps(q, x, nxt) AS (VALUES {steps}), ins(q, mid, letters, cost, lines) AS (VALUES {inserts}),
+dp AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS q, 0 AS cost, '' AS audit, []::VARCHAR[] AS lines FROM o
+  UNION ALL
+  SELECT conv_id, i, q, cost, audit, lines FROM (
+    SELECT p.conv_id, r.i, e.q, p.cost + ins.cost + e.cost AS cost, p.audit || ins.letters || e.letter AS audit, p.lines || ins.lines || e.line AS lines
+    FROM dp p JOIN rows r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i + 1 JOIN ins ON ins.q = p.q,
+    LATERAL (SELECT ins.mid AS q, 2 AS cost, 'D' AS letter, []::VARCHAR[] AS line
+      UNION ALL SELECT keeps.nxt, r.late, 'K', [r.role || ':' || r.text] FROM keeps WHERE NOT r.forced AND keeps.q = ins.mid AND keeps.x = r.x
+      UNION ALL SELECT CASE WHEN ins.mid = 2 THEN 3 ELSE 2 END, r.late + 1, 'R', [CASE WHEN ins.mid = 2 THEN 'assistant:' ELSE 'user:' END || r.text]
+        WHERE NOT r.forced) e)
+  QUALIFY row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) = 1),
+ends AS (SELECT p.conv_id, p.cost + ins.cost AS cost, p.audit || ins.letters AS audit, array_to_string(p.lines || ins.lines, chr(10)) AS txt
+  FROM dp p JOIN (SELECT conv_id, max(i) AS n FROM o GROUP BY conv_id) z ON z.conv_id IS NOT DISTINCT FROM p.conv_id AND z.n = p.i
+  JOIN ins ON ins.q = p.q WHERE ins.mid IN (0, 3) QUALIFY row_number() OVER (PARTITION BY p.conv_id ORDER BY p.cost + ins.cost, p.audit || ins.letters) = 1),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (is_blank) AS blank,
+        count(*) FILTER (NOT is_blank AND again) AS duplicate, count(*) FILTER (NOT is_blank AND NOT again AND cut) AS truncated,
+        count(*) FILTER (odd) AS illegal FROM g GROUP BY conv_id)
+SELECT v.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(txt, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) v LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM v.conv_id
+LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM v.conv_id"""
+
+
+ORACLE["op11_turn_repair"] = _turns()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grammar_store, importance, licenses, mixing, odd_sketch, quality_rules, secret_index, suffix_dedup, templates, tool_calls
+from . import cover_dedup, gnat, grammar_store, importance, licenses, mixing, odd_sketch, quality_rules, secret_index, suffix_dedup, templates, tool_calls, turn_repair
 from .oracles import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,18 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_documents(spark, sf_dir), carry=["doc_id"]).drop("found")
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.audit(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gnat.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_dedup.remove_repeats(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_tool_calls": op1_tool_calls,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -77,6 +89,9 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_licenses": op10_licenses,
+    "op11_turn_repair": op11_turn_repair,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_cover_dedup": op13_cover_dedup,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
