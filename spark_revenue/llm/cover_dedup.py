@@ -4,10 +4,10 @@ Places of a text count as anchors where they fall, modulo 13, into a difference
 there is a shift below 13 that brings both into it.  So two equal windows of 20 words share an anchor of
 8 words at the same distance from their starts, though only 4 of 13 places are hashed.
 
-A match extends from its anchor over the context, the words that windows with this anchor can reach.  Equal
-contexts form a class: of its members all but the earliest repeat earlier words throughout.  Only the
-earliest of each class is compared with other classes of the anchor, window by window, and these meet by
-their hash.  So no pairs are listed, and a passage with a million copies costs one row for each.
+An anchor that occurs once has no match.  From the others a match may extend by 12 words to either side: the
+windows of 20 words in that reach, and no others, are compared by their hash, and all but the earliest of
+equal ones cover words to remove.  No pairs are listed, so a passage with a million copies costs a row for
+each of its words.
 """
 
 from __future__ import annotations
@@ -21,15 +21,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import kernels
-from .shared import Scratch, hash_filter
+from .shared import Scratch
 
 WINDOW = 20
 # A perfect difference set, every residue is a difference of two of its members.
 PERIOD = 13
 COVER = (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
-# The filter has 16 bits or more for each hash it lets through, up to 16 MB; fuller filters let more through.
-MOST_FILTER_BITS = 27
+# Filters have 16 bits or more for each hash that they let through, 128 MB at most; fuller ones let more through.
+MOST_FILTER_BITS = 30
+# Anchors are counted by this many leading bits of their hash, which is more than any filter looks at.
+COUNTED_BITS = 40
+_PIECE_BITS = 15
 _U = np.uint64
 
 
@@ -51,169 +54,155 @@ def _words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Anchors:
-    """Anchors of some rows: hash ``h``, context hash ``c``, ``row``, word ``place``, context ``lo`` to ``hi``."""
+    """Anchors of some rows: their hashes ``h``, and the word places from which windows over them start."""
 
     def __init__(self, hashes: np.ndarray, rows: np.ndarray):
         counts = np.diff(rows)
-        owner = np.repeat(np.arange(len(counts)), counts)
-        place = np.arange(len(hashes)) - np.repeat(rows[:-1], counts)
+        self._first = rows[:-1]
+        self._owner = np.repeat(np.arange(len(counts)), counts)
+        place = np.arange(len(hashes)) - self._first[self._owner]
+        room = counts[self._owner]
         cover = np.zeros(PERIOD, bool)
         cover[list(COVER)] = True
-        at = np.flatnonzero(cover[place % PERIOD] & (place + ANCHOR <= counts[owner]) & (counts[owner] >= WINDOW))
-        self.row, self.place = owner[at], place[at]
-        self.lo = np.maximum(self.place - PERIOD + 1, 0)
-        self.hi = np.minimum(self.place + WINDOW, counts[self.row])
-        self._first = rows[:-1][self.row]
+        at = np.flatnonzero(cover[place % PERIOD] & (place + ANCHOR <= room) & (room >= WINDOW))
         self._sums = kernels.prefix(hashes)
         _, self._down = kernels.powers(len(hashes) + 1)
-        self.h = kernels.mix(self._run(at, ANCHOR))
-        size = self.hi - self.lo
-        length = size.astype(_U) * _U(kernels.BASE) + (self.place - self.lo).astype(_U)
-        self.c = kernels.mix(self._run(self._first + self.lo, size) + kernels.mix(length))
+        self.h = self._run(at, ANCHOR)
+        # Windows over an anchor start up to 12 words before it, and end within the row.
+        self._low = at - np.minimum(place[at], PERIOD - 1)
+        self._high = np.minimum(at, at - place[at] + room[at] - WINDOW)
 
-    def _run(self, start: np.ndarray, size: np.ndarray | int) -> np.ndarray:
-        return (self._sums[start + size] - self._sums[start]) * self._down[start]
+    def _run(self, start: np.ndarray, size: int) -> np.ndarray:
+        return kernels.mix((self._sums[start + size] - self._sums[start]) * self._down[start])
 
-    def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all windows of some anchors' contexts, one after another, and their offsets."""
-        n = (self.hi - self.lo)[which] - WINDOW + 1
-        offsets = np.concatenate([[0], np.cumsum(n)])
-        start = np.arange(offsets[-1]) + np.repeat((self._first + self.lo)[which] - offsets[:-1], n)
-        return kernels.mix(self._run(start, WINDOW)), offsets
+    def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, row and first word of each window over one of the given anchors."""
+        marks = np.zeros(len(self._owner) + 2, np.int32)
+        np.add.at(marks, self._low[which], 1)
+        np.add.at(marks, self._high[which] + 1, -1)
+        start = np.flatnonzero(np.cumsum(marks) > 0)
+        row = self._owner[start]
+        return self._run(start, WINDOW), row, start - self._first[row]
 
 
-def _found(column: pa.Array) -> Iterator[tuple[int, Anchors]]:
-    data, starts = kernels.column_bytes(column)
-    for a, b in kernels.stretches(starts):
-        yield a, Anchors(*_words(data, starts[a : b + 1]))
+class Filter:
+    """A broadcast bitmap over the leading bits of 64-bit hashes; its size follows their number.
 
+    It lets every hash of the column through and some others.  What is let through in vain costs time only.
+    """
 
-def _passing(hashes: np.ndarray, bits: int, allowed: np.ndarray) -> np.ndarray:
-    bit = hashes >> _U(64 - bits)
-    return np.flatnonzero((allowed[(bit >> _U(3)).astype(np.int64)] >> (bit & _U(7)).astype(np.uint8)) & 1)
+    def __init__(self, hashes: DataFrame, column: str):
+        spark = hashes.sparkSession
+        self.bits = min(MOST_FILTER_BITS, max(16, (16 * hashes.count()).bit_length()))
+        bit = F.shiftrightunsigned(column, 64 - self.bits)
+        pieces = hashes.groupBy(F.shiftright(bit, _PIECE_BITS).alias("piece")).agg(
+            F.bitmap_construct_agg(bit.bitwiseAND((1 << _PIECE_BITS) - 1)).alias("bits")
+        )
+        marks = bytearray(1 << (self.bits - 3))
+        size = 1 << (_PIECE_BITS - 3)
+        for piece, found in pieces.toLocalIterator():
+            marks[piece * size : (piece + 1) * size] = found
+        self.marks = spark.sparkContext.broadcast(bytes(marks))
 
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        bit = hashes >> _U(64 - self.bits)
+        marks = np.frombuffer(self.marks.value, np.uint8)
+        return ((marks[(bit >> _U(3)).astype(np.int64)] >> (bit & _U(7)).astype(np.uint8)) & 1).astype(bool)
 
-def _longs(values: np.ndarray) -> pa.Array:
-    return pa.array(values.view(np.int64))
+    def rows(self, batch: pa.RecordBatch, column: str) -> pa.RecordBatch:
+        return batch.filter(pa.array(self(batch.column(column).to_numpy().view(np.uint64))))
 
 
-def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number of words and hash of all words of each text."""
     for batch in batches:
-        for _, found in _found(batch.column("text")):
-            yield pa.RecordBatch.from_arrays([_longs(found.h)], ["h"])
+        n, sha = [], []
+        for text in batch.column("text"):
+            words = text.as_py().encode().split()
+            n.append(len(words))
+            sha.append(hashlib.sha256(b" ".join(words)).digest())
+        yield pa.RecordBatch.from_arrays(
+            [*[batch.column(k) for k in ("id", "t1", "t2", "key")], pa.array(n, pa.int64()), pa.array(sha, pa.binary())],
+            ["id", "t1", "t2", "key", "n_words", "sha"],
+        )
 
 
-def _places(passes, bits: int):
-    """Anchors whose hash passes the filter, with their text and context."""
+def _found(batch: pa.RecordBatch) -> Iterator[tuple[int, Anchors]]:
+    data, starts = kernels.column_bytes(batch.column("text"))
+    for a, b in kernels.stretches(starts):
+        yield a, Anchors(*_words(data, starts[a : b + 1]))
 
+
+def _hashes(chosen: Filter):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        allowed = np.frombuffer(passes.value, np.uint8)
         for batch in batches:
-            for a, found in _found(batch.column("text")):
-                ok = _passing(found.h, bits, allowed)
-                rows = pa.array(found.row[ok] + a)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        _longs(found.h[ok]), _longs(found.c[ok]), *[batch.column(k).take(rows) for k in ("id", "t1", "t2")],
-                        *[pa.array(x[ok].astype(np.int32)) for x in (found.place, found.lo, found.hi)],
-                    ],
-                    ["h", "c", "id", "t1", "t2", "place", "lo", "hi"],
-                )
+            for _, found in _found(chosen.rows(batch, "key")):
+                yield pa.RecordBatch.from_arrays([pa.array((found.h >> _U(64 - COUNTED_BITS)).view(np.int64))], ["h"])
 
     return run
 
 
-def _contexts(passes, bits: int):
-    """Contexts whose hash passes the filter, once per batch, with the hashes of their windows."""
+def _windows(chosen: Filter, shared: Filter):
+    """Windows over anchors that occur more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        allowed = np.frombuffer(passes.value, np.uint8)
         for batch in batches:
-            for _, found in _found(batch.column("text")):
-                ok = _passing(found.c, bits, allowed)
-                ok = ok[np.unique(found.c[ok], return_index=True)[1]]
-                windows, offsets = found.windows(ok)
+            batch = chosen.rows(batch, "key")
+            for a, found in _found(batch):
+                w, row, start = found.windows(np.flatnonzero(shared(found.h)))
+                texts = batch.select(["id", "t1"]).take(pa.array(row + a))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        _longs(found.h[ok]), _longs(found.c[ok]), pa.array((found.place - found.lo)[ok].astype(np.int32)),
-                        pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), _longs(windows)),
-                    ],
-                    ["h", "c", "at", "windows"],
+                    [pa.array(w.view(np.int64)), *texts.columns, pa.array(start.astype(np.int32))], ["w", "id", "t1", "start"]
                 )
 
     return run
 
 
+def _touched(chosen: Filter):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield chosen.rows(batch, "key")
+
+    return run
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts without the words of their parts."""
+    """Texts without the words of the windows that start at ``starts``."""
     for batch in batches:
-        n_words, n_removed, kept = [], [], []
-        for text, parts in zip(batch.column("text"), batch.column("parts"), strict=True):
+        n_removed, kept = [], []
+        for text, starts in zip(batch.column("text"), batch.column("starts"), strict=True):
             words = text.as_py().encode().split()
             marks = np.zeros(len(words) + 1, np.int32)
-            if parts.is_valid:
-                x, y = parts.values.flatten()
-                np.add.at(marks, x.to_numpy(), 1)
-                np.add.at(marks, y.to_numpy(), -1)
+            at = starts.values.to_numpy()
+            np.add.at(marks, at, 1)
+            np.add.at(marks, at + WINDOW, -1)
             stays = np.cumsum(marks[:-1]) == 0
-            n_words.append(len(words))
             n_removed.append(len(words) - int(stays.sum()))
-            kept.append(hashlib.sha256(b" ".join(compress(words, stays.tolist()))).hexdigest())
+            kept.append(hashlib.sha256(b" ".join(compress(words, stays.tolist()))).digest())
         yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("t1"), batch.column("t2"), batch.column("id"), pa.array(n_words, pa.int64()),
-                pa.array(n_removed, pa.int64()), pa.array(kept, pa.string()),
-            ],
-            ["t1", "t2", "id", "n_words", "n_removed", "kept_sha256"],
+            [batch.column("key"), batch.column("t1"), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary())],
+            ["key", "t1", "n_removed", "kept"],
         )
 
 
-def _filter(spark, hashes: DataFrame, column: str):
-    """A broadcast bitmap of a column of hashes and its number of bits, which follows their count."""
-    bits = min(MOST_FILTER_BITS, max(16, (16 * hashes.count()).bit_length()))
-    return spark.sparkContext.broadcast(hash_filter(hashes, column, bits)), bits
-
-
-def repeated_parts(scratch: Scratch, texts: DataFrame) -> DataFrame:
-    """``(t1, t2, parts)``: word ranges of each of the different texts ``(t1, t2, id, text)`` that occur earlier.
+def repeated_windows(scratch: Scratch, keyed: DataFrame, chosen: Filter) -> DataFrame:
+    """``(key, t1, starts)``: the windows of each chosen text of ``(id, t1, key, text)`` that occur earlier.
 
-    Earlier means a smaller (id, t1, t2), or an earlier word of the same text.
+    Earlier means a smaller (id, t1), or an earlier word of the same text.
     """
-    spark = texts.sparkSession
-    ident = texts.schema["id"].dataType.simpleString()
-    counted = texts.select("text").mapInArrow(_hashes, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    shared = scratch.save(counted.filter("n > 1").select("h"), "shared")
-    passes, bits = _filter(spark, shared, "h")
-    places = texts.mapInArrow(
-        _places(passes, bits), f"h long, c long, id {ident}, t1 long, t2 long, place int, lo int, hi int"
-    )
-    places = scratch.save(places, "places")
+    ident = keyed.schema["id"].dataType.simpleString()
+    texts = keyed.select("id", "t1", "key", "text")
+    counted = texts.select("key", "text").mapInArrow(_hashes(chosen), "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    shared = scratch.save(counted.filter("n > 1").select(F.shiftleft("h", 64 - COUNTED_BITS).alias("h")), "shared")
+    windows = texts.mapInArrow(_windows(chosen, Filter(shared, "h")), f"w long, id {ident}, t1 long, start int")
+    windows = scratch.save(windows, "windows")
     scratch.drop("shared")
-    passes.unpersist()
-
-    where = F.struct("id", "t1", "t2", "place")
-    classes = scratch.save(places.groupBy("h", "c").agg(F.min(where).alias("least"), F.count(F.lit(1)).alias("n")), "classes")
-    several = classes.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("h")
-    asked = scratch.save(classes.join(several, "h", "left_semi").select("h", "c", "least"), "asked")
-    again = places.join(classes.filter("n > 1").select("h", "c", "least"), ["h", "c"]).filter(where > F.col("least"))
-    again = again.select("t1", "t2", F.col("lo").alias("x"), F.col("hi").alias("y"))
-
-    chosen, bits = _filter(spark, asked, "c")
-    contexts = texts.select("text").mapInArrow(_contexts(chosen, bits), "h long, c long, at int, windows array<long>")
-    # Equal contexts have equal windows, so any will do.
-    contexts = contexts.groupBy("h", "c").agg(F.max("at").alias("at"), F.max("windows").alias("windows"))
-    windows = contexts.join(asked, ["h", "c"]).select("h", "at", "least", F.posexplode("windows").alias("i", "w"))
-    windows = scratch.save(windows.select("h", (F.col("at") - F.col("i")).alias("shift"), "w", "least"), "windows")
-    chosen.unpersist()
-    first = windows.groupBy("h", "shift", "w").agg(F.min("least").alias("first"), F.count(F.lit(1)).alias("n"))
-    later = windows.join(first.filter("n > 1").drop("n"), ["h", "shift", "w"]).filter(F.col("least") > F.col("first"))
-    start = F.col("least.place") - F.col("shift")
-    later = later.select("least.t1", "least.t2", start.alias("x"), (start + WINDOW).alias("y"))
-
-    parts = again.union(later).groupBy("t1", "t2").agg(F.collect_set(F.struct("x", "y")).alias("parts"))
-    parts = scratch.save(parts, "parts")
-    scratch.drop("places", "classes", "asked", "windows")
-    return parts
+    where = F.struct("id", "t1", "start")
+    first = windows.groupBy("w").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    later = windows.join(first, "w").filter(where > F.col("first"))
+    found = scratch.save(later.groupBy(F.xxhash64("id", "t1").alias("key"), "t1").agg(F.collect_set("start").alias("starts")), "found")
+    scratch.drop("windows")
+    return found
 
 
 def remove_repeats(docs: DataFrame, *, text: str = "text", ident: str = "doc_id") -> DataFrame:
@@ -222,26 +211,34 @@ def remove_repeats(docs: DataFrame, *, text: str = "text", ident: str = "doc_id"
     A word is removed where a window of 20 words over it occurs earlier, that is in a row with a smaller
     ``ident`` or before it in its own.  Null ids come first, rows that share an id follow the hash of their
     text, and full repeats of a row count as that one row and get its result.  Null texts have no words,
-    texts of fewer than 20 words stay whole, very long ones are read whole, one at a time.  An empty table stays empty; other
-    columns don't matter.
+    texts of fewer than 20 words stay whole, and each text, however long, is read whole and on its own.  An
+    empty table stays empty; other columns don't matter.
     """
     scratch = Scratch(docs.sparkSession)
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     keyed = docs.select(
         F.col(ident).alias("id"), F.xxhash64(whole).alias("t1"), F.xxhash64(F.lit("2"), whole).alias("t2"), whole.alias("text")
+    ).withColumn("key", F.xxhash64("id", "t1"))
+    kind = keyed.schema["id"].dataType.simpleString()
+    rows = scratch.save(
+        keyed.select("id", "t1", "t2", "key", "text").mapInArrow(_plain, f"id {kind}, t1 long, t2 long, key long, n_words long, sha binary"), "rows"
     )
-    # Copies combine before the shuffle: the earliest of a text stands for all.
-    merged = keyed.groupBy("t1", "t2").agg(F.min(F.struct("id")).alias("least"), F.first("text").alias("text"))
-    texts = scratch.save(merged.select("t1", "t2", "least.id", "text"), "texts")
-    parts = repeated_parts(scratch, texts)
-    cut = texts.join(parts.hint("shuffle_hash"), ["t1", "t2"], "left").select("t1", "t2", "id", "text", "parts").mapInArrow(
-        _cut, f"t1 long, t2 long, id {texts.schema['id'].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string"
-    )
-    cut = scratch.save(cut.withColumnRenamed("id", "least"), "cut")
-    scratch.drop("texts", "parts")
-    copy = ~F.col("id").eqNullSafe(F.col("least")) & (F.col("n_words") >= WINDOW)
-    return keyed.select("id", "t1", "t2").join(cut, ["t1", "t2"]).select(
+    # The earliest of equal texts stands for all: the others go whole.
+    copies = rows.groupBy("t1", "t2").agg(F.min(F.struct("id", "key")).alias("least"), F.count(F.lit(1)).alias("copies"))
+    copies = scratch.save(copies, "copies")
+    found = repeated_windows(scratch, keyed, Filter(copies.select("least.key"), "key"))
+    texts = keyed.select("key", "t1", "text").mapInArrow(_touched(Filter(found, "key")), "key long, t1 long, text string")
+    # Repeats of a row combine before the shuffle.
+    met = texts.groupBy("key", "t1").agg(F.first("text").alias("text")).join(found, ["key", "t1"])
+    cut = scratch.save(met.mapInArrow(_cut, "key long, t1 long, n_removed long, kept binary"), "cut")
+    scratch.drop("found")
+
+    several = copies.filter("copies > 1").select("t1", "t2", "copies", F.col("least.id").alias("least"))
+    placed = rows.join(several, ["t1", "t2"], "left")
+    copy = F.col("copies").isNotNull() & ~F.col("id").eqNullSafe(F.col("least")) & (F.col("n_words") >= WINDOW)
+    nothing = F.unhex(F.sha2(F.lit(""), 256))
+    return placed.join(cut, ["key", "t1"], "left").select(
         F.col("id").alias(ident), "n_words",
-        F.when(copy, F.col("n_words")).otherwise(F.col("n_removed")).alias("n_removed"),
-        F.when(copy, F.sha2(F.lit(""), 256)).otherwise(F.col("kept_sha256")).alias("kept_sha256"),
+        F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
+        F.lower(F.hex(F.when(copy, nothing).otherwise(F.coalesce("kept", "sha")))).alias("kept_sha256"),
     )
