@@ -1,10 +1,10 @@
 """Removal of word passages that occur earlier, by anchors at the places of a difference cover.
 
-Places of a text count as anchors where they fall, modulo 13, into a difference cover: for any two places
-there is a shift below 13 that brings both into it.  So two equal windows of 20 words share an anchor of
-8 words at the same distance from their starts, though only 4 of 13 places are hashed.
+Places of a text count as anchors where they fall, modulo 7, into a difference cover: for any two places
+there is a shift below 7 that brings both into it.  So two equal windows of 20 words share an anchor of
+14 words at the same distance from their starts, though only 3 of 7 places are hashed.
 
-An anchor that occurs once has no match.  From the others a match may extend by 12 words to either side: the
+An anchor that occurs once has no match.  From the others a match may extend by 6 words to either side: the
 windows of 20 words in that reach, and no others, are compared by their hash, and all but the earliest of
 equal ones cover words to remove.  No pairs are listed, so a passage with a million copies costs a row for
 each of its words.
@@ -21,17 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import kernels
-from .shared import Scratch
+from .shared import Scratch, collect_garbage
 
 WINDOW = 20
 # A perfect difference set, every residue is a difference of two of its members.
-PERIOD = 13
-COVER = (0, 1, 3, 9)
+PERIOD = 7
+COVER = (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 # Filters have 16 bits or more for each hash that they let through, 128 MB at most; fuller ones let more through.
 MOST_FILTER_BITS = 30
-# Anchors are counted by this many leading bits of their hash, which is more than any filter looks at.
-COUNTED_BITS = 40
+PROBES = 4
 _PIECE_BITS = 15
 _U = np.uint64
 
@@ -68,7 +67,7 @@ class Anchors:
         self._sums = kernels.prefix(hashes)
         _, self._down = kernels.powers(len(hashes) + 1)
         self.h = self._run(at, ANCHOR)
-        # Windows over an anchor start up to 12 words before it, and end within the row.
+        # Windows over an anchor start up to PERIOD - 1 words before it, and end within the row.
         self._low = at - np.minimum(place[at], PERIOD - 1)
         self._high = np.minimum(at, at - place[at] + room[at] - WINDOW)
 
@@ -85,29 +84,41 @@ class Anchors:
         return self._run(start, WINDOW), row, start - self._first[row]
 
 
+def _probes(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """Places of each hash in a filter."""
+    for i in range(PROBES):
+        yield kernels.mix(hashes + _U(i + 1) * _U(kernels.BASE)) >> _U(64 - bits)
+
+
 class Filter:
-    """A broadcast bitmap over the leading bits of 64-bit hashes; its size follows their number.
+    """A broadcast Bloom filter of 64-bit hashes; its size follows their number.
 
-    It lets every hash of the column through and some others.  What is let through in vain costs time only.
+    It lets every hash of the column through and a few others.  What is let through in vain costs time only.
     """
 
     def __init__(self, hashes: DataFrame, column: str):
         spark = hashes.sparkSession
-        self.bits = min(MOST_FILTER_BITS, max(16, (16 * hashes.count()).bit_length()))
-        bit = F.shiftrightunsigned(column, 64 - self.bits)
-        pieces = hashes.groupBy(F.shiftright(bit, _PIECE_BITS).alias("piece")).agg(
-            F.bitmap_construct_agg(bit.bitwiseAND((1 << _PIECE_BITS) - 1)).alias("bits")
+        self.bits = bits = min(MOST_FILTER_BITS, max(16, (16 * hashes.count()).bit_length()))
+
+        def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in _probes(batch.column(0).to_numpy().view(np.uint64), bits):
+                    yield pa.RecordBatch.from_arrays([pa.array(at.view(np.int64))], ["bit"])
+
+        pieces = hashes.select(column).mapInArrow(places, "bit long").groupBy(F.shiftright("bit", _PIECE_BITS).alias("piece")).agg(
+            F.bitmap_construct_agg(F.col("bit").bitwiseAND((1 << _PIECE_BITS) - 1)).alias("bits")
         )
-        marks = bytearray(1 << (self.bits - 3))
+        marks = bytearray(1 << (bits - 3))
         size = 1 << (_PIECE_BITS - 3)
         for piece, found in pieces.toLocalIterator():
             marks[piece * size : (piece + 1) * size] = found
         self.marks = spark.sparkContext.broadcast(bytes(marks))
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        bit = hashes >> _U(64 - self.bits)
-        marks = np.frombuffer(self.marks.value, np.uint8)
-        return ((marks[(bit >> _U(3)).astype(np.int64)] >> (bit & _U(7)).astype(np.uint8)) & 1).astype(bool)
+        marks, out = np.frombuffer(self.marks.value, np.uint8), np.ones(len(hashes), bool)
+        for at in _probes(hashes, self.bits):
+            out &= ((marks[(at >> _U(3)).astype(np.int64)] >> (at & _U(7)).astype(np.uint8)) & 1).astype(bool)
+        return out
 
     def rows(self, batch: pa.RecordBatch, column: str) -> pa.RecordBatch:
         return batch.filter(pa.array(self(batch.column(column).to_numpy().view(np.uint64))))
@@ -137,7 +148,7 @@ def _hashes(chosen: Filter):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, found in _found(chosen.rows(batch, "key")):
-                yield pa.RecordBatch.from_arrays([pa.array((found.h >> _U(64 - COUNTED_BITS)).view(np.int64))], ["h"])
+                yield pa.RecordBatch.from_arrays([pa.array(found.h.view(np.int64))], ["h"])
 
     return run
 
@@ -193,15 +204,18 @@ def repeated_windows(scratch: Scratch, keyed: DataFrame, chosen: Filter) -> Data
     ident = keyed.schema["id"].dataType.simpleString()
     texts = keyed.select("id", "t1", "key", "text")
     counted = texts.select("key", "text").mapInArrow(_hashes(chosen), "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    shared = scratch.save(counted.filter("n > 1").select(F.shiftleft("h", 64 - COUNTED_BITS).alias("h")), "shared")
+    shared = scratch.save(counted.filter("n > 1").select("h"), "shared")
+    collect_garbage(scratch.spark)
     windows = texts.mapInArrow(_windows(chosen, Filter(shared, "h")), f"w long, id {ident}, t1 long, start int")
     windows = scratch.save(windows, "windows")
     scratch.drop("shared")
+    collect_garbage(scratch.spark)
     where = F.struct("id", "t1", "start")
     first = windows.groupBy("w").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     later = windows.join(first, "w").filter(where > F.col("first"))
     found = scratch.save(later.groupBy(F.xxhash64("id", "t1").alias("key"), "t1").agg(F.collect_set("start").alias("starts")), "found")
     scratch.drop("windows")
+    collect_garbage(scratch.spark)
     return found
 
 

@@ -52,6 +52,11 @@ class Scratch:
             path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Shuffle files of finished jobs stay on the executors' disks until the driver's JVM collects garbage."""
+    spark._jvm.System.gc()
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over ``value``, which is computed once however often the body reads it."""
     return F.transform(F.array(value), body)[0]
