@@ -212,9 +212,12 @@ def repeated_windows(scratch: Scratch, keyed: DataFrame, chosen: Filter) -> Data
     collect_garbage(scratch.spark)
     where = F.struct("id", "t1", "start")
     first = windows.groupBy("w").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # Written first, so that both sides of the join are plain and Spark may split a window that is everywhere.
+    first = scratch.save(first, "first")
+    collect_garbage(scratch.spark)
     later = windows.join(first, "w").filter(where > F.col("first"))
     found = scratch.save(later.groupBy(F.xxhash64("id", "t1").alias("key"), "t1").agg(F.collect_set("start").alias("starts")), "found")
-    scratch.drop("windows")
+    scratch.drop("windows", "first")
     collect_garbage(scratch.spark)
     return found
 
