@@ -19,7 +19,7 @@ from ..functions.exprs import (
     sum_if,
     with_scalars,
 )
-from ..functions.ordered import MIN_ROWS, SLICES, ordered_measures
+from ..functions.ordered import ordered_measures
 from .kpis import is_bulk
 
 
@@ -93,7 +93,7 @@ def running_and_rolling(appointments: DataFrame) -> DataFrame:
     )
 
 
-def patient_pareto(patients: DataFrame, min_rows: int = MIN_ROWS, slices: int = SLICES) -> DataFrame:
+def patient_pareto(patients: DataFrame) -> DataFrame:
     """Percentile of lifetime value and cumulative share of revenue, largest first (ties by id).
 
     One ascending pass serves both: counted from the top, the running sum is the total minus the
@@ -102,7 +102,7 @@ def patient_pareto(patients: DataFrame, min_rows: int = MIN_ROWS, slices: int =
     people = patients.select("patient_id", "total_billed")
     ranked = ordered_measures(
         people, [], "total_billed", "patient_id", tie_desc=True, rank="__rank",
-        running={"__ascending": "total_billed"}, min_rows=min_rows, slices=slices,
+        running={"__ascending": "total_billed"},
     )
     totals = people.agg(F.sum("total_billed").alias("__total"), F.count("*").alias("__n"))
     from_top = F.col("__total") - F.col("__ascending") + F.col("total_billed")
@@ -114,27 +114,26 @@ def patient_pareto(patients: DataFrame, min_rows: int = MIN_ROWS, slices: int =
     )
 
 
-def patient_ranks(patients: DataFrame, min_rows: int = MIN_ROWS, slices: int = SLICES) -> DataFrame:
+def patient_ranks(patients: DataFrame) -> DataFrame:
     """Row number, rank and dense rank of lifetime value within the state (ties by id)."""
     people = patients.select("patient_id", "state", "total_billed")
     return ordered_measures(
         people, ["state"], "total_billed", "patient_id", value_desc=True, row_number="row_number", rank="rank",
-        dense_rank="dense_rank", min_rows=min_rows, slices=slices,
+        dense_rank="dense_rank",
     ).withColumnRenamed("total_billed", "lifetime_billed_aud")
 
 
-def patient_rank_and_pareto(patients: DataFrame, min_rows: int = MIN_ROWS, slices: int = SLICES) -> DataFrame:
+def patient_rank_and_pareto(patients: DataFrame) -> DataFrame:
     """Rank in state, overall percentile and cumulative revenue share."""
     in_state = ordered_measures(
         patients.select("patient_id", "state", "total_billed"), ["state"], "total_billed", "patient_id",
-        value_desc=True, rank="rank_in_state", min_rows=min_rows, slices=slices,
+        value_desc=True, rank="rank_in_state",
     ).select("patient_id", "rank_in_state")
     profile = patients.select("patient_id", "state", "insurance_type", "churn_flag")
-    return profile.join(in_state, "patient_id").join(patient_pareto(patients, min_rows, slices), "patient_id")
+    return profile.join(in_state, "patient_id").join(patient_pareto(patients), "patient_id")
 
 
-def patient_journey(appointments: DataFrame, with_billed: bool = True, min_rows: int = MIN_ROWS,
-                    slices: int = SLICES) -> DataFrame:
+def patient_journey(appointments: DataFrame, with_billed: bool = True) -> DataFrame:
     """W5 (and W10 without the billed amount): visit number, first and last visit, running total."""
     columns = ["patient_id", "appointment_date", "specialty", "billing_type", "status", "billed_amount"]
     rows = appointments.select("appointment_id", *columns).withColumn(
@@ -143,7 +142,7 @@ def patient_journey(appointments: DataFrame, with_billed: bool = True, min_rows:
     numbered = ordered_measures(
         rows, ["patient_id"], "appointment_date", "appointment_id",
         then_by=["specialty", "billing_type", "status", "billed_amount"], row_number="__number",
-        running={"__running": "__billed"}, ends=("__first", "__last"), min_rows=min_rows, slices=slices,
+        running={"__running": "__billed"}, ends=("__first", "__last"),
     )
     if with_billed:
         return numbered.select(
