@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.exprs import round_half_up, with_scalars
+from .linear import coefficient_table, explain_row, mean_attributions
 from .model import TrainedModel
 
 # Prefixes of encoded columns and how they read.
@@ -28,36 +28,11 @@ def feature_importance(spark: SparkSession, trained: TrainedModel, top: int = 15
     return table.withColumn("label", label_of(F.col("feature"))).orderBy(F.desc("importance"), "feature").limit(top)
 
 
-def contributions(trained: TrainedModel, matrix: DataFrame) -> DataFrame:
-    """F10 per row: (patient_id, feature, contribution) of the linear model, exact on the log-odds scale.
-
-    A feature adds coefficient times its scaled distance from the training mean.
-    """
-    if trained.kind != "logistic":
-        raise ValueError("attributions are defined for the linear model; use feature_importance for trees")
-    scaler, linear = trained.model.stages[1], trained.model.stages[2]
-    parts = []
-    for name, mean, std, coef in zip(trained.feature_names, scaler.mean, scaler.std, linear.coefficients):
-        scaled = (F.col(f"`{name}`").cast("double") - float(mean)) / float(std) if std else F.lit(0.0)
-        parts.append(F.struct(F.lit(name).alias("feature"), (scaled * float(coef)).alias("contribution")))
-    return matrix.select("patient_id", F.inline(F.array(*parts)))
-
-
 def mean_attribution(trained: TrainedModel, matrix: DataFrame, top: int = 15) -> DataFrame:
     """mean absolute contribution per feature, largest first."""
-    table = contributions(trained, matrix).groupBy("feature").agg(
-        round_half_up(F.avg(F.abs("contribution")), 6).alias("mean_abs_contribution")
-    )
-    return table.orderBy(F.desc("mean_abs_contribution"), "feature").limit(top)
+    return mean_attributions(matrix, coefficient_table(matrix.sparkSession, trained), top=top)
 
 
 def explain_patient(trained: TrainedModel, matrix: DataFrame, scored: DataFrame) -> DataFrame:
     """contributions for the patient at highest risk, with the base value, largest first."""
-    top = scored.agg(F.max_by("patient_id", F.struct("churn_probability", -F.col("patient_id"))).alias("__top"))
-    base = float(trained.model.stages[2].intercept)
-    one = with_scalars(matrix, top).filter(F.col("patient_id") == F.col("__top")).drop("__top")
-    rows = contributions(trained, one)
-    return rows.select(
-        "patient_id", "feature", round_half_up(F.col("contribution"), 6).alias("contribution"),
-        F.lit(base).alias("base_value"),
-    ).orderBy(F.desc(F.abs("contribution")), "feature")
+    return explain_row(matrix, coefficient_table(matrix.sparkSession, trained), scored)

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exprs import has_status, is_complaint, mean, missed, ratio, round_half_up, with_scalars
-from ..functions.ordered import exact_quantiles
+from ..functions.ordered import exact_quantiles, ordered_measures
 from .churn_rules import snapshot_row
 
 # Fixed values.
 MISSED_PATTERN = r"no.show|no show|dna|did not attend"
-MAX_CATEGORIES = 1000
 PROFILE = ["patient_id", "insurance_type", "state", "chronic_conditions", "churn_flag"]
 
 
@@ -114,12 +113,17 @@ def slug(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(text), "[^a-z0-9]+", "_"), "^_+|_+$", "")
 
 
-def vocabulary(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> list[str]:
-    """Distinct values of a category column in order; refuses one that is not a category."""
-    found = [r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()]
-    if len(found) > limit:
+def vocabulary(df: DataFrame, column: str, limit: int | None = None) -> list[str]:
+    """Distinct values of a category column in order, for results with a named column per value.
+
+    With ``limit`` it refuses a column that is not a category.  Models take ``coded_matrix`` instead, which
+    has any number of values.
+    """
+    found = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    names = [r[0] for r in (found if limit is None else found.limit(limit + 1)).collect()]
+    if limit is not None and len(names) > limit:
         raise ValueError(f"{column} has more than {limit} distinct values")
-    return sorted(found)
+    return sorted(names)
 
 
 def one_hot(df: DataFrame, columns: dict[str, str], drop_first: bool = False,
@@ -135,18 +139,73 @@ def one_hot(df: DataFrame, columns: dict[str, str], drop_first: bool = False,
     return df.select(*kept, *out)
 
 
+def condition_list(column: str) -> Column:
+    """Listed conditions: split at ; or , and trimmed; NULL lists none."""
+    return F.filter(F.transform(F.split(F.coalesce(column, F.lit("")), "[;,]"), lambda p: F.trim(p)), lambda p: p != "")
+
+
+def category_tokens(categories: dict[str, str], lists: dict[str, str]) -> Column:
+    """All categories of a row as sorted texts ``prefix_value``; NULL adds none.
+
+    ``categories`` maps columns of one value to prefixes, ``lists`` columns of several.
+    """
+    def listed(column: str, prefix: str) -> Column:
+        return F.transform(condition_list(column), lambda v: F.concat(F.lit(f"{prefix}_"), v))
+
+    single = F.array_compact(F.array(*[F.concat(F.lit(f"{p}_"), F.col(c)) for c, p in categories.items()]))
+    several = [listed(c, p) for c, p in lists.items()]
+    return F.array_sort(F.array_distinct(F.concat(single.cast("array<string>"), *several)))
+
+
+def fit_dictionary(rows: DataFrame, tokens: str = "categories") -> DataFrame:
+    """``(value, index, rows)`` of all category values in order, from 0, however many there are."""
+    counted = rows.select(F.explode(tokens).alias("value")).groupBy("value").agg(F.count("*").alias("rows"))
+    numbered = ordered_measures(counted, [], "value", "value", row_number="__n")
+    return numbered.select("value", (F.col("__n") - 1).cast("long").alias("index"), "rows")
+
+
+def encode(rows: DataFrame, dictionary: DataFrame, key: str = "patient_id", tokens: str = "categories") -> DataFrame:
+    """F2 and F3 as a sparse vector per row: ``(key, size, indices, values)``; unknown values are left out."""
+    listed = rows.select(key, F.explode(tokens).alias("value")).join(dictionary.select("value", "index"), "value")
+    coded = listed.groupBy(key).agg(F.sort_array(F.collect_set("index")).alias("__found"))
+    nothing = F.array().cast("array<long>")
+    filled = rows.select(key).join(coded, key, "left").withColumn("indices", F.coalesce("__found", nothing))
+    return with_scalars(filled, dictionary.agg(F.count("*").alias("size"))).select(
+        key, "size", "indices", F.transform("indices", lambda _: F.lit(1.0)).alias("values")
+    )
+
+
 def condition_flags(patients: DataFrame, column: str = "chronic_conditions", key: str = "patient_id",
                     names: list[str] | None = None) -> DataFrame:
     """one 0/1 column per listed condition (``chronic_<slug>``), text split at ; or ,."""
-    parts = F.filter(F.transform(F.split(F.coalesce(column, F.lit("None")), "[;,]"), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(F.coalesce(column, F.lit("None")), "[;,]"), lambda p: F.trim(p)), lambda p: p != "")
     slugs = F.transform(parts, lambda p: F.concat(F.lit("chronic_"), slug(p)))
     names = names or vocabulary(patients.select(F.explode(slugs).alias("__name")), "__name")
     listed = patients.select(key, slugs.alias("__slugs"))
     return listed.select(key, *[F.array_contains("__slugs", n).cast("int").alias(n) for n in names])
 
 
+CATEGORIES = {"insurance_type": "insurance_type", "state": "state"}
+CONDITIONS = {"chronic_conditions": "chronic_conditions"}
+
+
 def model_matrix(features: DataFrame, categories: dict[str, str] | None = None,
                  values: dict[str, list[str]] | None = None) -> DataFrame:
-    """F1 with F2: the numeric table the model is trained on."""
+    """F1 with F2: a numeric table with a named column per category value."""
     categories = categories or {c: c for c in ("insurance_type", "state", "chronic_conditions")}
     return one_hot(features, categories, values=values)
+
+
+def coded_matrix(features: DataFrame, categories: dict[str, str] | None = None,
+                 lists: dict[str, str] | None = None) -> DataFrame:
+    """F1 with F2 for any number of values: numbers as columns, categories as one array of texts."""
+    categories, lists = categories or CATEGORIES, lists or CONDITIONS
+    kept = [c for c in features.columns if c not in (*categories, *lists)]
+    return features.select(*kept, category_tokens(categories, lists).alias("categories"))
+
+
+def long_features(matrix: DataFrame, numbers: list[str], key: str = "patient_id", tokens: str = "categories") -> DataFrame:
+    """``(key, feature, value)``: all numbers of a coded matrix, and 1 for each category of a row."""
+    cells = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in numbers]
+    own = F.transform(tokens, lambda t: F.struct(t.alias("feature"), F.lit(1.0).alias("value")))
+    return matrix.select(key, F.inline(F.concat(F.array(*cells), own)))

@@ -7,16 +7,17 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exprs import mean, money, rate_pct, ratio, round_half_up, with_scalars
 from ..functions.ordered import ordered_measures
 from ..session import materialise
+from .features import fit_dictionary
 
 NOT_FEATURES = ("patient_id", "churn_flag", "last_visit")
+CATEGORIES = "categories"
 BANDS = ["Low", "Medium", "High"]
 
 
@@ -29,9 +30,17 @@ class TrainedModel:
     metrics: dict[str, float]
 
 
-def feature_columns(matrix: DataFrame, extra: tuple[str, ...] = ()) -> list[str]:
-    text = {name for name, dtype in matrix.dtypes if dtype in ("string", "date")}
-    return [c for c in matrix.columns if c not in NOT_FEATURES and c not in extra and c not in text]
+def number_columns(matrix: DataFrame) -> list[str]:
+    """Numeric features; all others are in the array of categories, if there is one."""
+    other = {name for name, dtype in matrix.dtypes if dtype in ("string", "date") or dtype.startswith("array")}
+    return [c for c in matrix.columns if c not in NOT_FEATURES and c not in other]
+
+
+def names_of(model: PipelineModel) -> list[str]:
+    """Names of a fitted pipeline's features, in the order of its vectors."""
+    assembler = next(stage for stage in model.stages if isinstance(stage, VectorAssembler))
+    vocabulary = [v for stage in model.stages if isinstance(stage, CountVectorizerModel) for v in stage.vocabulary]
+    return [c for c in assembler.getInputCols() if c != "category_flags"] + vocabulary
 
 
 def _bucket(key: str, seed: int) -> Column:
@@ -52,19 +61,24 @@ def stratified_split(df: DataFrame, label: str = "churn_flag", key: str = "patie
     )
 
 
-def _stages(kind: str, names: list[str], rows: float, seed: int, trees: int, subsample: float) -> list:
-    assembler = VectorAssembler(inputCols=names, outputCol="raw_features")
+def _stages(kind: str, names: list[str], values: list[str], rows: float, seed: int, trees: int, subsample: float) -> list:
+    coder = []
+    if values:
+        # Sparse flags for any number of values; the model itself has as many coefficients.
+        coder = [CountVectorizerModel.from_vocabulary(values, inputCol=CATEGORIES, outputCol="category_flags", minTF=1.0).setBinary(True)]
+    assembler = VectorAssembler(inputCols=[*names, *["category_flags"] * bool(values)], outputCol="raw_features")
     if kind == "logistic":
+        # Centring would fill the sparse vectors; it moves the intercept alone, which carries no penalty.
         return [
-            assembler,
-            StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
+            *coder, assembler,
+            StandardScaler(inputCol="raw_features", outputCol="features", withMean=not values, withStd=True),
             LogisticRegression(
                 labelCol="label", weightCol="weight", maxIter=1000, regParam=1.0 / rows, elasticNetParam=0.0,
                 standardization=False,
             ),
         ]
     return [
-        assembler.copy({assembler.outputCol: "features"}),
+        *coder, assembler.copy({assembler.outputCol: "features"}),
         GBTClassifier(
             labelCol="label", maxIter=trees, maxDepth=4, stepSize=0.05, subsamplingRate=subsample, seed=seed,
             checkpointInterval=10,
@@ -84,20 +98,23 @@ def _weighted(df: DataFrame, label: str) -> DataFrame:
 def fit(train: DataFrame, names: list[str], kind: str = "logistic", label: str = "churn_flag", seed: int = 42,
         trees: int = 150, subsample: float = 0.8) -> PipelineModel:
     """Fit one pipeline. The prepared rows are kept on executors for the iterations."""
-    prepared = _weighted(train, label).select("label", "weight", *[F.col(c).cast("double") for c in names])
+    coded = [CATEGORIES] if CATEGORIES in train.columns else []
+    prepared = _weighted(train, label).select("label", "weight", *[F.col(f"`{c}`").cast("double") for c in names], *coded)
     prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = prepared.count()
-        return Pipeline(stages=_stages(kind, names, float(rows), seed, trees, subsample)).fit(prepared)
+        values = [r["value"] for r in fit_dictionary(prepared, CATEGORIES).orderBy("index").toLocalIterator()] if coded else []
+        return Pipeline(stages=_stages(kind, names, values, float(rows), seed, trees, subsample)).fit(prepared)
     finally:
         prepared.unpersist()
 
 
 def probabilities(model: PipelineModel, matrix: DataFrame, names: list[str]) -> DataFrame:
-    """Rows with the churn probability of the fitted pipeline, columns aligned by name."""
-    vector_inputs = matrix.withColumns({f"__f_{i}": F.col(c).cast("double") for i, c in enumerate(names)})
+    """Rows with the churn probability of the fitted pipeline, numbers aligned by name."""
+    vector_inputs = matrix.withColumns({f"__f_{i}": F.col(f"`{c}`").cast("double") for i, c in enumerate(names)})
+    coded = [CATEGORIES] if CATEGORIES in matrix.columns else []
     renamed = vector_inputs.select(
-        F.struct(*matrix.columns).alias("__row"), *[F.col(f"__f_{i}").alias(c) for i, c in enumerate(names)]
+        F.struct(*[f"`{c}`" for c in matrix.columns]).alias("__row"), *coded, *[F.col(f"__f_{i}").alias(c) for i, c in enumerate(names)]
     )
     scored = model.transform(renamed)
     return scored.select("__row.*", vector_to_array("probability")[1].alias("churn_probability"))
@@ -107,13 +124,13 @@ def train_model(matrix: DataFrame, kind: str = "gbt", label: str = "churn_flag",
                 test_size: float = 0.2, seed: int = 42, trees: int = 150, subsample: float = 0.8,
                 exact_split: bool = False) -> TrainedModel:
     """split, fit and measure on the held-out rows."""
-    names = feature_columns(matrix)
+    names = number_columns(matrix)
     matrix = materialise(matrix)
     split = stratified_split(matrix, label, key, test_size, seed, exact_split)
-    model = fit(split.filter("NOT is_test"), names, kind, label, seed, trees, subsample)
+    model = fit(split.filter("NOT is_test").drop("is_test"), names, kind, label, seed, trees, subsample)
     test = probabilities(model, split.filter("is_test").drop("is_test"), names)
     row = metrics(test, label).first()
-    return TrainedModel(model, kind, names, test, {k: row[k] for k in row.asDict()})
+    return TrainedModel(model, kind, names_of(model), test, {k: row[k] for k in row.asDict()})
 
 
 # --- metrics ----------------------------------------------------------------------------------
@@ -174,23 +191,6 @@ def metrics(scored: DataFrame, label: str = "churn_flag") -> DataFrame:
     return with_scalars(ranking_quality(scored, label), confusion(scored, label))
 
 
-def cross_validate(matrix: DataFrame, kind: str = "logistic", folds: int = 5, label: str = "churn_flag",
-                   key: str = "patient_id", seed: int = 42, trees: int = 150) -> dict[str, float]:
-    """Mean and deviation of ROC-AUC over hash folds of the whole table."""
-    names = feature_columns(matrix)
-    matrix = materialise(matrix)
-    folded = matrix.withColumn("__fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(folds)))
-    evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="churn_probability")
-    scores = []
-    for fold in range(folds):
-        model = fit(folded.filter(F.col("__fold") != fold), names, kind, label, seed, trees)
-        held = probabilities(model, folded.filter(F.col("__fold") == fold), names)
-        scores.append(evaluator.evaluate(held.withColumn("label", F.col(label).cast("double"))))
-    middle = sum(scores) / folds
-    spread = (sum((s - middle) ** 2 for s in scores) / folds) ** 0.5
-    return {"cv_roc_auc_mean": round(middle, 4), "cv_roc_auc_std": round(spread, 4)}
-
-
 # --- scoring ----------------------------------------------------------------------------------
 
 def risk_band(probability: Column, low_includes_edge: bool = False) -> Column:
@@ -202,7 +202,7 @@ def risk_band(probability: Column, low_includes_edge: bool = False) -> Column:
 def score_patients(trained: TrainedModel, matrix: DataFrame, low_includes_edge: bool = True) -> DataFrame:
     """probability to four decimals and band for every patient, highest first."""
     keep = ["patient_id", "churn_flag", "total_billed", "days_since_visit", "appointment_count", "avg_overall_score"]
-    scored = probabilities(trained.model, matrix, trained.feature_names)
+    scored = probabilities(trained.model, matrix, number_columns(matrix))
     band = risk_band(F.col("churn_probability"), low_includes_edge)
     return scored.withColumn("risk_band", band).select(
         *[c for c in keep if c in matrix.columns],

@@ -4,9 +4,10 @@ from . import jobs_analysis, jobs_kpi, jobs_marts, jobs_quality  # noqa: F401  (
 from .oracle_analysis import ANALYSIS
 from .oracle_kpi import KPI
 from .oracle_marts import MARTS
+from .oracle_model import MODEL
 from .oracle_quality import QUALITY
 from .registry import JOBS, run
 
-ORACLE: dict[str, str] = {**KPI, **QUALITY, **ANALYSIS, **MARTS}
+ORACLE: dict[str, str] = {**KPI, **QUALITY, **ANALYSIS, **MARTS, **MODEL}
 
 __all__ = ["JOBS", "ORACLE", "run"]

@@ -1,7 +1,5 @@
 """Profitability, segments, features, model, recommendations and dashboard (ids T, R, F, E, B)."""
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import churn_rules as c
@@ -10,13 +8,27 @@ from ..operators import explain as x
 from ..operators import features as f
 from ..operators import kpis as k
 from ..operators import leakage as l
+from ..operators import linear as lin
 from ..operators import model as m
 from ..operators import profitability as p
 from ..operators import recommend as e
 from ..operators import segmentation as g
+from ..operators import validation as v
+from ..operators.model_store import ModelStore, data_version
 from ..sources.binding import DomainTables
 from .registry import job
 
+# A linear model (feature, mean, deviation, coefficient) and its log-odds at the means.
+FIXED_BASE = -0.75
+FIXED_COEFFICIENTS = [
+    ("appointment_count", 15.0, 10.0, -0.4), ("total_billed", 150000.0, 100000.0, -0.1), ("avg_billed", 20000.0, 8000.0, 0.05),
+    ("avg_wait_days", 10.0, 8.0, 0.2), ("no_show_rate", 0.1, 0.1, 0.5), ("telehealth_rate", 0.2, 0.25, -0.1),
+    ("days_since_visit", 300.0, 250.0, 0.8), ("avg_overall_score", 4.0, 1.0, -0.3), ("avg_wait_rating", 3.0, 1.0, -0.05),
+    ("complaint_count", 1.0, 1.0, 0.25), ("never_varies", 1.0, 0.0, 9.0), ("state_ASIA", 0.25, 0.5, 0.15),
+    ("state_EUROPE", 0.25, 0.5, -0.2), ("insurance_type_BUILDING", 0.2, 0.4, 0.3), ("insurance_type_MACHINERY", 0.2, 0.4, -0.25),
+    ("chronic_conditions_Diabetes", 0.125, 0.5, 0.35), ("chronic_conditions_None", 0.5, 0.5, -0.15),
+]
+
 _PL = ("specialty", "staff_id", "status", "billing_type", "billed_amount", "staff_cost", "wait_days")
 _RFV = ("patient_id", "appointment_id", "appointment_date", "status", "billed_amount", "wait_days")
 _FEAT = (*_RFV, "appointment_type")
@@ -98,25 +110,25 @@ def _features(t: DomainTables) -> DataFrame:
 
 
 def _matrix(t: DomainTables) -> DataFrame:
-    return f.model_matrix(_features(t))
+    return f.coded_matrix(_features(t))
 
 
-def _version(t: DomainTables) -> tuple[tuple[str, int, int], ...]:
-    """Names, sizes and times of the files under the data folder."""
-    jvm = t.spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(t.path)
-    files = path.getFileSystem(t.spark._jsc.hadoopConfiguration()).listStatus(path)
-    return tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files)
+def _trained(t: DomainTables, kind: str, trees: int = 150) -> m.TrainedModel:
+    """The stored model of this state of the data; the training step comes first where there is none."""
+    store, version = ModelStore(t.spark), f"{trees}-{data_version(t.spark, t.path)}"
+    store.ensure(kind, version, lambda: m.train_model(_matrix(t), kind, trees=trees))
+    return store.load(kind, version)
 
 
-# Queries that only read the trained model share it, per session, data folder and state of its files.
-@lru_cache(maxsize=8)
-def _trained(t: DomainTables, version: tuple, kind: str, trees: int) -> m.TrainedModel:
-    return m.train_model(_matrix(t), kind, trees=trees)
+def _fixed_model(t: DomainTables) -> DataFrame:
+    """A table of coefficients that both engines can be given."""
+    return t.spark.createDataFrame(
+        [(*row, FIXED_BASE) for row in FIXED_COEFFICIENTS], "feature string, mean double, std double, coefficient double, base double"
+    )
 
 
-def _model(t: DomainTables, kind: str, trees: int = 150) -> m.TrainedModel:
-    return _trained(t, _version(t), kind, trees)
+def _fixed_scores(t: DomainTables) -> DataFrame:
+    return lin.linear_scores(_matrix(t), _fixed_model(t))
 
 
 def _banded(t: DomainTables) -> DataFrame:
@@ -124,12 +136,21 @@ def _banded(t: DomainTables) -> DataFrame:
 
 
 def _metrics(t: DomainTables, kind: str) -> DataFrame:
-    return m.metrics(_model(t, kind).test)
+    return m.metrics(_trained(t, kind).test)
+
+
+def _cv(t: DomainTables, kind: str) -> DataFrame:
+    return v.cross_validation_summary(v.cross_validate(_matrix(t), kind))
+
 
+def _folds(t: DomainTables) -> DataFrame:
+    return v.stratified_folds(t.patients("patient_id", "churn_flag"))
 
-def _cv(t: DomainTables) -> DataFrame:
-    found = m.cross_validate(_matrix(t), "logistic")
-    return t.spark.createDataFrame([tuple(found.values())], "cv_roc_auc_mean double, cv_roc_auc_std double")
+
+def _codes(t: DomainTables) -> DataFrame:
+    people = f.coded_matrix(t.patients("patient_id", "insurance_type", "state", "chronic_conditions"))
+    return f.encode(people, f.fit_dictionary(people)).withColumns(
+        {c: F.array_join(F.col(c).cast("array<string>"), ",") for c in ("indices", "values")})
 
 
 job("f01_churn_features", _features)
@@ -137,6 +158,9 @@ job("f01b_churn_features_wide", lambda t: f.build_features_wide(
     t.patients(), t.appointments(*_FEAT), t.surveys(), _dates(t)))
 job("f02_one_hot", lambda t: f.one_hot(
     t.patients("patient_id", "insurance_type", "state"), {"insurance_type": "ins", "state": "state"}))
+job("f02c_sparse_codes", _codes)
+job("f02d_dictionary", lambda t: f.fit_dictionary(f.coded_matrix(
+    t.patients("patient_id", "insurance_type", "state", "chronic_conditions"))))
 job("f02b_one_hot_drop_first", lambda t: f.one_hot(
     t.patients("patient_id", "insurance_type", "state"), {"insurance_type": "ins", "state": "state"}, drop_first=True))
 job("f03_condition_flags", lambda t: f.condition_flags(t.patients("patient_id", "chronic_conditions")))
@@ -148,18 +172,37 @@ job("f05b_boosting_metrics", lambda t: _metrics(t, "gbt"))
 job("f05c_ranking_quality", lambda t: m.ranking_quality(rule_probability(t)))
 job("f05d_roc_points", lambda t: m.roc_points(rule_probability(t)))
 job("f05e_confusion", lambda t: m.confusion(rule_probability(t)))
-job("f05f_cross_validation", _cv)
-job("f06_score_patients", lambda t: m.score_patients(_model(t, "logistic"), _matrix(t)))
+job("f05f_cross_validation", lambda t: _cv(t, "logistic"))
+job("f05g_folds", _folds)
+job("f05h_classification_report", lambda t: v.classification_report(
+    rule_probability(t).withColumn("predicted", (F.col("churn_probability") >= 0.5).cast("int")), "churn_flag"))
+job("f05i_cross_validation_boosting", lambda t: _cv(t, "gbt"))
+job("f05j_fold_sizes", lambda t: v.fold_sizes(_folds(t)))
+job("f05k_band_report", lambda t: v.classification_report(
+    m.band_scores(rule_probability(t)).withColumn("label", F.when(F.col("churn_flag") == 1, "High").when(
+        F.col("total_billed") > 0, "Medium").otherwise("Low")), "label", "risk_band"))
+job("f06_score_patients", lambda t: m.score_patients(_trained(t, "logistic"), _matrix(t)))
+job("f06c_linear_scores", lambda t: _fixed_scores(t).withColumn(
+    "churn_probability", p.round_half_up(F.col("churn_probability"), 4)))
 job("f06b_risk_bands", _banded)
 job("f07_revenue_at_risk", lambda t: m.revenue_at_risk(_banded(t)))
 job("f07b_risk_summary", lambda t: m.risk_summary(_banded(t)))
 job("f07c_risk_totals", lambda t: m.risk_totals(_banded(t)))
 job("f08_retention_list", lambda t: m.retention_list(_banded(t), t.patients()))
-job("f09_importance_boosting", lambda t: x.feature_importance(t.spark, _model(t, "gbt")))
-job("f09b_importance_logistic", lambda t: x.feature_importance(t.spark, _model(t, "logistic")))
-job("f10_mean_attribution", lambda t: x.mean_attribution(_model(t, "logistic"), _matrix(t)))
-job("f11_explain_top_patient", lambda t: x.explain_patient(
-    _model(t, "logistic"), _matrix(t), m.score_patients(_model(t, "logistic"), _matrix(t))))
+job("f09_importance_boosting", lambda t: x.feature_importance(t.spark, _trained(t, "gbt")))
+job("f09b_importance_logistic", lambda t: x.feature_importance(t.spark, _trained(t, "logistic")))
+job("f10_mean_attribution", lambda t: x.mean_attribution(_trained(t, "logistic"), _matrix(t)))
+job("f10b_linear_attribution", lambda t: lin.mean_attributions(_matrix(t), _fixed_model(t)))
+
+
+def _explained(t: DomainTables) -> DataFrame:
+    trained = _trained(t, "logistic")
+    return x.explain_patient(trained, _matrix(t), m.score_patients(trained, _matrix(t)))
+
+
+job("f11_explain_top_patient", _explained)
+job("f11b_linear_explanation", lambda t: lin.explain_row(_matrix(t), _fixed_model(t), _fixed_scores(t).withColumn(
+    "churn_probability", p.round_half_up(F.col("churn_probability"), 4))))
 job("f12_band_distribution", lambda t: m.band_distribution(_banded(t)))
 
 

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -43,12 +43,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     return context.getCheckpointDir()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Where jobs keep tables that outlive executors: the checkpoint folder, else the warehouse."""
+    return ensure_checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute a frame once that several branches of a job read.
 
-    A reliable checkpoint survives lost executors; without a shared folder the rows are kept on
-    the executors' disks and recomputed where one is lost.
+    A reliable checkpoint, or a table in the warehouse where a cluster names no checkpoint folder: both
+    survive lost executors.
     """
     if ensure_checkpoint_dir(df.sparkSession):
         return df.checkpoint()
-    return df.persist(StorageLevel.DISK_ONLY)
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from spark_revenue.operators import explain as x
 from spark_revenue.operators import features as f
+from spark_revenue.operators import linear as lin
 from spark_revenue.operators import model as m
+from spark_revenue.operators import validation as v
+from spark_revenue.operators.model_store import ModelStore, data_version
 
 
 @pytest.fixture(scope="module")
@@ -131,11 +134,111 @@ def test_ranking_quality_on_known_scores(spark):
     assert m.roc_points(df).count() == 4
 
 
-def test_cross_validation(matrix):
-    got = m.cross_validate(matrix, "logistic", folds=2)
+@pytest.mark.parametrize("kind", ["logistic", "gbt"])
+def test_cross_validation(matrix, kind):
+    by_fold = v.cross_validate(matrix, kind, folds=2, trees=3)
+    got = v.cross_validation_summary(by_fold).first()
+    assert [r["fold"] for r in by_fold.orderBy("fold").collect()] == [0, 1]
     assert 0.0 <= got["cv_roc_auc_mean"] <= 1.0 and got["cv_roc_auc_std"] >= 0.0
 
 
+def test_folds_are_stratified_and_stable(spark):
+    df = spark.range(1003).select(F.col("id").alias("patient_id"), (F.col("id") % 7 < 2).cast("int").alias("churn_flag"))
+    folded = v.stratified_folds(df)
+    sizes = {}
+    for r in v.fold_sizes(folded).collect():
+        sizes.setdefault(r["churn_flag"], []).append(r["rows"])
+    assert all(len(n) == 5 and max(n) - min(n) <= 1 for n in sizes.values())
+    again = v.stratified_folds(df.repartition(13).orderBy(F.desc("patient_id")))
+    assert sorted(folded.collect()) == sorted(again.collect())
+    assert v.stratified_folds(df.limit(0)).collect() == []
+
+
+def test_classification_report_of_three_classes(spark):
+    rows = [("a", "a")] * 5 + [("a", "b")] * 2 + [("b", "b")] * 3 + [("c", "a")] + [("b", "d")] + [(None, "a"), ("a", None)]
+    got = {r["class"]: tuple(r)[1:] for r in v.classification_report(spark.createDataFrame(rows, "label string, predicted string")).collect()}
+    assert got["a"] == (0.8333, 0.7143, 0.7692, 7)
+    assert got["b"] == (0.6, 0.75, 0.6667, 4)
+    assert got["c"] == (0.0, 0.0, 0.0, 1) and got["d"] == (0.0, 0.0, 0.0, 0)
+    assert got["accuracy"] == (0.6667, 0.6667, 0.6667, 12)
+    assert got["macro avg"] == (0.3583, 0.3661, 0.359, 12)
+    assert got["weighted avg"] == (0.6861, 0.6667, 0.6709, 12)
+    assert v.classification_report(spark.createDataFrame([], "label string, predicted string")).collect() == []
+
+
+def test_five_thousand_categories(spark):
+    """Codes, training and attributions with more values than a wide table could name."""
+    rows = spark.range(9000).select(
+        F.col("id").alias("patient_id"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("v"), F.col("id") % 7000)).alias("insurance_type"),
+        F.lit("S").alias("state"), F.when(F.col("id") % 2 == 0, "Asthma; Gout").alias("chronic_conditions"),
+        (F.col("id") % 2).cast("int").alias("churn_flag"), (F.col("id") % 11).cast("double").alias("visits"),
+    )
+    coded = f.coded_matrix(rows)
+    dictionary = f.fit_dictionary(coded)
+    values = [r["value"] for r in dictionary.orderBy("index").collect()]
+    assert values == sorted(values) and len(values) > 5000 and {"state_S", "chronic_conditions_Gout"} <= set(values)
+    codes = {r["patient_id"]: r for r in f.encode(coded, dictionary).collect()}
+    assert len(codes) == 9000 and {r["size"] for r in codes.values()} == {len(values)}
+    assert [values[i] for i in codes[4]["indices"]] == ["chronic_conditions_Asthma", "chronic_conditions_Gout", "insurance_type_v4", "state_S"]
+    assert [values[i] for i in codes[3]["indices"]] == ["state_S"]
+    trained = m.train_model(coded, "logistic")
+    # The model knows the values of the rows it was trained on.
+    assert len(trained.feature_names) > 4000 and trained.metrics["roc_auc"] > 0.9
+    table = lin.coefficient_table(spark, trained)
+    ours = {r["patient_id"]: r["churn_probability"] for r in lin.linear_scores(coded, table).collect()}
+    theirs = m.probabilities(trained.model, coded, m.number_columns(coded)).select("patient_id", "churn_probability").collect()
+    assert all(ours[r["patient_id"]] == pytest.approx(r["churn_probability"], abs=1e-6) for r in theirs)
+
+
+def test_logistic_fit_has_no_gradient_left(matrix):
+    """At the fit the gradient of the penalised, weighted log-loss is zero in every coefficient."""
+    names = m.number_columns(matrix)
+    model = m.fit(matrix, names, "logistic")
+    rows = model.transform(m._weighted(matrix, "churn_flag").select("label", "weight", *[F.col(f"`{c}`").cast("double") for c in names]))
+    data = rows.select("label", "weight", "features", "probability").collect()
+    coefficients = model.stages[-1].coefficients.toArray()
+    total = sum(r["weight"] for r in data)
+    gradient = sum(r["weight"] * (r["probability"][1] - r["label"]) * r["features"].toArray() for r in data) / total + coefficients / len(data)
+    assert abs(gradient).max() < 1e-4
+    assert abs(sum(r["weight"] * (r["probability"][1] - r["label"]) for r in data)) / total < 1e-4
+
+
+def test_importances_sum_to_one_and_follow_the_driving_feature(spark):
+    rows = spark.range(400).select(
+        F.col("id").alias("patient_id"), (F.col("id") % 10 < 5).cast("int").alias("churn_flag"), (F.col("id") % 10).cast("double").alias("driver"),
+        (F.col("id") * 37 % 11).cast("double").alias("noise"),
+    )
+    for kind, sign in (("gbt", 0), ("logistic", -1)):
+        trained = m.train_model(rows, kind, trees=5)
+        table = x.feature_importance(spark, trained, 9).collect()
+        assert table[0]["feature"] == "driver"
+        if kind == "gbt":
+            assert sum(r["importance"] for r in table) == pytest.approx(1.0)
+        else:
+            assert trained.model.stages[-1].coefficients[trained.feature_names.index("driver")] * sign > 0
+
+
+def test_model_store(spark, matrix, tmp_path):
+    """A model is trained once for a state of the data, and read back whole."""
+    store, calls = ModelStore(spark, str(tmp_path / "models")), []
+
+    def train():
+        calls.append(1)
+        return m.train_model(matrix, "logistic", exact_split=True)
+
+    for _ in range(2):
+        store.ensure("logistic", "one", train)
+    assert len(calls) == 1 and ("logistic", "two") not in store
+    loaded, fresh = store.load("logistic", "one"), train()
+    assert loaded.feature_names == fresh.feature_names and loaded.metrics == fresh.metrics
+    assert sorted(loaded.test.select("patient_id", "churn_probability").collect()) == sorted(fresh.test.select("patient_id", "churn_probability").collect())
+    matrix.limit(3).write.parquet(str(tmp_path / "data"))
+    before = data_version(spark, str(tmp_path / "data"))
+    assert before == data_version(spark, str(tmp_path / "data"))
+    matrix.limit(4).write.mode("append").parquet(str(tmp_path / "data"))
+    assert before != data_version(spark, str(tmp_path / "data"))
+
+
 def test_conditions_split_and_slugged(spark):
     df = spark.createDataFrame([(1, "Diabetes; Heart Disease"), (2, None), (3, "Asthma,Diabetes")],
                                "patient_id int, chronic_conditions string")

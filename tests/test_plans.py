@@ -7,7 +7,8 @@ from spark_revenue.sources.binding import DomainTables
 
 FOLDER = "/root/testdata/sf0.001"
 # Trained models are fitted when the query is built; their plans are checked through f01 and f04.
-TRAINED = {"f05a_logistic_metrics", "f05b_boosting_metrics", "f05f_cross_validation", "f06_score_patients",
+TRAINED = {"f05a_logistic_metrics", "f05b_boosting_metrics", "f05f_cross_validation",
+           "f05i_cross_validation_boosting", "f06_score_patients",
            "f09_importance_boosting", "f09b_importance_logistic", "f10_mean_attribution", "f11_explain_top_patient"}
 
 
