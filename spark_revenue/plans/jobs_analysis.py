@@ -5,7 +5,6 @@ from ..operators import churn_rules as c
 from ..operators import joins as j
 from ..operators import kpis as k
 from ..operators import leakage as l
-from ..operators import marts as m
 from ..operators import rootcause as r
 from ..operators import scorecards as s
 from ..operators import windows as w
@@ -127,5 +126,3 @@ def _views(t: DomainTables) -> dict:
         "vw_clinic_performance": s.clinic_ranking(t.staff(), visits, with_avg=False),
     }
 
-
-job("p01_refresh_summaries", lambda t: m.refresh_summaries(_views(t)))

@@ -61,6 +61,27 @@ def read_checked_csv(spark: SparkSession, folder: str, table: str) -> tuple[Data
     return fits, raw.filter(all_read & F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
+def csv_lines(df: DataFrame, table: str) -> DataFrame:
+    """The rows of a table as lines of CSV, in the declared order of columns; NULL is an empty cell."""
+    return df.select(F.to_csv(F.struct(*[f.name for f in TABLES[table].fields])).alias("line"))
+
+
+def parse_lines(lines: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """S1 and S2 on lines that have already been read: the rows that fit, with dates parsed, and the lines that don't.
+
+    A line is set aside where a cell doesn't have its column's type or the number of cells is wrong.
+    """
+    # Named options keep Spark from reading only the columns asked for, by which a bad line would pass.
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    # Empty lines are no rows, as in a file.
+    read = lines.filter(F.trim("line") != "").select("line", F.from_csv("line", raw_schema(table).simpleString()[7:-1].replace(":", " "), options).alias("row"))
+    fits = read.filter(F.col(f"row.{CORRUPT}").isNull()).select("row.*").select(*[
+        parse_date(f.name).alias(f.name) if isinstance(f.dataType, T.DateType) else F.col(f.name)
+        for f in TABLES[table].fields
+    ])
+    return fits, read.filter(F.col(f"row.{CORRUPT}").isNotNull()).select("line")
+
+
 def read_clean_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: read_clean_csv(spark, folder, name) for name in TABLES}
 

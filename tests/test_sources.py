@@ -113,3 +113,47 @@ def test_ids_beyond_32_bits_and_lines_set_aside(spark, tmp_path):
     fits, aside = readers.read_checked_csv(spark, str(tmp_path), "patients")
     assert [r.patient_id for r in fits.collect()] == [3_000_000_000]
     assert aside.count() == 1 and aside.first()[readers.CORRUPT].startswith("two,Bob")
+
+
+def test_lines_round_trip_and_bad_ones_are_set_aside(spark):
+    t = DomainTables(spark, FOLDER)
+    people = t.patients()
+    lines = readers.csv_lines(people, "patients")
+    fits, bad = readers.parse_lines(lines, "patients")
+    columns = [f.name for f in TABLES["patients"].fields]
+    assert bad.count() == 0 and fits.columns == columns
+    assert sorted(fits.collect(), key=str) == sorted(people.select(columns).collect(), key=str)
+    made = spark.createDataFrame([('1,"Ann ""A"", Lee",Female,x,' + "," * 15,), ("2,Bob",), ("",), ('3,"Eve, O",Female' + "," * 16,)], "line string")
+    fits, bad = readers.parse_lines(made, "patients")
+    assert [(r.patient_id, r.full_name, r.age) for r in fits.collect()] == [(3, "Eve, O", None)]
+    assert sorted(r.line for r in bad.collect()) == ['1,"Ann ""A"", Lee",Female,x,' + "," * 15, "2,Bob"]
+
+
+def test_refresh_rewrites_changed_months_only(spark, tmp_path):
+    import os
+
+    def times(path):
+        return {d: os.stat(path / d).st_mtime_ns for d in os.listdir(path) if d.startswith("month=")}
+
+    path = tmp_path / "mart"
+    rows_of = lambda n: [(f"1997-{i % 6 + 1:02d}-01", i, f"r{i}") for i in range(n)] + [(None, -1, "none")]
+    frame = lambda r: spark.createDataFrame(r, "month string, x long, name string")
+    first = rows_of(60)
+    assert len(marts.refresh_by_month(frame(first), str(path))) == 7
+    assert marts.refresh_by_month(frame(first[::-1]), str(path)) == []
+    before = times(path)
+    changed = [r if r[1] != 13 else (r[0], r[1], "other") for r in first]
+    assert marts.refresh_by_month(frame(changed), str(path)) == ["1997-02-01"]
+    after = times(path)
+    assert {d for d in before if before[d] != after[d]} == {"month=1997-02-01"}
+    gone = [r for r in changed if r[0] not in ("1997-03-01", None)]
+    assert marts.refresh_by_month(frame(gone), str(path)) == ["1997-03-01", "None"]
+    back = marts.read_marts(spark, {"mart": frame(gone)}, str(tmp_path))["mart"]
+    assert sorted(map(tuple, back.select("month", "x", "name").collect())) == sorted(gone)
+    assert [d for d in os.listdir(tmp_path) if d != "mart"] == []
+
+
+def test_views_answer_through_the_catalog(spark):
+    marts.register_views({"vw_a": spark.range(5), "vw_b": spark.range(0)})
+    got = marts.views_of(spark, {"vw_a": "sum(id)", "vw_b": "sum(id)"}).collect()
+    assert [tuple(r) for r in got] == [("vw_a", 5, 10.0), ("vw_b", 0, None)]
