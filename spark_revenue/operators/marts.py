@@ -64,7 +64,7 @@ def refresh_by_month(df: DataFrame, path: str, month: str = "month") -> list[str
     df.write.parquet(staging)
     staged = spark.read.schema(df.schema).parquet(staging)
     fresh = _digests(staged, month)
-    if _exists(spark, f"{path}/_SUCCESS"):
+    if _exists(spark, path):
         stored = _digests(spark.read.schema(df.schema).parquet(path), month)
         stored = stored.select(F.col(month).alias("__month"), F.col("rows").alias("__rows"), F.col("digest").alias("__digest"))
         both = fresh.join(stored, F.col(month).eqNullSafe(F.col("__month")), "full")
