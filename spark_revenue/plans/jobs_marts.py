@@ -234,6 +234,26 @@ job("e02b_bulk_billing_no_date", lambda t: _alone(e.bulk_billing_drop(t.appointm
 job("e03_wait_sla", lambda t: _alone(e.wait_sla_breaches(t.appointments(*_WAITS))))
 job("e04_no_show_reduction", lambda t: _alone(e.no_show_reduction(t.appointments(*_WAITS), t.appointments("scheduled_fee"))))
 job("e05_claim_recovery", lambda t: _alone(e.claim_recovery(_leakage(t))))
+# Clinical specialties for the driver's part types, and fewer bulk-billed visits of two of them in the last month.
+CLINICAL = ["GP", "Mental Health", "Cardiology", "Dental"]
+LAST_MONTH = "1998-11-01"
+
+
+def _clinical(t: DomainTables, *columns: str) -> DataFrame:
+    visits = t.appointments("staff_id", "appointment_id", "appointment_date", "billing_type", *columns)
+    named = F.element_at(F.array(*[F.lit(x) for x in CLINICAL]), (F.col("staff_id") % len(CLINICAL) + 1).cast("int"))
+    dropped = (F.col("staff_id") % 4 == 0) | ((F.col("staff_id") % 4 == 2) & (F.col("appointment_id") % 3 == 0))
+    late = F.col("appointment_date") >= F.lit(LAST_MONTH).cast("date")
+    kept = F.when(late & dropped, F.lit("private")).otherwise(F.col("billing_type"))
+    return visits.withColumns({"specialty": named, "billing_type": kept})
+
+
+job("e02d_bulk_billing_drop", lambda t: _alone(e.bulk_billing_optimisation(
+    _clinical(t).select("specialty", "billing_type", "appointment_date"), _dates(t))))
+job("e03b_wait_sla_levels", lambda t: _alone(e.wait_sla_breaches(_clinical(t, "wait_days"))))
+job("e08_column_discovery", lambda t: e.discover_columns(e.described({
+    "patients": t.patients(), "staff": t.staff(), "appointments": t.appointments(), "satisfaction_surveys": t.surveys(),
+    "billing_claims": t.claims()})))
 job("e06_recommendations", _recs)
 job("e07_totals", lambda t: e.totals(_recs(t)))
 

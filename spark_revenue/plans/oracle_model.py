@@ -1,8 +1,10 @@
 """SQL counterparts of encoder, folds, report and the linear model."""
 
-from .jobs_marts import FIXED_BASE, FIXED_COEFFICIENTS
+from ..operators.recommend import PATTERNS
+from ..sources.binding import _APPOINTMENT_COLUMNS, _CLAIM_EXPRS, _PATIENT_EXPRS, _STAFF_EXPRS, _SURVEY_EXPRS
+from .jobs_marts import CLINICAL, FIXED_BASE, FIXED_COEFFICIENTS, LAST_MONTH
 from .oracle_base import oracle, rnd
-from .oracle_marts import _BAND, MARTS, RULE
+from .oracle_marts import _BAND, _E2, _E2C, _E3, MARTS, RULE
 
 _PARTS = """(SELECT patient_id, unnest(list_distinct(list_transform(string_split_regex(coalesce(chronic_conditions, ''), '[;,]'),
     lambda x: trim(x)))) AS part FROM {0})"""
@@ -46,7 +48,27 @@ _LINEAR = f"""fe AS ({MARTS['f01_churn_features']}), co(feature, mu, sd, coef) A
       FROM fe CROSS JOIN co LEFT JOIN lf ON lf.patient_id = fe.patient_id AND lf.feature = co.feature),
     sc AS (SELECT patient_id, 1/(1 + exp(-({FIXED_BASE} + sum(a))::DOUBLE)) AS pr FROM ad GROUP BY patient_id)"""
 
+_VISITS = f"""visits AS (SELECT * REPLACE ({CLINICAL}[1 + staff_id % {len(CLINICAL)}] AS specialty,
+    CASE WHEN appointment_date >= DATE '{LAST_MONTH}' AND (staff_id % 4 = 0 OR (staff_id % 4 = 2 AND appointment_id % 3 = 0))
+      THEN 'private' ELSE billing_type END AS billing_type) FROM appointments)"""
+_HAS = {
+    "patients": ("patients", _PATIENT_EXPRS), "staff": ("staff", _STAFF_EXPRS), "appointments": ("appointments", _APPOINTMENT_COLUMNS),
+    "satisfaction_surveys": ("surveys", _SURVEY_EXPRS), "billing_claims": ("claims", _CLAIM_EXPRS),
+}
+# Columns that the view of staff leaves out: all NULL, or never.
+_ABSENT = {("staff", "role"): "*", ("staff", "specialty"): "NULL", ("staff", "city"): "*", ("staff", "years_experience"): "*"}
+_COLUMNS_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS t, {i} AS pos, '{c}' AS c, count({_ABSENT.get((name, c), c)}) AS filled FROM {view}"
+    for name, (view, columns) in _HAS.items() for i, c in enumerate(columns))
+_KINDS = ", ".join(f"('{k}', '{p}')" for k, v in PATTERNS.items() for p in v)
+
 MODEL: dict[str, str] = {
+    "e02d_bulk_billing_drop": f"WITH {_VISITS} " + f"{_E2} UNION ALL {_E2C}".replace("FROM appointments", "FROM visits"),
+    "e03b_wait_sla_levels": f"WITH {_VISITS} " + _E3.replace("FROM appointments", "FROM visits"),
+    "e08_column_discovery": f"""WITH co AS ({_COLUMNS_SQL}), ki(kind, pat) AS (VALUES {_KINDS}),
+        hit AS (SELECT DISTINCT t, kind, pos, c, filled FROM co, ki WHERE contains(c, pat)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY t, kind ORDER BY filled = 0, pos) AS k, count(*) OVER (PARTITION BY t, kind) AS hits FROM hit)
+        SELECT t AS table_name, kind, c AS column_name, hits, filled FROM r WHERE k = 1""",
     "f02d_dictionary": f"WITH {_DICTIONARY} SELECT v AS value, i AS \"index\", n AS \"rows\" FROM dict",
     "f02c_sparse_codes": f"""WITH {_DICTIONARY} SELECT p.patient_id, (SELECT count(*) FROM dict) AS size,
         coalesce(string_agg(i::VARCHAR, ',' ORDER BY i), '') AS indices, coalesce(string_agg('1.0', ','), '') AS "values"
