@@ -236,16 +236,16 @@ job("e04_no_show_reduction", lambda t: _alone(e.no_show_reduction(t.appointments
 job("e05_claim_recovery", lambda t: _alone(e.claim_recovery(_leakage(t))))
 # Clinical specialties for the driver's part types, and fewer bulk-billed visits of two of them in the last month.
 CLINICAL = ["GP", "Mental Health", "Cardiology", "Dental"]
-LAST_MONTH = "1998-11-01"
 
 
 def _clinical(t: DomainTables, *columns: str) -> DataFrame:
     visits = t.appointments("staff_id", "appointment_id", "appointment_date", "billing_type", *columns)
     named = F.element_at(F.array(*[F.lit(x) for x in CLINICAL]), (F.col("staff_id") % len(CLINICAL) + 1).cast("int"))
     dropped = (F.col("staff_id") % 4 == 0) | ((F.col("staff_id") % 4 == 2) & (F.col("appointment_id") % 3 == 0))
-    late = F.col("appointment_date") >= F.lit(LAST_MONTH).cast("date")
+    late = F.col("appointment_date") >= F.add_months("__last", -1)
     kept = F.when(late & dropped, F.lit("private")).otherwise(F.col("billing_type"))
-    return visits.withColumns({"specialty": named, "billing_type": kept})
+    last = _dates(t).agg(F.max("appointment_date").alias("__last"))
+    return p.with_scalars(visits, last).withColumns({"specialty": named, "billing_type": kept}).drop("__last")
 
 
 job("e02d_bulk_billing_drop", lambda t: _alone(e.bulk_billing_optimisation(

@@ -2,7 +2,7 @@
 
 from ..operators.recommend import PATTERNS
 from ..sources.binding import _APPOINTMENT_COLUMNS, _CLAIM_EXPRS, _PATIENT_EXPRS, _STAFF_EXPRS, _SURVEY_EXPRS
-from .jobs_marts import CLINICAL, FIXED_BASE, FIXED_COEFFICIENTS, LAST_MONTH
+from .jobs_marts import CLINICAL, FIXED_BASE, FIXED_COEFFICIENTS
 from .oracle_base import oracle, rnd
 from .oracle_marts import _BAND, _E2, _E2C, _E3, MARTS, RULE
 
@@ -49,7 +49,7 @@ _LINEAR = f"""fe AS ({MARTS['f01_churn_features']}), co(feature, mu, sd, coef) A
     sc AS (SELECT patient_id, 1/(1 + exp(-({FIXED_BASE} + sum(a))::DOUBLE)) AS pr FROM ad GROUP BY patient_id)"""
 
 _VISITS = f"""visits AS (SELECT * REPLACE ({CLINICAL}[1 + staff_id % {len(CLINICAL)}] AS specialty,
-    CASE WHEN appointment_date >= DATE '{LAST_MONTH}' AND (staff_id % 4 = 0 OR (staff_id % 4 = 2 AND appointment_id % 3 = 0))
+    CASE WHEN appointment_date >= (SELECT max(appointment_date) FROM appointments) - INTERVAL 1 MONTH AND (staff_id % 4 = 0 OR (staff_id % 4 = 2 AND appointment_id % 3 = 0))
       THEN 'private' ELSE billing_type END AS billing_type) FROM appointments)"""
 _HAS = {
     "patients": ("patients", _PATIENT_EXPRS), "staff": ("staff", _STAFF_EXPRS), "appointments": ("appointments", _APPOINTMENT_COLUMNS),
