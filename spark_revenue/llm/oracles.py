@@ -176,8 +176,9 @@ WITH RECURSIVE c AS (SELECT conv_id || ':' || turn AS call_id, conv_id, conv_id
         regexp_extract(text, '[0-9]+') AS number, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
       FROM conversations WHERE role = 'user'),
 a AS (SELECT *, CASE WHEN coalesce(number, '') <> '' THEN 'look_up' ELSE 'ask' END AS tool, coalesce(to_json(text)::VARCHAR, 'null') AS t FROM c),
-j AS (SELECT *, '{' || CASE WHEN tool = 'look_up' THEN '"number":' || number || ',' ELSE '' END || '"text":' || t || ',"words":' || words || '}' AS arguments,
-        CASE WHEN text IS NULL THEN '["missing:text"]' ELSE '[]' END AS problems FROM a),
+j AS (SELECT *, '{' || CASE WHEN tool <> 'look_up' THEN '' WHEN number = '0' OR number NOT LIKE '0%' THEN '"number":' || number || ','
+          ELSE '"number":"' || number || '",' END || '"text":' || t || ',"words":' || words || '}' AS arguments,
+        CASE WHEN text IS NULL THEN '["missing:text"]' WHEN tool = 'look_up' AND number LIKE '0_%' THEN '["type:number"]' ELSE '[]' END AS problems FROM a),
 n AS (SELECT call_id, min((conv_id, parent_id, tool, arguments, problems)) AS b, count(*) AS n_calls FROM j GROUP BY call_id),
 u AS (SELECT call_id, b[1] AS conv_id, b[2] AS parent_id, b[3] AS tool, b[4] AS arguments, b[5] AS problems, n_calls FROM n),
 l(call_id, level) AS (SELECT call_id, 0 FROM u WHERE parent_id NOT IN (SELECT call_id FROM u)

@@ -10,8 +10,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .shared import Scratch
 
-# Type of an argument: the pattern its text must have.  Strings may be anything.
-TYPES = {"integer": r"^-?[0-9]+$", "number": r"^-?[0-9]+(\.[0-9]+)?$", "boolean": r"^(true|false)$", "string": None}
+# Type of an argument: the pattern its text must have, JSON's own with one form for each value: no leading
+# zeros, no zeros at the end of a fraction, no minus zero, no line break after it.  Strings may be anything.
+_INTEGER = r"0|-?[1-9][0-9]*"
+TYPES = {
+    "integer": rf"\A({_INTEGER})\z", "number": rf"\A({_INTEGER}|-?(0|[1-9][0-9]*)\.[0-9]*[1-9])\z", "boolean": r"\A(true|false)\z",
+    "string": None,
+}
 Schema = dict[str, dict[str, tuple[str, bool]]]
 
 
@@ -59,7 +64,7 @@ def problems(tool: Column, arguments: Column, schemas: Schema) -> Column:
 
 
 def canonical(tool: Column, arguments: Column, schemas: Schema) -> Column:
-    """Arguments as JSON: keys sorted, no spaces, numbers and booleans bare where their text allows."""
+    """Arguments as JSON: keys sorted, no spaces, numbers and booleans bare where their text is JSON, else as strings."""
     kinds = _typed(tool, schemas)
 
     def value(entry: Column) -> Column:

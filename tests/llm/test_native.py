@@ -1,6 +1,7 @@
 """Mixing, quality rules, secrets, licenses and tool calls on small cases."""
 
 import hashlib
+import json
 import re
 from re import _parser
 from re._constants import BRANCH, IN, LITERAL, MAX_REPEAT, SUBPATTERN
@@ -168,3 +169,23 @@ def test_long_chains_need_few_rounds(spark):
     turns = spark.createDataFrame([(1, t, "user" if t % 2 == 0 else "assistant", f"t {t}") for t in range(300)], "conv_id long, turn long, role string, text string")
     out = tool_calls.link(*tool_calls.calls_of(turns), tool_calls.CHAT_SCHEMAS).collect()
     assert [r["level"] for r in out] == list(range(150)) and all(r["status"] == "linked" and r["valid"] for r in out)
+
+
+def test_every_row_is_json_in_canonical_form(spark):
+    """Leading zeros, closing line breaks and other spellings of a number become strings and a problem."""
+    kinds = {"f": {"i": ("integer", False), "n": ("number", False), "b": ("boolean", False)}}
+    good = [("i", "0"), ("i", "-12"), ("n", "0.5"), ("n", "-0.25"), ("n", "10"), ("b", "true")]
+    bad = [("i", "007"), ("i", "-0"), ("i", "1\n"), ("i", "+1"), ("n", "1.50"), ("n", "1."), ("n", ".5"), ("n", "1e3"), ("n", "00.5"), ("b", "True"), ("b", "true\n")]
+    rows = [(f"c{k}", k, None, "f", {a: v}) for k, (a, v) in enumerate(good + bad)]
+    frame = spark.createDataFrame(rows, "call_id string, conv_id long, parent_id string, tool string, arguments map<string,string>")
+    results = spark.createDataFrame([("c1", 'line\n"x" \\ é')], "call_id string, content string")
+    out = {r["conv_id"]: r for r in tool_calls.link(frame, results, kinds).collect()}
+    for k, (name, text) in enumerate(good + bad):
+        said = json.loads(out[k]["json"])
+        assert out[k]["valid"] == (k < len(good)), text
+        assert said["problems"] == ([] if k < len(good) else [f"type:{name}"])
+        assert said["arguments"][name] == (json.loads(text) if k < len(good) else text)
+    assert json.loads(out[1]["json"])["result"] == 'line\n"x" \\ é'
+    turns = spark.createDataFrame([(1, 0, "user", "agent 007"), (2, 0, "user", "agent 70"), (3, 0, "user", "room 0")], "conv_id long, turn long, role string, text string")
+    found = {r["conv_id"]: (json.loads(r["json"])["arguments"]["number"], r["valid"]) for r in tool_calls.link(*tool_calls.calls_of(turns), tool_calls.CHAT_SCHEMAS).collect()}
+    assert found == {1: ("007", False), 2: (70, True), 3: (0, True)}
