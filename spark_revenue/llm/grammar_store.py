@@ -14,7 +14,6 @@ import struct
 import sys
 import zlib
 from collections.abc import Iterator
-from itertools import filterfalse
 from pathlib import Path
 from types import SimpleNamespace
 from typing import NamedTuple
@@ -30,9 +29,8 @@ from .shared import Scratch
 END_ID = 2
 # A block closes at this many ids, or after the document that passes it.
 BLOCK_IDS = 1 << 21
-ROUNDS = 4
 PAIRS_PER_ROUND = 3072
-LEAST_COUNT = 16
+LEAST_COUNT = 2
 # With the tokenizer's 49,408 ids, symbols up to this stay within 16 bits.
 MOST_SYMBOLS = 1 << 16
 MAGIC = b"RPG1"
@@ -79,19 +77,18 @@ def _slots(keys: np.ndarray) -> np.ndarray:
     return (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _TABLE_BITS)
 
 
-def compress(ids: np.ndarray, starts: np.ndarray, first: int, rounds: int = ROUNDS) -> Grammar:
+def compress(ids: np.ndarray, starts: np.ndarray, first: int) -> Grammar:
     """Re-Pair over the documents that begin at ``starts`` (the last entry is the end).
 
-    Each round replaces the most frequent pairs at once, leftmost first where occurrences overlap.
+    Each round replaces the most frequent pairs at once, leftmost first where occurrences overlap.  It ends where
+    no pair occurs twice, or no number is left for a symbol.
     """
     wide = first >= MOST_SYMBOLS or (len(ids) > 0 and int(ids.max()) >= first)
     first = max(first, int(ids.max()) + 1 if len(ids) else 0)
     most_rules = (1 << 31) - first if wide else MOST_SYMBOLS - first
     symbols, bounds = ids.astype(np.uint32), starts.astype(np.int64)
     left, right = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
+    while len(symbols) > 1:
         keys = _joined(symbols[:-1], symbols[1:], wide)
         cuts = bounds[1:-1]
         cuts = cuts[(cuts > 0) & (cuts < len(symbols))] - 1
@@ -195,8 +192,8 @@ class WordEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids, self.counts, self.seen = [], [], np.zeros(0, np.int32)
+        self.known = pa.array([], pa.large_string())
+        self.ids, self.counts, self.fresh, self.seen = [], [], [], np.zeros(0, np.int32)
 
     def _forget(self) -> None:
         """Keep the words that occurred in several batches, at most half of what may be kept."""
@@ -205,7 +202,7 @@ class WordEncoder:
         while (self.seen >= least).sum() > _WORDS_KEPT // 2:
             least *= 2
         keep = self.seen >= least
-        self.known = {w: k for k, w in enumerate(w for w, k in zip(self.known, keep.tolist(), strict=True) if k)}
+        self.known = self.known.filter(pa.array(keep))
         self.ids, self.counts = [ids[np.repeat(keep, counts)]], [counts[keep]]
         self.seen = np.ones(int(keep.sum()), np.int32)
 
@@ -244,8 +241,7 @@ class WordEncoder:
     def _add(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         if len(words) != len(counts):
             raise ValueError("the tokenizer joins pieces that white space or marks part")
-        n = len(self.known)
-        self.known.update(zip(words, range(n, n + len(words)), strict=True))
+        self.fresh += words
         self.counts.append(counts)
         self.ids.append(ids)
 
@@ -260,26 +256,43 @@ class WordEncoder:
         if pc.any(pc.match_substring(texts, "<|")).as_py():
             lowered = pc.if_else(pc.match_substring(flat, "<|"), flat, lowered)
         flat = lowered.dictionary_encode()
-        words = flat.dictionary.to_pylist()
-        if self.known and len(self.known) + len(words) > _WORDS_KEPT:
+        words = flat.dictionary
+        if len(self.known) and len(self.known) + len(words) > _WORDS_KEPT:
             self._forget()
-        self._learn(list(filterfalse(self.known.__contains__, words)))
+        index = pc.index_in(words, value_set=self.known)
+        new = words.filter(index.is_null())
+        self._learn(new.to_pylist())
+        learned, n = pa.array(self.fresh, pa.large_string()), len(self.known)
+        self.known, self.fresh = pa.concat_arrays([self.known, learned]), []
+        unknown = index.is_null().to_numpy(zero_copy_only=False)
+        index = index.fill_null(0).to_numpy().astype(np.int32)
+        index[unknown] = pc.index_in(new, value_set=learned).to_numpy() + n
         ids = np.concatenate([np.zeros(0, np.int32), *self.ids])
         counts = np.concatenate([np.zeros(0, np.int64), *self.counts])
         self.ids, self.counts = [ids], [counts]
-        index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         self.seen = np.concatenate([self.seen, np.zeros(len(counts) - len(self.seen), np.int32)])
         self.seen[index] += 1
-        first = np.cumsum(counts) - counts
-        entry = index[flat.indices.to_numpy()]
-        n = counts[entry]
-        before = np.cumsum(n) - n
-        out = ids[np.arange(n.sum()) + np.repeat(first[entry] - before, n)]
-        upto = np.concatenate([[0], np.cumsum(n)])
+        # The batch's own words first, so that the lookup for every word stays small.
+        own = _lists(ids, counts).take(pa.array(index))
+        # A stretch of words at a time keeps the offsets within 32 bits.
+        found, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        for i in range(0, len(flat), 1 << 24):
+            lists = own.take(flat.indices.slice(i, 1 << 24))
+            found.append(lists.values.to_numpy())
+            sizes.append(np.diff(lists.offsets.to_numpy()))
+        out = np.concatenate(found) if len(found) > 2 else found[-1]
+        upto = np.zeros(len(flat) + 1, np.int64)
+        np.cumsum(np.concatenate(sizes), out=upto[1:])
         offsets = split.offsets.to_numpy() - split.offsets[0].as_py() if len(split) else np.zeros(1, np.int64)
         return out, np.diff(upto[offsets])
 
 
+def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    offsets = np.zeros(len(counts) + 1, np.int32)
+    np.cumsum(counts, out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
 def _encoder(definition: str) -> WordEncoder:
     """The encoder of this Python worker, which Spark keeps for later tasks, with the words it knows."""
     held = sys.modules.setdefault("_grammar_store_worker", SimpleNamespace(definition=None))
