@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import kernels
-from .shared import Scratch, hash_filter
+from .filters import Filter
+from .shared import Scratch
 
 LENGTH = 200
 ANCHOR = 80
 SHALLOW = 16
-FILTER_BITS = 24
 # A larger group of different contexts is compared by hashes of its strings, which spread over tasks.
 MOST_CONTEXTS = 4096
 # Up to this many contexts are compared two by two; larger groups by classes of each depth.
@@ -44,14 +44,32 @@ def anchors(data: np.ndarray, starts: np.ndarray, length: int = LENGTH, anchor:
     piece = data[starts[0] : starts[-1]]
     bounds = (starts - starts[0]).astype(np.int64)
     n = len(piece) - length + 1
-    none = np.zeros(0, np.int64)
     if n <= 0:
-        return none.astype(_U), none.astype(_U), none, none, none, none
+        return _anchors_in(piece, np.zeros(0, bool), length, anchor)[:2] + (np.zeros(0, np.int64),) * 4
+    late = np.zeros(len(piece) + 1, np.int32)
+    np.add.at(late, np.maximum(bounds[:-1], bounds[1:] - length + 1), 1)
+    np.add.at(late, bounds[1:], -1)
+    fits = np.cumsum(late[:n]) == 0
+    # A long row is read in parts that overlap by a string less a byte, so that places within a part don't wrap
+    # and memory stays bounded.  A context cut here is two contexts; they have no string in common.
+    step = _PLACES - length
+    parts = [(s, _anchors_in(piece[s : s + step + length - 1], fits[s : s + step], length, anchor)) for s in range(0, n, step)]
+    h, c = (np.concatenate([p[k] for _, p in parts]) for k in (0, 1))
+    first, last, at = (np.concatenate([p[k] + s for s, p in parts]) for k in (2, 3, 4))
+    row = np.searchsorted(bounds, first, "right") - 1
+    return h, c, row, first + int(starts[0]), last + int(starts[0]), at - first
+
+
+def _anchors_in(piece: np.ndarray, fits: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """Anchor and context hashes, first and last byte and anchor of the contexts of strings that start where ``fits``."""
+    begin, none = np.flatnonzero(fits), np.zeros(0, np.int64)
+    if not len(begin):
+        return none.astype(_U), none.astype(_U), none, none, none
     sums = kernels.prefix(piece.astype(_U) + _U(1))
     _, down = kernels.powers(len(piece) + 1)
     grams = kernels.mix((sums[anchor:] - sums[:-anchor]) * down[: len(sums) - anchor])
     mask = _U(_PLACES - 1)
-    place = np.arange(len(grams), dtype=np.uint64) & mask
+    place = np.arange(len(grams), dtype=np.uint64)
     key = (grams & ~mask) | (mask - place)
     width = length - anchor + 1
     padded = np.full(-(-len(key) // width) * width, np.iinfo(np.uint64).max, _U)
@@ -59,23 +77,15 @@ def anchors(data: np.ndarray, starts: np.ndarray, length: int = LENGTH, anchor:
     rows = padded.reshape(-1, width)
     ahead = np.minimum.accumulate(rows, axis=1).ravel()
     behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
+    n = len(fits)
     least = np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
-    late = np.zeros(len(piece) + 1, np.int32)
-    np.add.at(late, np.maximum(bounds[:-1], bounds[1:] - length + 1), 1)
-    np.add.at(late, bounds[1:], -1)
-    begin = np.flatnonzero(np.cumsum(late[:n]) == 0)
-    if not len(begin):
-        return none.astype(_U), none.astype(_U), none, none, none, none
     at = (mask - (least[begin] & mask)).astype(np.int64)
-    # Places are kept modulo a power of two that is larger than a stretch, but for one very long row.
-    at += (begin - at + _PLACES - 1) // _PLACES * _PLACES
     edge = np.flatnonzero(np.concatenate([[True], (np.diff(begin) != 1) | (np.diff(at) != 0)]))
     first, last = begin[edge], begin[np.concatenate([edge[1:], [len(begin)]]) - 1] + length
     at = at[edge]
     whole = kernels.mix((sums[last] - sums[first]) * down[first] + (last - first).astype(_U) * _U(kernels.BASE) + (at - first).astype(_U))
-    row = np.searchsorted(bounds, first, "right") - 1
     # Least hashes crowd at zero; mixed once more they spread over the filter's bits.
-    return kernels.mix(grams[at]), whole, row, first + int(starts[0]), last + int(starts[0]), at - first
+    return kernels.mix(grams[at]), whole, first, last, at
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -232,22 +242,16 @@ def _found_anchors(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarr
         yield a, data, starts, anchors(data, starts[a : b + 1])
 
 
-def _passing(hashes: np.ndarray, allowed: np.ndarray) -> np.ndarray:
-    bit = hashes >> _U(64 - FILTER_BITS)
-    return ((allowed[(bit >> _U(3)).astype(np.int64)] >> (bit & _U(7)).astype(np.uint8)) & 1).astype(bool)
-
-
 def _emit(passes, context_bytes: bool):
     """Anchors of every row: their hash alone, or where they pass the filter the context as well."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        allowed = np.frombuffer(passes.value, np.uint8) if passes is not None else None
         for batch in batches:
             for a, data, starts, (h, c, row, first, last, at) in _found_anchors(batch.column("text")):
-                if allowed is None:
+                if passes is None:
                     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
                     continue
-                ok = np.flatnonzero(_passing(c if context_bytes else h, allowed))
+                ok = np.flatnonzero(passes(c if context_bytes else h))
                 if context_bytes:
                     ok = ok[np.unique(c[ok], return_index=True)[1]]
                     texts = [data[x:y].tobytes() for x, y in zip(first[ok], last[ok], strict=True)]
@@ -333,18 +337,15 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def covered(scratch: Scratch, texts: DataFrame) -> DataFrame:
     """``(t1, t2, parts)``: the repeated parts of each text of ``(t1, t2, text)`` that has any."""
-    spark = texts.sparkSession
     every = texts.select("text").mapInArrow(_emit(None, False), "h long")
     shared = scratch.save(every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "shared")
-    passes = spark.sparkContext.broadcast(hash_filter(shared, "h", FILTER_BITS))
-    places = texts.mapInArrow(_emit(passes, False), "h long, c long, t1 long, t2 long, start long, size int")
+    places = texts.mapInArrow(_emit(Filter(shared, "h"), False), "h long, c long, t1 long, t2 long, start long, size int")
     places = scratch.save(places, "places")
     contexts = places.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
     contexts = scratch.save(contexts, "contexts")
     several = contexts.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
     asked = scratch.save(contexts.join(several, "h").select("h", "c", "n", "kinds"), "asked")
-    chosen = spark.sparkContext.broadcast(hash_filter(asked, "c", FILTER_BITS))
-    found = texts.select("text").mapInArrow(_emit(chosen, True), "h long, c long, at int, context binary")
+    found = texts.select("text").mapInArrow(_emit(Filter(asked, "c"), True), "h long, c long, at int, context binary")
     found = found.groupBy("h", "c").agg(F.max("at").alias("at"), F.max("context").alias("context"))
     group = scratch.save(found.join(asked, ["h", "c"]), "groups")
     in_order = group.filter(F.col("kinds") <= MOST_CONTEXTS).repartition("h").sortWithinPartitions("h", "c")
@@ -369,7 +370,7 @@ def remove_repeats(docs: DataFrame, *, text: str = "text", ident: str = "doc_id"
 
     A byte is removed where a 200-byte string over it starts anywhere else too, in this or another row.
     Null texts are empty, shorter texts stay whole, and repeated rows remove each other.  An empty table
-    stays empty; other columns don't matter.
+    stays empty; other columns don't matter.  Texts beyond 4 MB are read in overlapping parts, with the same result.
     """
     scratch = Scratch(docs.sparkSession)
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -381,6 +382,7 @@ def remove_repeats(docs: DataFrame, *, text: str = "text", ident: str = "doc_id"
     )
     copies = rows.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
     parts = scratch.save(covered(scratch, keyed.select("t1", "t2", "text")).join(copies, ["t1", "t2"], "left_anti"), "parts")
+    scratch.drop("shared", "places", "contexts", "asked", "groups")
     # A text with copies goes whole, so only other texts are read again.
     cut = scratch.save(
         keyed.select("t1", "t2", "text").join(parts.hint("shuffle_hash"), ["t1", "t2"]).mapInArrow(

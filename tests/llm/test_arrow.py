@@ -57,6 +57,30 @@ def test_suffix_dedup(documents, monkeypatch, most):
     assert suffix_dedup.remove_repeats(documents([])).count() == 0
 
 
+def test_periodic_runs_across_a_part_of_a_long_text(documents, monkeypatch):
+    """Equal strings over the place where a long text is parted keep one anchor, ties included."""
+    monkeypatch.setattr(suffix_dedup, "_PLACES", 2048)
+    r = random.Random(8)
+    for size in (260, 330, 420):
+        run = "".join(r.choice("abc") for _ in range(7)) * 80
+        noise = lambda n: "".join(r.choice("defghijklmnop") for _ in range(n))
+        texts = [noise(1848 * k - size // 2) + run[:size] + noise(1500) for k in (1, 2, 3)] + [noise(40) + run[:size] + noise(9), noise(6000)]
+        out = by_id(suffix_dedup.remove_repeats(documents(list(enumerate(texts)))))
+        for i, want in enumerate(brute_removal([t.encode() for t in texts])):
+            assert (out[i]["n_bytes"], out[i]["n_removed"], out[i]["n_spans"], out[i]["kept_sha256"]) == want, (size, i)
+
+
+def test_text_beyond_the_parts(documents):
+    """A row of 5 MB with a periodic run over byte 4,194,304 and the same run in a short row."""
+    r = random.Random(9)
+    noise = lambda n: "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    run = "0123456" * 60
+    texts = [noise(4_194_304 - 200) + run + noise(800_000), noise(50) + run + noise(50)]
+    out = by_id(suffix_dedup.remove_repeats(documents(list(enumerate(texts)))))
+    assert all(out[i]["n_removed"] == len(run) and out[i]["n_spans"] == 1 for i in (0, 1))
+    assert out[0]["kept_sha256"] == hashlib.sha256(texts[0].replace(run, "").encode()).hexdigest()
+
+
 def test_many_contexts_agree_with_few(monkeypatch):
     r = random.Random(5)
     for _ in range(100):
@@ -94,10 +118,11 @@ def test_token_grammar(documents):
     for r in out:
         assert r["start"] == at
         at += r["n_tokens"]
-    for i in (0, 1, 2, 4, 5):
-        ids = [*whole.encode(texts[i] or "", add_special_tokens=False).ids, 2]
-        r = next(x for x in out if x["doc_id"] == i)
-        assert (r["n_tokens"], r["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    want = Counter()
+    for ident, text in rows:
+        ids = [*whole.encode(text or "", add_special_tokens=False).ids, 2]
+        want[ident, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())] += 1
+    assert Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in out) == want
     assert grammar_store.tokenise(documents([]), tokenizer_path()).count() == 0
 
 
