@@ -3,20 +3,20 @@
 A source's expected copies per document are its target over its size.  Its documents are laid in a
 line, longest first; the prefix sum of expected copies plus one random offset crosses integers, and a
 document is taken once for each integer it crosses.  Neighbours in the line are about equally long, so
-a source's taken words differ from its target by no more than about its longest document.
+a source's taken words differ from its target by no more than about its longest document.  Places in the
+line come from a two-level prefix scan, so that a source, or a size within it, may hold any share of the rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .shared import n_words, without
+from ..functions.ordered import ordered_measures
+from .shared import Scratch, n_words, without
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 CAP = 2
-# Ids that differ only in their last bits share a block; a block is the most that one window sorts.
-BLOCK_BITS = 12
 
 
 def _source_key(source: Column) -> Column:
@@ -68,53 +68,35 @@ def mix(
 ) -> DataFrame:
     """Every row of ``docs`` with ``size, source_size, target, copies, taken``.
 
-    A null text has no words, a null source is a source of its own, null ids sort first, an empty table
-    stays empty, and rows that share an id are placed one after another.  Input columns with one of the
-    five names are replaced.  ``ident`` must be an integer column.
+    A null text has no words, a null source is a source of its own, null ids sort first, and an empty table
+    stays empty.  Rows of one size, source and id follow the hash of their text; rows that agree in that as well
+    share a task.  A very long text is counted whole, in one row.  Input columns with one of the five names are
+    replaced.  ``ident`` must be an integer column.
     """
-    lined = (
-        without(docs, "size", "source_size", "target", "copies", "taken")
-        .withColumn("__size", n_words(F.col(text)))
-        .withColumn("__key", _source_key(F.col(source)))
-        .withColumn("__block", F.shiftright(F.col(ident).cast("long"), BLOCK_BITS))
+    outputs = ["size", "source_size", "target", "copies", "taken"]
+    clean = without(docs, *outputs)
+    # Under names of this function, whatever the columns are called.
+    lined = clean.select(
+        *[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(clean.columns)],
+        F.col(ident).cast("long").alias("__id"), F.xxhash64(F.col(text)).alias("__hash"), n_words(F.col(text)).alias("__size"),
+        F.col(source).alias("__source"), _source_key(F.col(source)).alias("__key"),
     )
-    # One row per (source, size, block of ids): all the bookkeeping below is on these counts.
-    blocks = lined.groupBy("__key", "__size", "__block").agg(
-        F.count(F.lit(1)).alias("__n"), F.first(F.col(source)).alias("__source")
+    sources = lined.groupBy("__key").agg(F.first("__source").alias("__source"), F.sum("__size").alias("__source_size"))
+    # Written, so that Spark knows the size when it picks the join.
+    targets = Scratch(docs.sparkSession).save(source_targets(sources, weights, share, cap), "targets")
+    line = ordered_measures(
+        lined.drop("__source"), ["__key"], "__size", "__id", value_desc=True, then_by=["__hash"], row_number="__place"
     )
-    sizes = blocks.groupBy("__key", "__size").agg(F.sum("__n").alias("__n"), F.first("__source").alias("__source"))
-    sources = sizes.groupBy("__key").agg(
-        F.first("__source").alias("__source"), F.sum(F.col("__size") * F.col("__n")).alias("__source_size")
-    )
-    preceding = (Window.unboundedPreceding, -1)
-    longer = Window.partitionBy("__key").orderBy(F.desc("__size")).rowsBetween(*preceding)
-    earlier = Window.partitionBy("__key", "__size").orderBy(F.asc_nulls_first("__block")).rowsBetween(*preceding)
-    starts = sizes.select("__key", "__size", F.coalesce(F.sum("__n").over(longer), F.lit(0)).alias("__longer"))
-    block_starts = blocks.select(
-        "__key", "__size", F.coalesce("__block", F.lit(-(1 << 62))).alias("__block"),
-        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__earlier"),
-    )
-    placed = (
-        block_starts.join(starts, ["__key", "__size"]).join(
-            source_targets(sources, weights, share, cap), "__key"
-        )
-    )
-    inside = Window.partitionBy("__key", "__size", "__block").orderBy(F.asc_nulls_first(ident))
-    ranked = lined.withColumn("__block", F.coalesce("__block", F.lit(-(1 << 62)))).withColumn(
-        "__inside", F.row_number().over(inside)
-    )
-    place = F.col("__longer") + F.col("__earlier") + F.col("__inside")
     rate = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size")).otherwise(0.0)
     upto = F.floor(F.col("__place") * F.col("__per_doc") + F.col("__u"))
     before = F.floor((F.col("__place") - 1) * F.col("__per_doc") + F.col("__u"))
     return (
-        ranked.join(placed, ["__key", "__size", "__block"])
-        .withColumn("__place", place)
+        line.join(targets, "__key")
         .withColumn("__per_doc", rate)
         .withColumn("__u", _offset(F.col("__key"), seed))
         .withColumn("copies", F.least(upto - before, F.lit(cap)).cast("long"))
         .select(
-            *[f"`{c}`" for c in without(docs, "size", "source_size", "target", "copies", "taken").columns],
+            *[F.col(f"__c{i}").alias(c) for i, c in enumerate(clean.columns)],
             F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
             F.col("__target").alias("target"), "copies", (F.col("copies") * F.col("__size")).alias("taken"),
         )
