@@ -24,20 +24,16 @@ n AS (SELECT *, least(floor(place * per_doc + u) - floor((place - 1) * per_doc +
 SELECT doc_id, size::BIGINT AS size, source_size, target, copies, copies * size AS taken FROM n"""
 
 _FENCES = ", ".join(
-    f"max(CASE WHEN measure = '{m}' THEN q3 + greatest(3 * (q3 - q1), {slack}) END) AS hi_{m}"
-    + (f", max(CASE WHEN measure = '{m}' THEN q1 - greatest(3 * (q3 - q1), {slack}) END) AS lo_{m}" if low else "")
-    for m, slack, low in [
+    f"max(CASE WHEN measure = '{m}' THEN q3 + greatest(3 * (q3 - q1), least({most}, high - q3)) END) AS hi_{m}"
+    + (f", max(CASE WHEN measure = '{m}' THEN q1 - greatest(3 * (q3 - q1), least({most}, q1 - low)) END) AS lo_{m}" if low else "")
+    for m, most, low in [
         ("word_length", 400, True), ("symbol_rate", 40, False), ("dup_line_rate", 500, False), ("repeat_rate", 300, False),
     ]
 )
 
 
-def _quartile(keys: str) -> str:
-    group = f"{keys}, measure" if keys else "measure"
-    return f"""SELECT {group}, max(docs) AS docs, min(CASE WHEN upto * 4 >= docs THEN bin END) AS q1,
-        min(CASE WHEN upto * 4 >= docs * 3 THEN bin END) AS q3 FROM (
-      SELECT {group}, bin, sum(n) OVER (PARTITION BY {group} ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY {group}) AS docs
-      FROM (SELECT {group}, bin, sum(n) AS n FROM sk GROUP BY {group}, bin)) GROUP BY {group}"""
+def _bin(value: str) -> str:
+    return f"{value} - {value} % (1::BIGINT << greatest(length(bin({value})) - 7, 0))"
 
 
 ORACLE["op3_quality_rules"] = rf"""
@@ -55,20 +51,30 @@ m AS (SELECT *, CASE WHEN n_words > 0 THEN word_chars * 100 // n_words ELSE 0 EN
         CASE WHEN word_chars > 0 THEN n_symbols * 1000 // word_chars ELSE 0 END AS symbol_rate,
         CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines ELSE 0 END AS dup_line_rate,
         CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END AS repeat_rate FROM b),
-u AS (UNPIVOT (SELECT doc_id, lang, source, word_length, symbol_rate, dup_line_rate, repeat_rate FROM m)
+u AS (UNPIVOT (SELECT lang, source, word_length, symbol_rate, dup_line_rate, repeat_rate FROM m
+        WHERE n_words >= 20 AND 100 * n_repeat_words <= 30 * n_words)
         ON word_length, symbol_rate, dup_line_rate, repeat_rate INTO NAME measure VALUE v),
-sk AS (SELECT lang, source, measure, v - v % (1::BIGINT << greatest(length(bin(v)) - 7, 0)) AS bin, count(*) AS n FROM u GROUP BY ALL),
-own AS ({_quartile("lang, source")}), bl AS ({_quartile("lang")}), al AS ({_quartile("")}),
-q AS (SELECT own.lang, own.source, own.measure,
-        CASE WHEN own.docs >= 200 THEN own.q1 WHEN bl.docs >= 200 THEN bl.q1 ELSE al.q1 END AS q1,
-        CASE WHEN own.docs >= 200 THEN own.q3 WHEN bl.docs >= 200 THEN bl.q3 ELSE al.q3 END AS q3
-      FROM own JOIN bl ON own.measure = bl.measure AND own.lang IS NOT DISTINCT FROM bl.lang JOIN al ON own.measure = al.measure),
+sk AS (SELECT lang, source, measure, {_bin("v")} AS bin, count(*) AS n FROM u GROUP BY ALL),
+al AS (SELECT measure, bin, sum(n) OVER (PARTITION BY measure ORDER BY bin) * 1000000 // sum(n) OVER (PARTITION BY measure) AS share
+      FROM (SELECT measure, bin, sum(n) AS n FROM sk GROUP BY ALL)),
+lg AS (SELECT lang, measure, sum(n) AS docs FROM sk GROUP BY ALL), lb AS (SELECT lang, measure, bin, sum(n) AS n FROM sk GROUP BY ALL),
+bl AS (SELECT lg.lang, al.measure, al.bin,
+        (sum(coalesce(lb.n, 0)) OVER (PARTITION BY lg.lang, al.measure ORDER BY al.bin) * 1000000 + 200 * share) // (docs + 200) AS share
+      FROM lg JOIN al USING (measure) LEFT JOIN lb ON lb.lang IS NOT DISTINCT FROM lg.lang AND lb.measure = al.measure AND lb.bin = al.bin),
+og AS (SELECT lang, source, measure, sum(n) AS docs FROM sk GROUP BY ALL),
+ow AS (SELECT og.lang, og.source, og.measure, bl.bin, docs + 200 AS docs,
+        sum(coalesce(sk.n, 0)) OVER (PARTITION BY og.lang, og.source, og.measure ORDER BY bl.bin) * 1000000 + 200 * share AS upto
+      FROM og JOIN bl ON bl.lang IS NOT DISTINCT FROM og.lang AND bl.measure = og.measure
+      LEFT JOIN sk ON sk.lang IS NOT DISTINCT FROM og.lang AND sk.source IS NOT DISTINCT FROM og.source
+        AND sk.measure = og.measure AND sk.bin = bl.bin),
+q AS (SELECT lang, source, measure, min(bin) FILTER (upto >= docs * 5000) AS low, min(bin) FILTER (upto >= docs * 250000) AS q1,
+        min(bin) FILTER (upto >= docs * 750000) AS q3, min(bin) FILTER (upto >= docs * 995000) AS high FROM ow GROUP BY ALL),
 f AS (SELECT lang, source, {_FENCES} FROM q GROUP BY lang, source),
 j AS (SELECT m.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-        word_length > hi_word_length OR word_length < lo_word_length OR symbol_rate > hi_symbol_rate
-          OR dup_line_rate > hi_dup_line_rate OR repeat_rate > hi_repeat_rate AS beyond
-      FROM m JOIN f ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT beyond AS kept FROM j"""
+        {_bin("word_length")} > hi_word_length OR {_bin("word_length")} < lo_word_length OR {_bin("symbol_rate")} > hi_symbol_rate
+          OR {_bin("dup_line_rate")} > hi_dup_line_rate OR {_bin("repeat_rate")} > hi_repeat_rate AS beyond
+      FROM m LEFT JOIN f ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(beyond, false) AS kept FROM j"""
 
 
 def _quoted(text: str) -> str:

@@ -1,9 +1,10 @@
 """Quality rules whose cut-offs adapt to each language and source.
 
-Every document gets integer measures.  Their distribution per (language, source) is kept as a sketch of
-counts per bin, where a bin keeps the seven leading bits of a value (relative error below 1/64).  Such
-sketches merge by adding counts, so a group with too few documents borrows the sketch of its language,
-and that the one of all documents.  A measure beyond the quartile fences of its group rejects.
+Every document gets integer measures.  Their distribution per (language, source) over the documents that
+pass the base rule is kept as a sketch of counts per bin, where a bin keeps the seven leading bits of a
+value (relative error below 1/64).  Such sketches merge by adding counts: a group's own is blended with its
+language's as if that held ``PRIOR`` documents more, and a language's with that of all documents, so a group's
+cut-offs move smoothly from its parent's to its own as it grows.  A measure beyond the fences rejects.
 """
 
 from __future__ import annotations
@@ -15,11 +16,15 @@ from .shared import Scratch, let, without, words
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-# A group with fewer documents than this takes the next coarser sketch.
-MIN_GROUP = 200
+# What the parent's sketch weighs in a group's, in documents.
+PRIOR = 200
 IQR_FACTOR = 3
+# The tail beyond which a fence need not lie where the quartiles tell no spread, in parts of UNIT.
+TAIL = 5_000
+# Shares are integers, parts of this, so that every engine finds the same bins.
+UNIT = 1_000_000
 SYMBOLS = r"[#*$%&|<>]"
-# Measure: (least distance of the fences from the quartiles, whether low values reject as well).
+# Measure: (how far the tail may push a fence beyond its quartile, whether low values reject as well).
 MEASURES = {
     "word_length": (400, True),      # hundredths of a character per word
     "symbol_rate": (40, False),      # symbols per thousand characters of words
@@ -110,55 +115,66 @@ def sketches(measured: DataFrame, lang: str, source: str) -> DataFrame:
     )
 
 
-def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Quartiles and the number of documents of each sketch; a sketch has few hundred bins."""
-    group = Window.partitionBy(*keys, "measure")
-    merged = sketch.groupBy(*keys, "measure", "bin").agg(F.sum("n").alias("n"))
-    ranked = merged.select(
-        *keys, "measure", "bin", F.sum("n").over(group.orderBy("bin")).alias("upto"), F.sum("n").over(group).alias("docs")
-    )
-    at = lambda p: F.min(F.when(F.col("upto") * 4 >= F.col("docs") * p, F.col("bin")))
-    return ranked.groupBy(*keys, "measure").agg(
-        F.max("docs").alias("docs"), at(1).alias("q1"), at(3).alias("q3")
-    )
+def _blended(sketch: DataFrame, keys: list[str], parent: DataFrame | None, parent_keys: list[str], prior: int) -> DataFrame:
+    """Per group, measure and bin of the parent: ``upto`` of ``docs * UNIT`` lie in that bin or below.
 
-
-def thresholds(sketch: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """One row per (language, source) with the fences ``lo_<measure>`` and ``hi_<measure>``."""
-    own = _quartiles(sketch, ["__lang", "__source"])
-    by_lang = _quartiles(sketch, ["__lang"]).select(
-        F.col("__lang").alias("l"), F.col("measure").alias("lm"), F.col("docs").alias("ln"),
-        F.col("q1").alias("l1"), F.col("q3").alias("l3"),
-    )
-    overall = _quartiles(sketch, []).select(
-        F.col("measure").alias("am"), F.col("q1").alias("a1"), F.col("q3").alias("a3")
-    )
-    joined = own.join(by_lang, F.col("__lang").eqNullSafe(F.col("l")) & (F.col("measure") == F.col("lm"))).join(
-        overall, F.col("measure") == F.col("am")
-    )
-    pick = lambda a, b, c: (
-        F.when(F.col("docs") >= min_group, F.col(a)).when(F.col("ln") >= min_group, F.col(b)).otherwise(F.col(c))
+    Own documents count ``UNIT``, and the parent's share is added as ``prior`` documents.  A sketch has some
+    hundred bins, so this has that many rows for each group.
+    """
+    running = Window.partitionBy(*keys, "measure").orderBy("bin")
+    counts = sketch.groupBy(*keys, "measure", "bin").agg(F.sum("n").alias("n"))
+    if parent is None:
+        every = Window.partitionBy(*keys, "measure")
+        return counts.select(
+            *keys, "measure", "bin", (F.sum("n").over(running) * UNIT).alias("upto"), F.sum("n").over(every).alias("docs")
+        )
+    above = parent.select(*[F.col(k).alias(f"p{k}") for k in parent_keys], F.col("measure").alias("pm"), "bin", F.expr("upto div docs").alias("share"))
+    groups = counts.groupBy(*keys, "measure").agg((F.sum("n") + prior).alias("docs"))
+    under = F.col("measure") == F.col("pm")
+    for k in parent_keys:
+        under = under & F.col(k).eqNullSafe(F.col(f"p{k}"))
+    own = counts.select(*[F.col(k).alias(f"o{k}") for k in keys], F.col("measure").alias("om"), F.col("bin").alias("ob"), "n")
+    same = (F.col("measure") == F.col("om")) & (F.col("bin") == F.col("ob"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"o{k}"))
+    upto = F.sum(F.coalesce("n", F.lit(0))).over(running) * UNIT + F.col("share") * prior
+    return groups.join(above, under).join(own, same, "left").select(*keys, "measure", "bin", upto.alias("upto"), "docs")
+
+
+def thresholds(sketch: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """One row per (language, source) with the fences ``lo_<measure>`` and ``hi_<measure>``, which are bins.
+
+    A fence lies three interquartile ranges from the quartile.  Where the quartiles are close or meet, as for
+    rare symbols and repeats, it lies as far as the outermost ``TAIL`` of the group's documents begins, but not
+    beyond the measure's limit: a group with more junk than that must not move its own fence.
+    """
+    whole = _blended(sketch, [], None, [], prior)
+    by_lang = _blended(sketch, ["__lang"], whole, [], prior)
+    own = _blended(sketch, ["__lang", "__source"], by_lang, ["__lang"], prior)
+    at = lambda part: F.min(F.when(F.col("upto") >= F.col("docs") * part, F.col("bin")))
+    found = own.groupBy("__lang", "__source", "measure").agg(
+        at(TAIL).alias("low"), at(UNIT // 4).alias("q1"), at(UNIT * 3 // 4).alias("q3"), at(UNIT - TAIL).alias("high")
     )
-    chosen = joined.select("__lang", "__source", "measure", pick("q1", "l1", "a1").alias("q1"), pick("q3", "l3", "a3").alias("q3"))
+    spread = (F.col("q3") - F.col("q1")) * IQR_FACTOR
     fences = []
-    for m, (slack, low) in MEASURES.items():
-        reach = F.greatest((F.col("q3") - F.col("q1")) * IQR_FACTOR, F.lit(slack))
+    for m, (most, low) in MEASURES.items():
         of = lambda c, m=m: F.max(F.when(F.col("measure") == m, c))
-        fences.append(of(F.col("q3") + reach).alias(f"hi_{m}"))
+        fences.append(of(F.col("q3") + F.greatest(spread, F.least(F.lit(most), F.col("high") - F.col("q3")))).alias(f"hi_{m}"))
         if low:
-            fences.append(of(F.col("q1") - reach).alias(f"lo_{m}"))
-    return chosen.groupBy("__lang", "__source").agg(*fences)
+            fences.append(of(F.col("q1") - F.greatest(spread, F.least(F.lit(most), F.col("q1") - F.col("low")))).alias(f"lo_{m}"))
+    return found.groupBy("__lang", "__source").agg(*fences)
 
 
 def apply_rules(
     docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source",
-    carry: list[str] | None = None, min_group: int = MIN_GROUP,
+    carry: list[str] | None = None, prior: int = PRIOR,
 ) -> DataFrame:
     """The ``carry`` columns (default: all) of every row with ``BASE``, ``base_failed`` and ``kept``.
 
     Null and empty texts have no words and so fail the base rule; null languages and sources are groups
-    of their own; repeated rows are judged alike, each in its own row; an empty table stays empty.  Input
-    columns named like an output are replaced.
+    of their own; repeated rows are judged alike, each in its own row; an empty table stays empty; a very long
+    text is measured whole, in one row.  A value in the same bin as a fence passes.  Input columns named like an
+    output are replaced.
     """
     scratch = Scratch(docs.sparkSession)
     outputs = [*BASE, "base_failed", "kept"]
@@ -170,18 +186,18 @@ def apply_rules(
     )
     counted = base_counts(narrow, "__text").drop("__text")
     measured = scratch.save(counted.withColumns({f"__{m}": c for m, c in _measures().items()}), "measured")
-    fences = scratch.save(thresholds(sketches(measured, "__lang", "__source"), min_group), "thresholds").select(
-        F.col("__lang").alias("__fl"), F.col("__source").alias("__fs"),
-        *[F.col(c) for m, (_, low) in MEASURES.items() for c in ([f"hi_{m}", f"lo_{m}"] if low else [f"hi_{m}"])],
-    )
     failed = (F.col("n_words") < MIN_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
     )
+    fences = scratch.save(thresholds(sketches(measured.filter(~failed), "__lang", "__source"), prior), "thresholds").select(
+        F.col("__lang").alias("__fl"), F.col("__source").alias("__fs"),
+        *[F.col(c) for m, (_, low) in MEASURES.items() for c in ([f"hi_{m}", f"lo_{m}"] if low else [f"hi_{m}"])],
+    )
     beyond = F.lit(False)
     for m, (_, low) in MEASURES.items():
-        beyond = beyond | (F.col(f"__{m}") > F.col(f"hi_{m}"))
+        beyond = beyond | (bin_of(F.col(f"__{m}")) > F.col(f"hi_{m}"))
         if low:
-            beyond = beyond | (F.col(f"__{m}") < F.col(f"lo_{m}"))
+            beyond = beyond | (bin_of(F.col(f"__{m}")) < F.col(f"lo_{m}"))
     return (
         measured.join(
             fences, F.col("__lang").eqNullSafe(F.col("__fl")) & F.col("__source").eqNullSafe(F.col("__fs")), "left"

@@ -2,12 +2,17 @@
 
 import hashlib
 import json
+import math
+import random
 import re
+from fractions import Fraction
 from re import _parser
 from re._constants import BRANCH, IN, LITERAL, MAX_REPEAT, SUBPATTERN
 
 import pytest
+from pyspark.sql import functions as F
 
+from spark_revenue.functions import ordered
 from spark_revenue.llm import licenses, mixing, quality_rules, secret_index, tool_calls
 
 from .conftest import by_id
@@ -30,6 +35,51 @@ def test_mixing_nulls_ties_and_targets(documents):
     assert mixing.mix(documents([])).count() == 0
 
 
+def brute_mix(rows, seed=17):
+    """Copies per row of systematic sampling over each source's documents, longest first."""
+    sized = [(i, len(re.findall(r"[^\x20\x09-\x0D]+", text or "")), source) for i, text, _, source in rows]
+    names = sorted({s for _, _, s in sized}, key=lambda s: (s is None, s or ""))
+    size = {s: sum(n for _, n, t in sized if t == s) for s in names}
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
+    target, open_ = {}, set(names)
+    while open_:
+        rest = 1.5 * sum(size.values()) - sum(target.values())
+        rate = rest / sum(weight[s] for s in open_)
+        over = {s for s in open_ if rate * weight[s] > 2 * size[s]}
+        target |= {s: 2.0 * size[s] if over else rate * weight[s] for s in over or open_}
+        open_ -= over or open_
+    out = []
+    for s in names:
+        key = "n" if s is None else "s" + s
+        u = int(hashlib.md5(f"{seed}:{key}".encode()).hexdigest()[:12], 16) / (1 << 48)
+        rate = target[s] / size[s] if size[s] else 0.0
+        line = sorted(((n, i) for i, n, t in sized if t == s), key=lambda x: (-x[0], x[1]))
+        out += [(i, s, n, min(math.floor(k * rate + u) - math.floor((k - 1) * rate + u), 2)) for k, (n, i) in enumerate(line, 1)]
+    return sorted(out, key=str), target
+
+
+def test_mixing_equals_brute_force_on_sparse_ids(documents):
+    r = random.Random(9)
+    rows = [(r.getrandbits(62), "w " * r.choice([3, 3, 3, 50, r.randint(0, 40)]), "en", r.choice(["a", "a", "a", "b", None, "c"])) for _ in range(700)]
+    out = mixing.mix(documents(rows)).collect()
+    want, target = brute_mix(rows)
+    assert sorted(((x["doc_id"], x["source"], x["size"], x["copies"]) for x in out), key=str) == want
+    assert all(abs(x["target"] - target[x["source"]]) < 1e-6 for x in out)
+
+
+def test_mixing_one_id_for_all(spark, documents):
+    """Equal ids are told apart by their texts, so no task gets them all."""
+    rows = [(7, f"{i} " + "w " * 9, "en", "a") for i in range(4000)] + [(None, f"{i} " + "w " * 9, "en", "b") for i in range(1000)]
+    frame = documents(rows)
+    mixed = mixing.mix(frame)
+    out = mixed.collect()
+    assert sorted((x["source"], x["copies"]) for x in out) == sorted((s, c) for _, s, _, c in brute_mix(rows)[0])
+    lined = frame.selectExpr("'k' AS k", "10 AS n", "doc_id", "xxhash64(text) AS h")
+    sliced = ordered._with_slices(lined, ["k"], [F.col("n"), F.col("doc_id").isNotNull(), F.col("doc_id"), F.col("h")], 32)
+    sizes = [x["count"] for x in sliced.groupBy("__slice").count().collect()]
+    assert len(sizes) > 24 and max(sizes) < 3 * 5000 / len(sizes)
+
+
 def brute_repeats(text, window=8):
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     seen = {}
@@ -59,6 +109,62 @@ def test_quality_thresholds_follow_their_group(documents):
     assert not out[999]["kept"] and out[0]["kept"] and out[300]["kept"]
 
 
+def test_each_quality_measure_rejects_alone(documents):
+    """One planted text for each measure passes the base rule and is beyond one fence only."""
+    r = random.Random(3)
+    prose = lambda n: [f"w{r.randint(100, 999)}" for _ in range(n)]
+    rows = [(i, "\n".join(" ".join(prose(10)) for _ in range(10)), "en", "s") for i in range(600)]
+    lines = [" ".join(prose(7)) for _ in range(10)]
+    window = prose(12)
+    planted = {
+        "word_length": " ".join("x" * 30 + w for w in prose(100)),
+        "symbol_rate": " ".join([*prose(88), *[f"#{k}$" for k in range(10, 22)]]),
+        # A third of the lines, but never eight words in a row twice.
+        "dup_line_rate": "\n".join(x for line in lines[:9] for x in (line, " ".join(prose(9)), line)[:3]),
+        "repeat_rate": " ".join([*prose(50), *window, *prose(50), *window]),
+    }
+    texts = list(planted.values())
+    full = [*rows, *[(1000 + k, t, "en", "s") for k, t in enumerate(texts)]]
+    out = by_id(quality_rules.apply_rules(documents(full)))
+    assert sum(not out[i]["kept"] for i in range(600)) == 0
+    assert [(out[1000 + k]["base_failed"], out[1000 + k]["kept"]) for k in range(4)] == [(False, False)] * 4
+    counted = quality_rules.base_counts(documents(full).select("doc_id", "text", "lang", "source"))
+    measured = counted.withColumns({f"__{m}": c for m, c in quality_rules._measures().items()})
+    fence = quality_rules.thresholds(quality_rules.sketches(measured, "lang", "source")).first()
+    for r in measured.filter("doc_id >= 1000").collect():
+        beyond = {m for m in planted if r[f"__{m}"] > fence[f"hi_{m}"]}
+        assert beyond == {list(planted)[r["doc_id"] - 1000]}
+
+
+def test_quality_thresholds_move_smoothly(spark):
+    """Cut-offs of a growing group go from its language's to its own without a step."""
+    def fence(n):
+        rows = [("en", "big", "word_length", 500 + k % 20, 40) for k in range(20)] + [("en", "own", "word_length", 700 + k % 20, n) for k in range(20)]
+        sketch = spark.createDataFrame(rows, "__lang string, __source string, measure string, bin long, n long")
+        return {x["__source"]: (x["hi_word_length"], x["lo_word_length"]) for x in quality_rules.thresholds(sketch, 400).collect()}["own"]
+
+    told = [fence(n) for n in (1, 10, 19, 21, 40, 400, 4000)]
+    assert told[0][1] < 500 and told[-1][1] > 600
+    assert all(abs(a - b) <= 5 for a, b in zip(told[2], told[3]))
+
+
+def test_quality_sketch_of_parents(spark):
+    """Blended sketches against the same sums in fractions."""
+    r = random.Random(8)
+    cells = {(lang, s, b): r.randint(1, 90) for lang in ("de", None) for s in ("a", None, "c") for b in r.sample(range(40), 9)}
+    sketch = spark.createDataFrame([(*k[:2], "word_length", k[2], n) for k, n in cells.items()], "__lang string, __source string, measure string, bin long, n long")
+    whole = quality_rules._blended(sketch, [], None, [], 200)
+    by_lang = quality_rules._blended(sketch, ["__lang"], whole, [], 200)
+    own = quality_rules._blended(sketch, ["__lang", "__source"], by_lang, ["__lang"], 200)
+    upto = lambda b, **on: sum(n for (lang, s, x), n in cells.items() if x <= b and all({"lang": lang, "s": s}[k] == v for k, v in on.items()))
+    for x in own.collect():
+        lang, s, b = x["__lang"], x["__source"], x["bin"]
+        share = Fraction(upto(b), upto(99))
+        share = (upto(b, lang=lang) + 200 * share) / (upto(99, lang=lang) + 200)
+        share = (upto(b, lang=lang, s=s) + 200 * share) / (upto(99, lang=lang, s=s) + 200)
+        assert abs(Fraction(x["upto"], x["docs"] * quality_rules.UNIT) - share) < Fraction(3, quality_rules.UNIT)
+
+
 def test_secrets(documents):
     key = "AKIA" + "ABCDEFGH12345678"
     texts = [
