@@ -1,6 +1,7 @@
 """Suffix dedup, token grammar, importance, templates, near duplicates and the pipeline on small cases."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -307,3 +308,38 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in out} <= set(range(40)) and len(out) >= 40
     assert max(r["start"] + r["n_tokens"] for r in out) == sum(r["n_tokens"] for r in out)
+
+
+def test_importance_equals_a_plain_model(spark, documents):
+    """Scores from models kept in dictionaries, noise from the scores alone, and the k largest sums."""
+    r = random.Random(12)
+    rows = [(i, " ".join(r.choice(["the", "of", "cat", "a1", "é", "$", "buy!", "x,y"]) for _ in range(r.randint(0, 30)))) for i in range(250)]
+    rows += [(3, rows[3][1]), (4, "again the cat"), (None, "of the"), (9, None)]
+    good = {i for i in range(0, 250, 3)}
+    labels = spark.createDataFrame([(i, int(i in good), 0) for i in range(0, 250, 2)] + [(3, 1, 0)], "doc_id long, quality int, toxic int")
+    good = {i for i in good if i % 2 == 0 or i == 3}
+
+    def grams(text):
+        w = re.findall(r"[0-9A-Za-z_\x80-\U0010ffff]+|[^0-9A-Za-z_\x80-\U0010ffff\x20\x09-\x0D]+", text or "")
+        return [tuple(w[k : k + n]) for n in (1, 2) for k in range(len(w) - n + 1)]
+
+    def bucket(gram):
+        data = " ".join(gram).encode()
+        found, _ = importance.buckets(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        return int(found[-1])
+
+    place = {g: bucket(g) for _, t in rows for g in grams(t)}
+
+    def model(texts):
+        n = Counter(place[g] for t in texts for g in grams(t))
+        total = sum(n.values()) + 65536
+        return lambda b: math.log((n[b] + 1) / total)
+
+    target, raw = model([t for i, t in rows if i in good]), model([t for _, t in rows])
+    want = Counter((i, round(sum(target(place[g]) - raw(place[g]) for g in grams(t)), 6)) for i, t in rows)
+    out = importance.resample(documents(rows), labels, share=0.4).collect()
+    assert Counter((x["doc_id"], round(x["score"], 6)) for x in out) == want
+    line = sorted((x["noisy"] for x in out), reverse=True)
+    k = round(0.4 * len(rows))
+    assert sum(x["kept"] for x in out) == k
+    assert all(x["noisy"] >= line[k - 1] for x in out if x["kept"]) and all(x["noisy"] <= line[k - 1] for x in out if not x["kept"])
