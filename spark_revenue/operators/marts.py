@@ -42,7 +42,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return system.exists(found)
 
 
-def _drop(spark: SparkSession, path: str) -> None:
+def drop(spark: SparkSession, path: str) -> None:
     system, found = _files(spark, path)
     system.delete(found, True)
 
@@ -75,11 +75,11 @@ def refresh_by_month(df: DataFrame, path: str, month: str = "month") -> list[str
         found = fresh.select(F.col(month).alias("m"), F.lit(False).alias("gone")).collect()
     for r in found:
         if r["gone"]:
-            _drop(spark, f"{path}/{month}={'__HIVE_DEFAULT_PARTITION__' if r['m'] is None else r['m']}")
+            drop(spark, f"{path}/{month}={'__HIVE_DEFAULT_PARTITION__' if r['m'] is None else r['m']}")
     changed = spark.createDataFrame([(r["m"],) for r in found if not r["gone"]], staged.select(F.col(month).alias("m")).schema)
     rows = staged.join(F.broadcast(changed), F.col(month).eqNullSafe(F.col("m")), "left_semi")
     rows.hint("rebalance", month).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month).parquet(path)
-    _drop(spark, staging)
+    drop(spark, staging)
     return sorted(str(r["m"]) for r in found)
 
 

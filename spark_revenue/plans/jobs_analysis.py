@@ -115,14 +115,18 @@ job("l09c_recovery_totals", _leak(l.recovery_totals))
 job("l10_leakage_headline", _leak(l.leakage_headline))
 
 
-def _views(t: DomainTables) -> dict:
-    visits = t.appointments(*_CARD, "patient_id", "staff_id", "appointment_date")
+def _card_visits(t: DomainTables):
+    """The visits all views read."""
+    return t.appointments(*_CARD, "patient_id", "staff_id", "appointment_date")
+
+
+def _views(t: DomainTables, visits, staff) -> dict:
     surveys = t.surveys()
     return {
         "vw_monthly_revenue": k.revenue_by_type(visits),
         "vw_churn_risk": c.churn_risk_view(_people(t), visits, surveys, _dates(t)),
         "vw_billing_leakage": k.billing_leakage_view(t.claims()),
         "vw_specialty_scorecard": s.specialty_scorecard_view(visits, surveys),
-        "vw_clinic_performance": s.clinic_ranking(t.staff(), visits, with_avg=False),
+        "vw_clinic_performance": s.clinic_ranking(staff, visits, with_avg=False),
     }
 

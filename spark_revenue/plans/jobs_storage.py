@@ -1,6 +1,7 @@
 """Reading, writing and views as queries (ids S2, S8, P1)."""
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -9,10 +10,10 @@ from ..operators import kpis as k
 from ..operators import marts as m
 from ..operators import scorecards as s
 from ..schema import TABLES
-from ..session import shared_folder
+from ..session import shared_folder, stored
 from ..sources.binding import DomainTables
 from ..sources.readers import csv_lines, parse_lines
-from .jobs_analysis import _CARD, _dates, _people, _views
+from .jobs_analysis import _card_visits, _dates, _people, _views
 from .registry import job
 
 # Every 97th line has words for a number, every 101st breaks off.
@@ -38,8 +39,9 @@ def _set_aside(t: DomainTables) -> DataFrame:
 
 
 def _all_views(t: DomainTables) -> dict[str, DataFrame]:
-    visits = t.appointments(*_CARD, "patient_id", "staff_id", "appointment_date")
-    return _views(t) | {
+    # One join for all of them; the views read the tables as long as they are registered.
+    visits, staff = stored(_card_visits(t)), stored(t.staff())
+    return _views(t, visits, staff) | {
         "vw_monthly_revenue_by_type": k.revenue_by_type(visits, with_no_show=False),
         "vw_retention_priority": c.retention_priority_view(_people(t), visits, _dates(t)),
     }
@@ -59,9 +61,11 @@ def _asked_views(t: DomainTables) -> DataFrame:
 
 
 def _refreshed(t: DomainTables) -> DataFrame:
-    marts = _views(t)
     folder = f"{shared_folder(t.spark)}/marts/{hashlib.sha256(t.path.encode()).hexdigest()[:16]}"
+    shared = f"{shared_folder(t.spark)}/{uuid.uuid4().hex}"
+    marts = _views(t, stored(_card_visits(t), f"{shared}/visits"), stored(t.staff(), f"{shared}/staff"))
     m.refresh_marts(marts, folder)
+    m.drop(t.spark, shared)
     return m.refresh_summaries(m.read_marts(t.spark, marts, folder))
 
 

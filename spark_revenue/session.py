@@ -54,8 +54,11 @@ def materialise(df: DataFrame) -> DataFrame:
     A reliable checkpoint, or a table in the warehouse where a cluster names no checkpoint folder: both
     survive lost executors.
     """
-    if ensure_checkpoint_dir(df.sparkSession):
-        return df.checkpoint()
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    return df.checkpoint() if ensure_checkpoint_dir(df.sparkSession) else stored(df)
+
+
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Compute a frame once as a table in the shared folder, of which each branch of a job reads its own columns."""
+    path = path or f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -71,6 +71,9 @@ _APPOINTMENT_COLUMNS: dict[str, tuple[frozenset[str], str]] = {
     "staff_cost": (frozenset({"part"}), _cents("p_retailprice")),
 }
 
+# Worked out before any join: each takes fewer bytes through a shuffle than what it is worked out from.
+_BEFORE_JOINS = frozenset({"appointment_date", "wait_days", "scheduled_fee", "billed_amount", "patient_gap"})
+
 _PATIENT_EXPRS = {
     "patient_id": "c_custkey",
     "full_name": "c_name",
@@ -224,14 +227,16 @@ class DomainTables:
     def appointments(self, *columns: str) -> DataFrame:
         wanted = columns or tuple(_APPOINTMENT_COLUMNS)
         needed = frozenset().union(*[_APPOINTMENT_COLUMNS[c][0] for c in wanted])
-        base = self.driver("lineitem")
+        early = [c for c in wanted if c in _BEFORE_JOINS]
+        base = self.driver("lineitem").withColumns({f"__{c}": F.expr(_APPOINTMENT_COLUMNS[c][1]) for c in early})
+        # The large table first: its shuffle then carries keys of the others, not their columns.
+        if "orders" in needed:
+            base = base.join(self.driver("orders"), F.expr("l_orderkey = o_orderkey"))
         if "part" in needed:
             base = base.join(self.driver("part"), F.expr("l_partkey = p_partkey"))
         if "supplier" in needed:
             base = base.join(self.driver("supplier"), F.expr("l_suppkey = s_suppkey"))
-        if "orders" in needed:
-            base = base.join(self.driver("orders"), F.expr("l_orderkey = o_orderkey"))
-        return base.select(*[F.expr(_APPOINTMENT_COLUMNS[c][1]).alias(c) for c in wanted])
+        return base.select(*[F.col(f"__{c}").alias(c) if c in early else F.expr(_APPOINTMENT_COLUMNS[c][1]).alias(c) for c in wanted])
 
     def appointments_raw(self, *columns: str) -> DataFrame:
         """Appointments with dirty specialty and date text, plus repeated full rows."""
