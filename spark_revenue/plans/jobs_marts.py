@@ -15,6 +15,7 @@ from ..operators import recommend as e
 from ..operators import segmentation as g
 from ..operators import validation as v
 from ..operators.model_store import ModelStore, data_version
+from ..session import stored
 from ..sources.binding import DomainTables
 from .registry import job
 
@@ -113,10 +114,19 @@ def _matrix(t: DomainTables) -> DataFrame:
     return f.coded_matrix(_features(t))
 
 
-def _trained(t: DomainTables, kind: str, trees: int = 150) -> m.TrainedModel:
-    """The stored model of this state of the data; the training step comes first where there is none."""
+def _kept_matrix(t: DomainTables) -> DataFrame:
+    """The matrix as a table, for queries that read it more than once."""
+    return stored(_matrix(t))
+
+
+def _trained(t: DomainTables, kind: str, trees: int = 150, kept: DataFrame | None = None) -> m.TrainedModel:
+    """The stored model of this state of the data; the training step comes first where there is none.
+
+    It reads the ``kept`` matrix where the query has one.
+    """
     store, version = ModelStore(t.spark), f"{trees}-{data_version(t.spark, t.path)}"
-    store.ensure(kind, version, lambda: m.train_model(_matrix(t), kind, trees=trees))
+    store.ensure(kind, version, lambda: m.train_model(
+        _matrix(t) if kept is None else kept, kind, trees=trees, kept=kept is not None))
     return store.load(kind, version)
 
 
@@ -127,8 +137,9 @@ def _fixed_model(t: DomainTables) -> DataFrame:
     )
 
 
-def _fixed_scores(t: DomainTables) -> DataFrame:
-    return lin.linear_scores(_matrix(t), _fixed_model(t))
+def _fixed_scores(t: DomainTables, matrix: DataFrame) -> DataFrame:
+    scores = lin.linear_scores(matrix, _fixed_model(t))
+    return scores.withColumn("churn_probability", p.round_half_up(F.col("churn_probability"), 4))
 
 
 def _banded(t: DomainTables) -> DataFrame:
@@ -181,9 +192,19 @@ job("f05j_fold_sizes", lambda t: v.fold_sizes(_folds(t)))
 job("f05k_band_report", lambda t: v.classification_report(
     m.band_scores(rule_probability(t)).withColumn("label", F.when(F.col("churn_flag") == 1, "High").when(
         F.col("total_billed") > 0, "Medium").otherwise("Low")), "label", "risk_band"))
-job("f06_score_patients", lambda t: m.score_patients(_trained(t, "logistic"), _matrix(t)))
-job("f06c_linear_scores", lambda t: _fixed_scores(t).withColumn(
-    "churn_probability", p.round_half_up(F.col("churn_probability"), 4)))
+
+
+def _on_matrix(use):
+    """A query of the logistic model and the matrix, which training and ``use`` read from one table."""
+    def build(t: DomainTables) -> DataFrame:
+        matrix = _kept_matrix(t)
+        return use(_trained(t, "logistic", kept=matrix), matrix)
+
+    return build
+
+
+job("f06_score_patients", _on_matrix(m.score_patients))
+job("f06c_linear_scores", lambda t: _fixed_scores(t, _kept_matrix(t)))
 job("f06b_risk_bands", _banded)
 job("f07_revenue_at_risk", lambda t: m.revenue_at_risk(_banded(t)))
 job("f07b_risk_summary", lambda t: m.risk_summary(_banded(t)))
@@ -191,18 +212,18 @@ job("f07c_risk_totals", lambda t: m.risk_totals(_banded(t)))
 job("f08_retention_list", lambda t: m.retention_list(_banded(t), t.patients()))
 job("f09_importance_boosting", lambda t: x.feature_importance(t.spark, _trained(t, "gbt")))
 job("f09b_importance_logistic", lambda t: x.feature_importance(t.spark, _trained(t, "logistic")))
-job("f10_mean_attribution", lambda t: x.mean_attribution(_trained(t, "logistic"), _matrix(t)))
-job("f10b_linear_attribution", lambda t: lin.mean_attributions(_matrix(t), _fixed_model(t)))
+job("f10_mean_attribution", _on_matrix(x.mean_attribution))
+job("f10b_linear_attribution", lambda t: lin.mean_attributions(_kept_matrix(t), _fixed_model(t)))
+job("f11_explain_top_patient", _on_matrix(
+    lambda trained, matrix: x.explain_patient(trained, matrix, m.score_patients(trained, matrix))))
 
 
-def _explained(t: DomainTables) -> DataFrame:
-    trained = _trained(t, "logistic")
-    return x.explain_patient(trained, _matrix(t), m.score_patients(trained, _matrix(t)))
+def _linear_explanation(t: DomainTables) -> DataFrame:
+    matrix = _kept_matrix(t)
+    return lin.explain_row(matrix, _fixed_model(t), _fixed_scores(t, matrix))
 
 
-job("f11_explain_top_patient", _explained)
-job("f11b_linear_explanation", lambda t: lin.explain_row(_matrix(t), _fixed_model(t), _fixed_scores(t).withColumn(
-    "churn_probability", p.round_half_up(F.col("churn_probability"), 4))))
+job("f11b_linear_explanation", _linear_explanation)
 job("f12_band_distribution", lambda t: m.band_distribution(_banded(t)))
 
 
