@@ -38,8 +38,8 @@ HEADER = "<4sBxxxIIQQI"
 _TABLE_BITS = 18
 _WORDS_KEPT = 400_000
 _MARK = "<|endoftext|>"
-_SIMPLE = re.compile("([a-zà-öø-ÿ]+)([,.;:!?]*)")
-_PIECES = lambda piece: 1 + (" " in piece)
+# Letters of Latin-1, then ASCII marks; without the apostrophe and <, with which contractions and special tokens begin.
+_SIMPLE = re.compile(r"([a-zß-öø-ÿÀ-ÖØ-Þ]+)([!-&(-/:;=-@\[-`{-~]*)")
 
 
 class Grammar(NamedTuple):
@@ -209,22 +209,26 @@ class WordEncoder:
     def _learn(self, words: list[str]) -> None:
         """Encode new words, many to a text.
 
-        Letters, and marks after letters, are pieces of their own to the tokenizer, so the ids that end a
-        piece part the words.  Other words get a special token after each to tell them apart; one that may
+        Letters, and marks after letters, are pieces of their own to the tokenizer, so each piece is encoded
+        once, and the ids that end a piece part them.  Other words get a special token after each to tell them apart; one that may
         hold a special token itself is encoded alone.
         """
-        simple, pieces, marked, alone = [], [], [], []
+        simple, parts, marked, alone = [], [], [], []
+        pieces: dict[str, int] = {}
         for w in words:
             if m := _SIMPLE.fullmatch(w):
                 simple.append(w)
-                pieces.append(f"{m[1]} {m[2]}" if m[2] else w)
+                parts.append((pieces.setdefault(m[1].lower(), len(pieces)), pieces.setdefault(m[2], len(pieces)) if m[2] else -1))
             else:
                 (alone if "<|" in w else marked).append(w)
-        ids = self._encoded(self.plain, [" ".join(pieces[i : i + 100]) for i in range(0, len(pieces), 100)])
+        listed = list(pieces)
+        ids = self._encoded(self.plain, [" ".join(listed[i : i + 100]) for i in range(0, len(listed), 100)])
         ends = np.flatnonzero(self.ends[ids])
-        if len(ends) != sum(map(_PIECES, pieces)):
+        if len(ends) != len(listed):
             raise ValueError("the tokenizer does not part letters from marks")
-        self._add(simple, ids, np.diff(ends[np.cumsum(np.fromiter(map(_PIECES, pieces), np.int64, len(pieces))) - 1], prepend=-1))
+        flat = np.array(parts, np.int32).reshape(-1)
+        lists, sizes = _lists(ids, np.diff(ends, prepend=-1)), np.append(np.diff(ends, prepend=-1), 0)
+        self._add(simple, lists.take(pa.array(flat[flat >= 0])).values.to_numpy(), sizes[flat].reshape(-1, 2).sum(axis=1))
         ids = self._encoded(self.whole, ["".join([w + _MARK for w in marked[i : i + 100]]) for i in range(0, len(marked), 100)])
         self._add(marked, ids[ids != self.mark], np.diff(np.flatnonzero(ids == self.mark), prepend=-1) - 1)
         sizes = [len(e.ids) for e in self.whole.encode_batch(alone, add_special_tokens=False)]
