@@ -211,7 +211,7 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _with_hits(batch, hits, pa.list_(pa.struct([*_HIT, ("need", pa.int32()), ("nth", pa.int32())])))
 
 
-def _emit(passes, widths: list[int]):
+def _emit(passes, widths: list[int], text: str = "__text"):
     """Windows, and runs of ``widths`` words, of every row that pass the filter, beside the row's own columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +224,7 @@ def _emit(passes, widths: list[int]):
 
         for batch in batches:
             hits: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-            data, starts = kernels.column_bytes(batch.column("__text"))
+            data, starts = kernels.column_bytes(batch.column(text))
             for a, b in kernels.stretches(starts):
                 bounds = starts[a : b + 1]
                 for reading, read in enumerate(readings(data, bounds)):
@@ -240,6 +240,8 @@ def _emit(passes, widths: list[int]):
                     for r, h in zip(row.tolist(), found, strict=True):
                         hits[a + r].append(h)
             yield _with_hits(batch, hits, pa.list_(pa.struct(_HIT)))
+        # The worker waits for its next task; what Arrow has pooled meanwhile goes back.
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -279,8 +281,10 @@ def decontaminate(
     )
     passes = spark.sparkContext.broadcast(hash_filter(known, "hash", FILTER_BITS))
     widths = sorted(r[0] - WHOLE for r in known.filter(F.col("reading") >= WHOLE).select("reading").distinct().collect())
-    narrow = without(docs, *outputs).select(*[f"`{c}`" for c in carry], F.col(text).alias("__text"))
-    found = narrow.mapInArrow(_emit(passes, widths), f"{_schema(narrow)}, {_HITS}" if carry else _HITS)
+    # A text that is carried anyway goes to Python once.
+    own = text if text in carry else "__text"
+    narrow = without(docs, *outputs).select(*[f"`{c}`" for c in carry], *([] if text in carry else [F.col(text).alias("__text")]))
+    found = narrow.mapInArrow(_emit(passes, widths, own), f"{_schema(narrow)}, {_HITS}" if carry else _HITS)
     # The row number is written with the rows, so it stays the same whatever is computed again.
     found = scratch.save(found.withColumn("__row", F.monotonically_increasing_id()), "windows")
     hits = found.filter(F.size("__hits") > 0).select("__row", F.explode("__hits").alias("h"))
