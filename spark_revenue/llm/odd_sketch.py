@@ -5,9 +5,10 @@ three samples, and a 512-bit odd sketch: each sample flips one bit, so the XOR o
 samples that differ.  Candidates are classes that share a band key.  Links are confirmed on the whole sets.
 
 Only what can still join two components is compared.  First every class is compared with the one centre,
-of those of its buckets, whose sketch is nearest; that is done twice.  Then all classes outside a bucket's
-largest component are compared with all other components of the bucket, in blocks of bounded size that
-give back links only.  So copies of one text cost a comparison each, no link between components is
+of those of its buckets, whose sketch is nearest; that is done twice, and each time the components found are
+folded once, which may leave some apart.  Then all classes outside a bucket's largest component are compared
+with all other components of the bucket, in blocks of bounded size that give back links only, and all links
+are followed to the end.  So copies of one text cost a comparison each, no link between components is
 passed over, and no list of pairs is made.
 """
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,6 @@ BITS = 512
 # a pair that differs in more than 120 is more than six deviations away.
 MOST_BITS = 120
 STAR_ROUNDS = 2
-MEMBERS_PER_TASK_KEY = 256
 # A block compares about this many classes outside the largest component with this many of the bucket.
 BLOCK = (256, 1024)
 _U = np.uint64
@@ -117,28 +118,25 @@ def _sizes_allow(a: str, b: str) -> Column:
 
 
 def _confirm(width: int, percent: int):
-    """Rows sorted by group with the centre first: yields the members that are linked to their centre."""
+    """Rows ``(a, b, text, other)``: yields the pairs whose whole sets are linked.
+
+    The join leaves rows of one b beside each other, so its set is made once for them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centre, held = None, np.zeros(0, _U)
         for batch in batches:
-            members = batch.column("member").to_pylist()
-            centres = batch.column("centre").to_pylist()
-            linked = []
+            ends = batch.column("b").to_pylist()
+            fresh = [r for r in range(batch.num_rows) if not r or ends[r] != ends[r - 1]]
+            others = _sets(batch.column("other").take(pa.array(fresh, pa.int64())), width)
+            turns, held, linked = set(fresh), np.zeros(0, _U), []
             for r, values in _sets(batch.column("text"), width):
-                if members[r] is None:
-                    centre, held = centres[r], values
-                    continue
-                if centres[r] != centre:
-                    raise ValueError("a member precedes its centre")
+                if r in turns:
+                    held = next(others)[1]
                 both = len(values) + len(held)
                 common = both - len(kernels.distinct(np.concatenate([values, held])))
                 if 100 * common >= percent * (both - common):
                     linked.append(r)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([members[r] for r in linked], pa.binary()), pa.array([centres[r] for r in linked], pa.binary())],
-                ["a", "b"],
-            )
+            yield batch.select(["a", "b"]).take(pa.array(linked, pa.int64()))
 
     return run
 
@@ -146,53 +144,64 @@ def _confirm(width: int, percent: int):
 def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose whole sets are similar enough.
 
-    Pairs are grouped by b, and a group with many members is dealt over several keys, each with its own
-    copy of b's text: no task key holds more than about ``MEMBERS_PER_TASK_KEY`` members.
+    Both texts come by joins, so a b with very many members is a skewed join, which Spark splits.
     """
-    load = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / MEMBERS_PER_TASK_KEY).cast("int").alias("shares"))
-    members = (
-        pairs.join(load, "b")
-        .select("a", F.col("b").alias("centre"), F.pmod(F.xxhash64("a"), F.col("shares")).cast("int").alias("share"))
-        .join(texts.withColumnRenamed("cls", "a"), "a")
-        .select("centre", "share", F.col("a").alias("member"), "text")
-    )
-    centres = (
-        load.select(F.col("b").alias("cls"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
-        .join(texts, "cls")
-        .select(F.col("cls").alias("centre"), "share", F.lit(None).cast("binary").alias("member"), "text")
-    )
-    grouped = (
-        members.unionByName(centres)
-        .repartition("centre", "share")
-        .sortWithinPartitions("centre", "share", F.col("member").asc_nulls_first())
-    )
-    return grouped.mapInArrow(_confirm(width, percent), "a binary, b binary")
+    mine = texts.select(F.col("cls").alias("a"), "text")
+    theirs = texts.select(F.col("cls").alias("b"), F.col("text").alias("other"))
+    both = pairs.join(mine, "a").join(theirs, "b").select("a", "b", "text", "other")
+    return both.mapInArrow(_confirm(width, percent), "a binary, b binary")
 
 
-def components(scratch: Scratch, nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``(cls, comp)``: the smallest node that links reach, for every node.
+def _edges(links: DataFrame, comps: DataFrame) -> DataFrame:
+    """``(x, y)``: links as pairs of different components, each pair once, x the smaller."""
+    x, y = comps.select(F.col("cls").alias("a"), F.col("comp").alias("x")), comps.select(F.col("cls").alias("b"), F.col("comp").alias("y"))
+    named = links.select("a", "b").join(x, "a").join(y, "b").filter(F.col("x") != F.col("y"))
+    return named.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
-    Each round takes the smallest label among neighbours, then the label of that label, so chains of n
-    links need about log n rounds.
+
+def _roots(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
+    """``(x, root)``: every node hangs below its greatest neighbour, if that is greater, and follows to the root.
+
+    A turn goes up three steps and no turn is left once no node finds a fourth; paths of n steps need about
+    log n turns, and those of up to three a single one.
     """
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    edges = scratch.save(both.distinct(), "edges")
-    # Nodes without a link keep their own label: only linked ones take part in the rounds.
-    labels = scratch.save(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).withColumnRenamed("a", "cls"), "labels0")
-    turn = 0
+    up, turn = edges.groupBy("x").agg(F.max("y").alias("up")), 0
     while True:
-        turn += 1
-        near = edges.join(labels.withColumnRenamed("cls", "a"), "a").groupBy("b").agg(F.min("comp").alias("near"))
-        step = labels.join(near.withColumnRenamed("b", "cls"), "cls").select("cls", "comp", F.least("comp", "near").alias("next"))
-        step = scratch.save(step, f"step{turn}")
-        jump = step.select(F.col("cls").alias("next"), F.col("next").alias("far"))
-        moved = step.join(jump, "next").select("cls", F.least("next", "far").alias("comp"), (F.least("next", "far") != F.col("comp")).alias("moved"))
-        moved = scratch.save(moved, f"labels{turn}")
-        scratch.drop(f"step{turn}", f"labels{turn - 1}")
-        labels = moved.select("cls", "comp")
-        if moved.filter("moved").isEmpty():
+        over = up.select(F.col("x").alias("at"), F.col("up").alias("next"))
+        seen = up.withColumn("further", F.lit(True))
+        for _ in range(3):
+            seen = seen.join(over, F.col("up") == F.col("at"), "left").select(
+                "x", F.coalesce("next", "up").alias("up"), F.col("next").isNotNull().alias("further")
+            )
+        seen = scratch.save(seen, f"{name}up{turn}")
+        scratch.drop(f"{name}up{turn - 1}")
+        up, turn = seen.select("x", "up"), turn + 1
+        if seen.filter("further").isEmpty():
+            return up.withColumnRenamed("up", "root")
+
+
+def _renamed(comps: DataFrame, roots: DataFrame) -> DataFrame:
+    renamed = comps.join(roots.withColumnRenamed("x", "comp"), "comp", "left")
+    return renamed.select("cls", F.coalesce("root", "comp").alias("comp"))
+
+
+def components(scratch: Scratch, comps: DataFrame, links: DataFrame, name: str = "", whole: bool = True) -> DataFrame:
+    """``(cls, comp)`` after ``links`` between classes have joined the components ``comps``.
+
+    Each round contracts the components: all that hang together by greatest neighbours become one, and
+    only links between what is left go on.  Without ``whole`` a single round is made.
+    """
+    edges, turn = scratch.save(_edges(links, comps), f"{name}edges0"), 0
+    while not edges.isEmpty():
+        roots = _roots(scratch, edges, f"{name}{turn}")
+        comps = scratch.save(_renamed(comps, roots), f"{name}comps{turn}")
+        if not whole:
             break
-    return nodes.select("cls").join(labels, "cls", "left").select("cls", F.coalesce("comp", "cls").alias("comp"))
+        ends = edges.select(F.col("x").alias("cls")).union(edges.select(F.col("y").alias("cls"))).distinct()
+        named = _renamed(ends.withColumn("comp", F.col("cls")), roots)
+        edges = scratch.save(_edges(edges.toDF("a", "b"), named), f"{name}edges{turn + 1}")
+        turn += 1
+    return comps
 
 
 def _keyed(docs: DataFrame, text: str, ident: str) -> DataFrame:
@@ -220,9 +229,10 @@ def _classes(
         ), "classes",
     )
     placed = classes.select("cls", F.explode("bands").alias("bucket"))
-    shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("bucket")
-    buckets = scratch.save(placed.join(shared, "bucket"), "buckets")
-    facts = scratch.save(buckets.select("cls").distinct().join(classes.select("cls", "key", "n", "sketch", "bands"), "cls"), "facts")
+    shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.max("cls").alias("centre")).filter("size > 1")
+    buckets = scratch.save(placed.join(shared.drop("size"), "bucket"), "buckets")
+    centres = buckets.groupBy("cls").agg(F.collect_set("centre").alias("centres"))
+    facts = scratch.save(centres.join(classes.select("cls", "key", "n", "sketch", "bands"), "cls"), "facts")
     keys = facts.select(F.col("key").alias("__key"), "cls").hint("shuffle_hash")
     found = keyed.select("__key", "__text").join(keys, "__key")
     texts = scratch.save(found.groupBy("cls").agg(F.max("__text").alias("text")), "texts")
@@ -237,22 +247,33 @@ def _classes(
     return rows, of_class.join(heads, "comp").select("cls", "component_id", "head")
 
 
+def _nearest(near: DataFrame, facts: DataFrame) -> DataFrame:
+    """Of rows ``(a, b, n_a, s_a)``, for each a the b whose sketch is nearest, where sizes and sketches allow a link."""
+    b = facts.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
+    joined = near.join(b, "b").filter(_sizes_allow("n_a", "n_b"))
+    weighed = joined.select("a", "b", _bits_apart("s_a", "s_b").alias("apart")).filter(F.col("apart") <= MOST_BITS)
+    return weighed.groupBy("a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
+
+
 def _components(
     scratch: Scratch, buckets: DataFrame, facts: DataFrame, texts: DataFrame, width: int, percent: int
 ) -> DataFrame:
     """``(cls, comp)`` of the classes that share a bucket with another."""
-    comps, links, last = facts.select("cls", F.col("cls").alias("comp")), None, None
-
-    def add(confirmed: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-        fresh = scratch.save(confirmed, f"links{turn}")
-        every = fresh if links is None else links.union(fresh)
-        out = scratch.save(components(scratch, facts, every), f"comps{turn}")
-        scratch.drop(f"comps{turn - 1}", f"main{turn - 1}")
-        return every, out
+    comps, links = facts.select("cls", F.col("cls").alias("comp")), []
+
+    def add(confirmed: DataFrame, turn: int) -> DataFrame:
+        links.append(scratch.save(confirmed, f"links{turn}"))
+        if turn == 0:
+            # No class has joined another yet, so links are edges, and each goes from a class to a greater one.
+            return scratch.save(_renamed(comps, _roots(scratch, links[0].toDF("x", "y"), "first")), "comps")
+        whole = turn == STAR_ROUNDS
+        out = components(scratch, comps, reduce(DataFrame.union, links) if whole else links[-1], f"turn{turn}", whole)
+        scratch.drop(f"main{turn}")
+        return out
 
     def largest(turn: int) -> tuple[DataFrame, DataFrame]:
         """Buckets with their classes' components, and of those with several the largest component."""
-        in_bucket = buckets.join(comps, "cls")
+        in_bucket = buckets.select("bucket", "cls").join(comps, "cls")
         parts = in_bucket.groupBy("bucket", "comp").agg(
             F.count(F.lit(1)).alias("size"), F.min_by("cls", F.xxhash64("cls", F.lit(turn))).alias("centre")
         )
@@ -262,15 +283,17 @@ def _components(
         named = main.select("bucket", F.col("main.comp").alias("main_comp"), "main.centre", (F.col("total") - F.col("main.size")).alias("outside"), "total")
         return in_bucket, scratch.save(named, f"main{turn}")
 
-    for turn in range(STAR_ROUNDS):
+    # At first each class is a component, and the centre of a bucket is the greatest.
+    near = facts.select(F.col("cls").alias("a"), F.explode("centres").alias("b"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
+    comps = add(_verify(_nearest(near.filter("a != b"), facts), texts, width, percent), 0)
+    for turn in range(1, STAR_ROUNDS):
         in_bucket, main = largest(turn)
         near = in_bucket.join(main, "bucket").filter(F.col("comp") != F.col("main_comp"))
-        near = near.select(F.col("cls").alias("a"), F.col("centre").alias("b")).distinct()
-        weighed = _weigh(near, facts).groupBy("a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
-        links, comps = add(_verify(weighed, texts, width, percent), turn)
+        near = near.groupBy("cls").agg(F.collect_set("centre").alias("centres")).join(facts.select("cls", "n", "sketch"), "cls")
+        near = near.select(F.col("cls").alias("a"), F.explode("centres").alias("b"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
+        comps = add(_verify(_nearest(near, facts), texts, width, percent), turn)
     in_bucket, main = largest(STAR_ROUNDS)
-    links, comps = add(_rest(in_bucket, main, facts, texts, width, percent), STAR_ROUNDS)
-    return comps
+    return add(_rest(in_bucket, main, facts, texts, width, percent), STAR_ROUNDS)
 
 
 def _blocks(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -423,11 +446,3 @@ def deduplicate(
     joined = _keyed(clean, text, ident).join(stays.union(empty), "__key")
     once = F.when(F.col("__empty"), F.monotonically_increasing_id()).otherwise(F.lit(0))
     return joined.withColumn("__once", once).dropDuplicates(["__key", "__once"]).select(*[f"`{c}`" for c in clean.columns])
-
-
-def _weigh(pairs: DataFrame, facts: DataFrame) -> DataFrame:
-    """Pairs that sizes and sketches allow to be similar enough, with the bits they are apart."""
-    a = facts.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
-    b = facts.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
-    joined = pairs.join(a, "a").join(b, "b").filter(_sizes_allow("n_a", "n_b"))
-    return joined.select("a", "b", _bits_apart("s_a", "s_b").alias("apart")).filter(F.col("apart") <= MOST_BITS)

@@ -283,6 +283,26 @@ def test_near_duplicates(documents):
     assert odd_sketch.near_duplicates(documents([])).count() == 0
 
 
+def test_near_duplicates_need_few_stages(spark, documents):
+    """Chains, stars and copies: the rounds over components are few, whatever the paths between the links are."""
+    words = prose(55, 400).split()
+    chain = [" ".join(words[4 * i : 4 * i + 60]) for i in range(80)]
+    star = [" ".join([*words[:100], *prose(2000 + i, 6).split()]) for i in range(40)]
+    rows = list(enumerate([*chain, *star, *[star[0].upper()] * 40]))
+    _, comp = brute_components(rows)
+    spark.sparkContext.setJobGroup("near-few", "near duplicates")
+    try:
+        out = by_id(odd_sketch.near_duplicates(documents(rows)))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [out[i]["component_id"] for i, _ in rows] == comp and len(set(comp)) < 60
+    tracker = spark.sparkContext.statusTracker()
+    jobs = tracker.getJobIdsForGroup("near-few")
+    ran = [tracker.getStageInfo(s) for j in jobs for s in tracker.getJobInfo(j).stageIds]
+    n = len({s.stageId for s in ran if s is not None and s.numCompletedTasks})
+    assert n < 160, (n, len(jobs))
+
+
 def test_sketch_distance_follows_similarity():
     r = np.random.default_rng(2)
     for share in (0.75, 0.9):
