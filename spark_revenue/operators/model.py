@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
@@ -61,31 +61,34 @@ def stratified_split(df: DataFrame, label: str = "churn_flag", key: str = "patie
     )
 
 
-def _stages(kind: str, names: list[str], values: list[str], rows: float, seed: int, trees: int, subsample: float) -> list:
+def _coding(names: list[str], values: list[str], to: str) -> list:
+    """The stages that put numbers and flags of categories into one vector."""
     coder = []
     if values:
         # Sparse flags for any number of values; the model itself has as many coefficients.
         coder = [CountVectorizerModel.from_vocabulary(values, inputCol=CATEGORIES, outputCol="category_flags", minTF=1.0).setBinary(True)]
-    assembler = VectorAssembler(inputCols=[*names, *["category_flags"] * bool(values)], outputCol="raw_features")
-    if kind == "logistic":
-        # Centring would fill the sparse vectors; it moves the intercept alone, which carries no penalty.
-        return [
-            *coder, assembler,
-            StandardScaler(inputCol="raw_features", outputCol="features", withMean=not values, withStd=True),
-            LogisticRegression(
-                labelCol="label", weightCol="weight", maxIter=1000, regParam=1.0 / rows, elasticNetParam=0.0,
-                standardization=False,
-            ),
-        ]
+    return [*coder, VectorAssembler(inputCols=[*names, *["category_flags"] * bool(values)], outputCol=to)]
+
+
+def _logistic(names: list[str], values: list[str], rows: float) -> list:
+    # Centring would fill the sparse vectors; it moves the intercept alone, which carries no penalty.
     return [
-        *coder, assembler.copy({assembler.outputCol: "features"}),
-        GBTClassifier(
-            labelCol="label", maxIter=trees, maxDepth=4, stepSize=0.05, subsamplingRate=subsample, seed=seed,
-            checkpointInterval=10,
+        *_coding(names, values, "raw_features"),
+        StandardScaler(inputCol="raw_features", outputCol="features", withMean=not values, withStd=True),
+        LogisticRegression(
+            labelCol="label", weightCol="weight", maxIter=1000, regParam=1.0 / rows, elasticNetParam=0.0,
+            standardization=False,
         ),
     ]
 
 
+def _known_values(rows: DataFrame) -> list[str]:
+    """The category values of the rows in order, none without categories."""
+    if CATEGORIES not in rows.columns:
+        return []
+    return [r["value"] for r in fit_dictionary(rows, CATEGORIES).orderBy("index").toLocalIterator()]
+
+
 def _weighted(df: DataFrame, label: str) -> DataFrame:
     """Label as double and the balanced class weight n / (2 * n_class)."""
     counts = df.agg(F.count("*").alias("__n"), F.sum(label).alias("__pos"))
@@ -95,20 +98,48 @@ def _weighted(df: DataFrame, label: str) -> DataFrame:
     ).drop("__n", "__pos")
 
 
+def vectors(rows: DataFrame, names: list[str], label: str = "churn_flag", kept: tuple[str, ...] = (),
+            parts: int | None = None) -> tuple[PipelineModel, DataFrame]:
+    """The coding of features, and a stored table of label, feature vector and the ``kept`` columns, in ``parts`` at most.
+
+    Every task of a boosting pass is sent the plan of its rows, which is that of a stored table here.
+    """
+    coded = [CATEGORIES] if CATEGORIES in rows.columns else []
+    coding = PipelineModel(stages=_coding(names, _known_values(rows), "features"))
+    plain = rows.select(F.col(label).cast("double").alias("label"), *kept, *[F.col(f"`{c}`").cast("double") for c in names], *coded)
+    coded_rows = coding.transform(plain).select("label", "features", *kept)
+    return coding, materialise(coded_rows.coalesce(parts) if parts else coded_rows)
+
+
+def boost(rows: DataFrame, seed: int = 42, trees: int = 150, subsample: float = 0.8) -> GBTClassificationModel:
+    """The trees fitted on ``vectors``. A value that none of the rows has offers no split, so the table may know more values."""
+    return GBTClassifier(
+        labelCol="label", maxIter=trees, maxDepth=4, stepSize=0.05, subsamplingRate=subsample, seed=seed,
+        checkpointInterval=10,
+    ).fit(rows)
+
+
 def fit(train: DataFrame, names: list[str], kind: str = "logistic", label: str = "churn_flag", seed: int = 42,
         trees: int = 150, subsample: float = 0.8) -> PipelineModel:
-    """Fit one pipeline. The prepared rows are kept on executors for the iterations."""
+    """Fit one pipeline. The prepared rows are kept for the iterations."""
+    if kind != "logistic":
+        coding, ready = vectors(train, names, label)
+        return PipelineModel(stages=[*coding.stages, boost(ready, seed, trees, subsample)])
     coded = [CATEGORIES] if CATEGORIES in train.columns else []
     prepared = _weighted(train, label).select("label", "weight", *[F.col(f"`{c}`").cast("double") for c in names], *coded)
     prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = prepared.count()
-        values = [r["value"] for r in fit_dictionary(prepared, CATEGORIES).orderBy("index").toLocalIterator()] if coded else []
-        return Pipeline(stages=_stages(kind, names, values, float(rows), seed, trees, subsample)).fit(prepared)
+        return Pipeline(stages=_logistic(names, _known_values(prepared), float(rows))).fit(prepared)
     finally:
         prepared.unpersist()
 
 
+def with_probability(scored: DataFrame, *kept: str) -> DataFrame:
+    """The ``kept`` columns of transformed rows and the churn probability."""
+    return scored.select(*kept, vector_to_array("probability")[1].alias("churn_probability"))
+
+
 def probabilities(model: PipelineModel, matrix: DataFrame, names: list[str]) -> DataFrame:
     """Rows with the churn probability of the fitted pipeline, numbers aligned by name."""
     vector_inputs = matrix.withColumns({f"__f_{i}": F.col(f"`{c}`").cast("double") for i, c in enumerate(names)})
@@ -117,7 +148,7 @@ def probabilities(model: PipelineModel, matrix: DataFrame, names: list[str]) ->
         F.struct(*[f"`{c}`" for c in matrix.columns]).alias("__row"), *coded, *[F.col(f"__f_{i}").alias(c) for i, c in enumerate(names)]
     )
     scored = model.transform(renamed)
-    return scored.select("__row.*", vector_to_array("probability")[1].alias("churn_probability"))
+    return with_probability(scored, "__row.*")
 
 
 def train_model(matrix: DataFrame, kind: str = "gbt", label: str = "churn_flag", key: str = "patient_id",

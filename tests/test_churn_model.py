@@ -142,6 +142,39 @@ def test_cross_validation(matrix, kind):
     assert 0.0 <= got["cv_roc_auc_mean"] <= 1.0 and got["cv_roc_auc_std"] >= 0.0
 
 
+def test_boosted_folds_share_one_stored_table(spark, monkeypatch):
+    """All folds train on one table of vectors in few parts, and score as models that know their own rows' categories only."""
+    rows = spark.range(0, 400, 1, 16).select(
+        F.col("id").alias("patient_id"), (F.pmod(F.xxhash64("id"), F.lit(10)) < F.col("id") * 7 % 10).cast("int").alias("churn_flag"),
+        (F.col("id") * 7 % 10).cast("double").alias("visits"), (F.col("id") * 31 % 17).cast("double").alias("noise"),
+        F.array(F.concat(F.lit("v"), F.when(F.col("id") % 50 == 0, F.col("id")).otherwise(F.col("id") % 3))).alias("categories"),
+    )
+    folded = v.materialise(rows.withColumn("fold", (F.col("patient_id") % 4).cast("int")))
+    monkeypatch.setattr(v, "stratified_folds", lambda *_: folded)
+    read, boost = [], v.boost
+    monkeypatch.setattr(v, "boost", lambda part, *rest: read.append(part) or boost(part, *rest))
+    got = {r["fold"]: r["roc_auc"] for r in v.cross_validate(rows, "gbt", folds=4, trees=5, at_once=4).collect()}
+
+    assert {part.rdd.getNumPartitions() for part in read} == {v.boosting_parts(400, spark.sparkContext.defaultParallelism, 4)}
+    plans = [part._jdf.queryExecution().optimizedPlan().toString() for part in read]
+    assert len(plans) == 4 and all("LogicalRDD" in p and "InMemoryRelation" not in p and "UDF" not in p for p in plans)
+    tables = [leaf for part in read for leaf in [part._jdf.queryExecution().optimizedPlan().collectLeaves().head()]]
+    assert len({t.rdd().id() for t in tables}) == 1
+
+    names, parts = m.number_columns(rows), read[0].rdd.getNumPartitions()
+    grouped = v.materialise(folded.coalesce(parts))
+    for fold in range(4):
+        alone = m.fit(grouped.filter(F.col("fold") != fold).drop("fold"), names, "gbt", trees=5)
+        scored = m.probabilities(alone, grouped.filter(F.col("fold") == fold).drop("fold"), names)
+        assert got[fold] == m.ranking_quality(scored).first()["roc_auc"]
+    assert min(got.values()) < 1.0
+
+
+def test_parts_of_boosting_grow_with_the_rows():
+    assert v.boosting_parts(0, 12, 5) == v.boosting_parts(900_000, 12, 5) == 5
+    assert v.boosting_parts(5_400_000, 12, 5) == 22 and v.boosting_parts(1000, 12, 1) == 24
+
+
 def test_folds_are_stratified_and_stable(spark):
     df = spark.range(1003).select(F.col("id").alias("patient_id"), (F.col("id") % 7 < 2).cast("int").alias("churn_flag"))
     folded = v.stratified_folds(df)
